@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import records
+from . import model_queries, names_queries, records
 
-_MODULES = (records,)
+_REGISTRIES = (names_queries.query, model_queries.query)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: v for m in _MODULES for k, v in m.queries().items()}
+    return {k: v for r in _REGISTRIES for k, v in r.queries.items()} | records.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for m in _MODULES for k, v in m.oracle_sql().items()}
+    return {k: v for r in _REGISTRIES for k, v in r.sql.items()} | records.oracle_sql()
