@@ -176,7 +176,7 @@ class Index:
         key, at = key[order], at[order]
         need = self.least[key // span // len(texts)]
         first = np.arange(len(key)) - need + 1  # this hit and the need - 1 before it must lie within one passage
-        kept = (first >= 0) & (key[first] == key) & (at - at[first] <= self.room[key // span // len(texts)])
+        kept = (first >= 0) & (key[np.maximum(first, 0)] == key) & (at - at[np.maximum(first, 0)] <= self.room[key // span // len(texts)])
         key = np.unique(key[kept])
         item = key // span // len(texts)
         if not len(key):
