@@ -7,6 +7,7 @@ holds it, and no driver loop goes over documents.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import datatypes as D
 from ..functions import names as N
 from ..operators import graph, resolve, triples
-from .model import CLASS_KEY, Model
+from .model import CLASS_KEY, Model, materialised
 
 Adapter = Callable[[Model], DataFrame]
 ADAPTERS: dict[str, Adapter] = {}
@@ -48,8 +49,16 @@ def _joined(lines: DataFrame, *keys: str, order: list[str]) -> DataFrame:
     return lines.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "line"))), lambda x: x["line"]), "\n").alias("content"))
 
 
-def _tidy(m: Model) -> Model:
-    return resolve.without_copies(resolve.merged_packages(m))
+@lru_cache(4)
+def merged(m: Model) -> Model:
+    """The model with its packages merged, worked out once for all emitters."""
+    return materialised(resolve.merged_packages(materialised(m)))
+
+
+@lru_cache(4)
+def tidy(m: Model) -> Model:
+    """The model with its packages merged and its classes deduplicated, worked out once for all emitters."""
+    return materialised(resolve.without_copies(merged(m)))
 
 
 def _quoted(c: Column) -> Column:
@@ -70,9 +79,9 @@ def _pair(key: Column, value: Column) -> Column:
 def owl(m: Model) -> DataFrame:
     """One file for each package with a named class, Core first, and one with all; packages are merged, classes are not deduplicated. Each file
     lists the packages it imports."""
-    merged = resolve.merged_packages(m)
-    full = merged.classes.where(~N.blank(F.col("name"))).select("doc_id", "pkg_ord").distinct()
-    kept = merged.with_(package=merged.package.join(full, ["doc_id", "pkg_ord"], "left_semi"))
+    own = merged(m)
+    full = own.classes.where(~N.blank(F.col("name"))).select("doc_id", "pkg_ord").distinct()
+    kept = own.with_(package=own.package.join(full, ["doc_id", "pkg_ord"], "left_semi"))
     refs = resolve.cross_package_refs(kept).select("doc_id", F.col("from_package").alias("graph"), "to_package").distinct()
     node = lambda c: F.concat(F.lit(triples.NS.rstrip("#") + "_"), c)
     imports = triples.expand(refs, F.col("graph"), triples.iri(node(F.col("graph")), triples.OWL + "imports", node(F.col("to_package"))))
@@ -102,7 +111,7 @@ def context_terms(m: Model) -> DataFrame:
 
 @_adapter("jsonld-context")
 def jsonld_context(m: Model) -> DataFrame:
-    t = _tidy(m)
+    t = tidy(m)
     head = [("@vocab", triples.NS), ("cim", triples.NS), ("rdf", triples.RDF), ("xsd", triples.XSD)]
     pairs = F.transform(F.array_sort(F.collect_list(F.struct("term", "id", "kind"))), lambda x: _pair(x["term"], F.to_json(F.struct(x["id"].alias("@id"), x["kind"].alias("@type")))))
     fixed = F.array(*[F.lit(f'"{k}":"{v}"') for k, v in head])
@@ -123,7 +132,7 @@ def schema_fields(m: Model) -> DataFrame:
 
 @_adapter("json-schema")
 def json_schema(m: Model) -> DataFrame:
-    t = _tidy(m)
+    t = tidy(m)
     f = schema_fields(t).groupBy(*CLASS_KEY).agg(F.array_sort(F.collect_list(F.struct("first", "slug", "value", "required"))).alias("f"))
     c = t.classes.where("name is not null").join(f, CLASS_KEY, "left").withColumn("f", F.coalesce("f", F.array().cast("array<struct<first:struct<phase:int,ord:int>,slug:string,value:string,required:boolean>>")))
     fields = _object(F.transform("f", lambda x: _pair(x["slug"], x["value"])))
@@ -145,7 +154,8 @@ def checked_package_names(m: Model) -> DataFrame:
 def python_types(m: Model, required_first: bool = True) -> DataFrame:
     """One module for each package: imports of what its classes name in others, and a dataclass for each class. Required fields come first, as
     Python asks for; in the order of the model if ``required_first`` is off. Members without a proper name are left out."""
-    t = _tidy(m.with_(package=checked_package_names(m)))
+    t = tidy(m)
+    t = t.with_(package=checked_package_names(t))
     name = F.col("name")
     fit = N.is_identifier(name) & ~N.has_ocr_noise(name)
     hint = D.python_type(F.col("data_type"))
@@ -171,7 +181,7 @@ def python_types(m: Model, required_first: bool = True) -> DataFrame:
 
 def module_order(m: Model) -> DataFrame:
     """(doc_id, id, rank): packages in the order of their dependencies, each after those it names; by name where they depend on each other."""
-    t = _tidy(m)
+    t = tidy(m)
     nodes = t.package.groupBy("doc_id", F.col("name").alias("id")).agg(F.min("pkg_ord").alias("ord")).where("id is not null")
     edges = resolve.cross_package_refs(t).select("doc_id", F.col("to_package").alias("a"), F.col("from_package").alias("b"))
     return graph.emit_order(nodes, edges, ["doc_id"])

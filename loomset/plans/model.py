@@ -8,11 +8,12 @@ enumeration(doc_id, pkg_ord, enum_ord, name, values).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..frames import written
 from ..operators.flatten import Flattened
 
 CLASS_KEY = ["doc_id", "pkg_ord", "cls_ord"]
@@ -30,6 +31,11 @@ class Model:
     def with_(self, **tables: DataFrame) -> Model:
         return replace(self, **tables)
 
+    def corpus(self) -> Model:
+        """All documents as one, number 0: packages are numbered by document and place."""
+        one = lambda t: t.withColumn("pkg_ord", F.col("doc_id") * 1048576 + F.col("pkg_ord")).withColumn("doc_id", F.lit(0).cast("bigint"))
+        return Model(**{f.name: one(getattr(self, f.name)) for f in fields(self)})
+
     def named(self) -> DataFrame:
         """Every class with the name of its package."""
         return self.classes.join(self.package.select("doc_id", "pkg_ord", F.col("name").alias("package")), ["doc_id", "pkg_ord"])
@@ -69,6 +75,11 @@ def nested(df: DataFrame, id_col: str = "ir_id", packages: str = "packages") ->
     )
 
 
+def materialised(m: Model) -> Model:
+    """The model with its tables written to the shared folder once, for several uses."""
+    return Model(**{f.name: written(getattr(m, f.name)) for f in fields(m)})
+
+
 def position(*ords: str) -> Column:
     """The place of a row in its document, to order by."""
     return F.struct(*ords)

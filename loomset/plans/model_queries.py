@@ -17,18 +17,25 @@ MODEL_SQL = """WITH RECURSIVE
 pk AS (SELECT ir_id AS doc_id, (i - 1)::INT AS pkg_ord, packages[i] AS n, packages[i].name AS package FROM ontology_ir, unnest(range(1, len(packages) + 1)) AS t(i) WHERE packages[i] IS NOT NULL),
 cl AS (SELECT doc_id, pkg_ord, package, (i - 1)::INT AS cls_ord, n.classes[i] AS n, n.classes[i].name AS name FROM pk, unnest(range(1, len(n.classes) + 1)) AS t(i) WHERE n.classes[i] IS NOT NULL),
 pa AS (SELECT doc_id, pkg_ord, cls_ord, package AS own, name AS holder, (i - 1)::INT AS ord, n.parents[i].package AS package, n.parents[i].class_name AS class_name FROM cl, unnest(range(1, len(n.parents) + 1)) AS t(i) WHERE n.parents[i] IS NOT NULL),
-at AS (SELECT doc_id, pkg_ord, cls_ord, package AS own, name AS holder, (i - 1)::INT AS ord, n.attributes[i] AS n, n.attributes[i].name AS name FROM cl, unnest(range(1, len(n.attributes) + 1)) AS t(i) WHERE n.attributes[i] IS NOT NULL),
+atr AS (SELECT doc_id, pkg_ord, cls_ord, package AS own, name AS holder, (i - 1)::INT AS ord, n.attributes[i] AS n, n.attributes[i].name AS name FROM cl, unnest(range(1, len(n.attributes) + 1)) AS t(i) WHERE n.attributes[i] IS NOT NULL),
 sc AS (SELECT doc_id, pkg_ord, cls_ord, package AS own, name AS holder, (i - 1)::INT AS ord, n.associations[i] AS n, n.associations[i].name AS name, n.associations[i].target.class_name AS class_name FROM cl, unnest(range(1, len(n.associations) + 1)) AS t(i) WHERE n.associations[i] IS NOT NULL)"""
 
+CORPUS_SQL = MODEL_SQL.replace("ir_id AS doc_id, (i - 1)::INT AS pkg_ord", "0::BIGINT AS doc_id, ir_id * 1048576 + (i - 1) AS pkg_ord")
+
 
 def model(spark: SparkSession, sf: str) -> Model:
     return nested(table(spark, sf, "ontology_ir"))
 
 
+def corpus(spark: SparkSession, sf: str) -> Model:
+    """All documents as one, whose packages and classes repeat."""
+    return model(spark, sf).corpus()
+
+
 @query(
     MODEL_SQL
     + """ SELECT doc_id, count(*) AS package_count, coalesce(any_value(c), 0) AS class_count, coalesce(any_value(a), 0) AS attribute_count, coalesce(any_value(s), 0) AS association_count FROM pk
-    LEFT JOIN (SELECT doc_id, count(*) AS c FROM cl GROUP BY 1) USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS a FROM at GROUP BY 1) USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS s FROM sc GROUP BY 1) USING (doc_id) GROUP BY 1"""
+    LEFT JOIN (SELECT doc_id, count(*) AS c FROM cl GROUP BY 1) USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS a FROM atr GROUP BY 1) USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS s FROM sc GROUP BY 1) USING (doc_id) GROUP BY 1"""
 )
 def ir_stats(spark: SparkSession, sf: str) -> DataFrame:
     return model(spark, sf).stats()
@@ -51,38 +58,38 @@ _WANTED = STRIP("class_name")
 
 
 @query(
-    MODEL_SQL
+    CORPUS_SQL
     + f""", k AS (SELECT DISTINCT doc_id, name FROM cl WHERE name IS NOT NULL), s AS (SELECT *, {_WANTED} AS w FROM sc),
-    m AS (SELECT s.doc_id, s.w, count(*) AS fits, min(k.name) AS only FROM (SELECT DISTINCT doc_id, w FROM s WHERE w <> '') s JOIN k ON k.doc_id = s.doc_id AND suffix(k.name, s.w) AND k.name <> s.w GROUP BY ALL)
+    m AS (SELECT s.doc_id, s.w, count(*) AS fits, min(k.name) AS single FROM (SELECT DISTINCT doc_id, w FROM s WHERE w <> '') s JOIN k ON k.doc_id = s.doc_id AND suffix(k.name, s.w) AND k.name <> s.w GROUP BY ALL)
     SELECT s.doc_id, s.pkg_ord, s.cls_ord, s.ord AS assoc_ord, CASE WHEN coalesce(s.w, '') = '' OR NOT regexp_matches(s.w, '[\\x00-\\x7f]') OR regexp_matches(s.w, '^[-:|]*-[-:|]*$|^\\d+\\.\\.|^\\p{{Nd}}+$|[：—（]') THEN 'noise_dropped' WHEN k.name IS NOT NULL THEN 'kept_exact' WHEN fits = 1 THEN 'fuzzy_resolved' WHEN fits > 1 THEN 'ambiguous_kept' ELSE 'unresolved_kept' END AS outcome,
-    CASE WHEN coalesce(s.w, '') = '' OR NOT regexp_matches(s.w, '[\\x00-\\x7f]') OR regexp_matches(s.w, '^[-:|]*-[-:|]*$|^\\d+\\.\\.|^\\p{{Nd}}+$|[：—（]') THEN NULL WHEN k.name IS NULL AND fits = 1 THEN only ELSE s.class_name END AS class_name
+    CASE WHEN coalesce(s.w, '') = '' OR NOT regexp_matches(s.w, '[\\x00-\\x7f]') OR regexp_matches(s.w, '^[-:|]*-[-:|]*$|^\\d+\\.\\.|^\\p{{Nd}}+$|[：—（]') THEN NULL WHEN k.name IS NULL AND fits = 1 THEN single ELSE s.class_name END AS class_name
     FROM s LEFT JOIN k ON k.doc_id = s.doc_id AND k.name = s.w LEFT JOIN m ON m.doc_id = s.doc_id AND m.w = s.w"""
 )
 def resolved_targets(spark: SparkSession, sf: str) -> DataFrame:
-    return resolve.resolved_targets(model(spark, sf)).select("doc_id", "pkg_ord", "cls_ord", "assoc_ord", "outcome", "class_name")
+    return resolve.resolved_targets(corpus(spark, sf)).select("doc_id", "pkg_ord", "cls_ord", "assoc_ord", "outcome", "class_name")
 
 
-@query(f"SELECT w AS short, count(*) AS fits, min(name) AS only FROM (SELECT DISTINCT name FROM class_def WHERE name IS NOT NULL) k JOIN (SELECT DISTINCT substr(class_name, 4) AS w FROM class_ref WHERE length(class_name) > 8) s ON suffix(k.name, s.w) AND k.name <> s.w GROUP BY 1")
+@query(f"SELECT w AS short, count(*) AS fits, min(name) AS single FROM (SELECT DISTINCT name FROM class_def WHERE name IS NOT NULL) k JOIN (SELECT DISTINCT substr(class_name, 4) AS w FROM class_ref WHERE length(class_name) > 8) s ON suffix(k.name, s.w) AND k.name <> s.w GROUP BY 1")
 def suffix_repair(spark: SparkSession, sf: str) -> DataFrame:
     """Names that lost their first letters, with how many known names end with them; ends are joined by equality."""
     k = table(spark, sf, "class_def").where("name is not null").select("name").distinct()
     ends = k.where(F.length("name") > 1).select("name", F.explode(F.transform(F.sequence(F.lit(2), F.length("name")), lambda i: F.substring("name", i, F.length("name")))).alias("short"))
     s = table(spark, sf, "class_ref").where(F.length("class_name") > 8).select(F.expr("substring(class_name, 4)").alias("short")).distinct()
-    return ends.join(s, "short").groupBy("short").agg(F.count("*").alias("fits"), F.min("name").alias("only"))
+    return ends.join(s, "short").groupBy("short").agg(F.count("*").alias("fits"), F.min("name").alias("single"))
 
 
 @query(
-    MODEL_SQL
+    CORPUS_SQL
     + """, ix AS (SELECT doc_id, name, arg_max(package, pkg_ord * 100000 + cls_ord) AS to_package FROM cl WHERE name IS NOT NULL GROUP BY ALL),
     r AS (SELECT doc_id, pkg_ord, cls_ord, 0 AS phase, ord, own, class_name, 'parent:' || holder AS via FROM pa WHERE holder IS NOT NULL UNION ALL SELECT doc_id, pkg_ord, cls_ord, 1, ord, own, class_name, name FROM sc WHERE holder IS NOT NULL)
     SELECT doc_id, own AS from_package, to_package, class_name AS via_class, last(via ORDER BY pkg_ord, cls_ord, phase, ord) AS via_property FROM r JOIN ix ON ix.doc_id = r.doc_id AND ix.name = r.class_name WHERE class_name <> '' AND own <> to_package GROUP BY ALL""".replace("SELECT doc_id, own AS from_package", "SELECT r.doc_id, own AS from_package")
 )
 def cross_package_refs(spark: SparkSession, sf: str) -> DataFrame:
-    return resolve.cross_package_refs(model(spark, sf))
+    return resolve.cross_package_refs(corpus(spark, sf))
 
 
 _RICHEST = (
-    MODEL_SQL
+    CORPUS_SQL
     + """, q AS (SELECT doc_id, name, pkg_ord, cls_ord, len(list_filter(n.attributes, lambda x: x IS NOT NULL)) AS n_attr, len(list_filter(n.associations, lambda x: x IS NOT NULL)) AS n_assoc, len(list_filter(n.parents, lambda x: x IS NOT NULL)) AS n_parent, """
     + f"coalesce({STRIP('n.description')}, '') <> '' AS d FROM cl WHERE name IS NOT NULL), "
     + """w AS (SELECT doc_id, name, pkg_ord, cls_ord, coalesce(n_attr, 0) AS n_attr, coalesce(n_assoc, 0) AS n_assoc, coalesce(n_parent, 0) AS n_parent, row_number() OVER (PARTITION BY doc_id, name ORDER BY coalesce(n_attr, 0) DESC, coalesce(n_assoc, 0) DESC, coalesce(n_parent, 0) DESC, d DESC, pkg_ord, cls_ord) AS r, count(*) OVER (PARTITION BY doc_id, name) AS copies FROM q)"""
@@ -91,13 +98,13 @@ _RICHEST = (
 
 @query(_RICHEST + " SELECT doc_id, name, pkg_ord, cls_ord, n_attr, n_assoc, n_parent, copies FROM w WHERE r = 1")
 def richest_wins(spark: SparkSession, sf: str) -> DataFrame:
-    return resolve.richest(model(spark, sf))
+    return resolve.richest(corpus(spark, sf))
 
 
 @query(_RICHEST + " SELECT doc_id, count(*) AS dup_groups, sum(copies) AS total, sum(copies - 1) AS dropped FROM w WHERE r = 1 AND copies > 1 GROUP BY 1")
 def duplicate_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Groups of classes of one name, and how many are dropped."""
-    x = resolve.richest(model(spark, sf)).where("copies > 1")
+    x = resolve.richest(corpus(spark, sf)).where("copies > 1")
     return x.groupBy("doc_id").agg(F.count("*").alias("dup_groups"), F.sum("copies").alias("total"), F.sum(F.col("copies") - 1).alias("dropped"))
 
 
@@ -109,9 +116,9 @@ def merge_first_wins(spark: SparkSession, sf: str) -> DataFrame:
 _FUZZY = """a.package < b.package AND length(a.package) >= 5 AND length(b.package) >= 5 AND abs(length(a.package) - length(b.package)) BETWEEN 1 AND 3 AND levenshtein(a.package, b.package) <= least(6, greatest(2, greatest(length(a.package), length(b.package)) // 3))"""
 
 
-@query(MODEL_SQL + f", nm AS (SELECT DISTINCT doc_id, package FROM pk WHERE package IS NOT NULL) SELECT a.doc_id, a.package AS a, b.package AS b, levenshtein(a.package, b.package) AS distance FROM nm a JOIN nm b ON a.doc_id = b.doc_id AND {_FUZZY}")
+@query(CORPUS_SQL + f", nm AS (SELECT DISTINCT doc_id, package FROM pk WHERE package IS NOT NULL) SELECT a.doc_id, a.package AS a, b.package AS b, levenshtein(a.package, b.package) AS distance FROM nm a JOIN nm b ON a.doc_id = b.doc_id AND {_FUZZY}")
 def fuzzy_package_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return resolve.fuzzy_pairs(model(spark, sf))
+    return resolve.fuzzy_pairs(corpus(spark, sf))
 
 
 _PARTS = "(SELECT DISTINCT p_name AS package FROM part)"
@@ -144,12 +151,12 @@ def fuzzy_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    MODEL_SQL
+    CORPUS_SQL
     + """, th AS (SELECT DISTINCT doc_id, package, name FROM cl), r AS (SELECT doc_id, 'parent' AS kind, pkg_ord, cls_ord, ord, package, class_name FROM pa UNION ALL SELECT doc_id, 'target', pkg_ord, cls_ord, ord, n.target.package, class_name FROM sc)
     SELECT r.* FROM r WHERE class_name IS NOT NULL AND NOT EXISTS (FROM th WHERE th.doc_id = r.doc_id AND th.package = r.package AND th.name = r.class_name)"""
 )
 def dangling_refs(spark: SparkSession, sf: str) -> DataFrame:
-    return resolve.dangling_refs(model(spark, sf))
+    return resolve.dangling_refs(corpus(spark, sf))
 
 
 _EDGES = "SELECT DISTINCT from_package AS a, to_package AS b FROM cross_package_ref WHERE from_package IS NOT NULL AND to_package IS NOT NULL AND from_package < to_package"
@@ -197,7 +204,7 @@ _PROP = f"CASE WHEN {_IDENT(STRIP('name'))} THEN {_P} || holder || '.' || left({
 
 @query(
     MODEL_SQL
-    + f""", ok AS (SELECT *, {_PROP} AS s FROM at WHERE holder IS NOT NULL), os AS (SELECT *, {_PROP} AS s FROM sc WHERE holder IS NOT NULL),
+    + f""", ok AS (SELECT *, {_PROP} AS s FROM atr WHERE holder IS NOT NULL), os AS (SELECT *, {_PROP} AS s FROM sc WHERE holder IS NOT NULL),
     t AS (SELECT doc_id, package AS graph, {_P} || name AS s, 'type' AS p, 'Class' AS o FROM cl WHERE name IS NOT NULL
     UNION SELECT doc_id, package, {_P} || name, 'label', name FROM cl WHERE name IS NOT NULL
     UNION SELECT doc_id, package, {_P} || name, 'comment', n.description FROM cl WHERE name IS NOT NULL AND n.description <> ''
@@ -229,7 +236,7 @@ def _SAFE(c: str) -> str:  # noqa: N802
 
 @query(
     MODEL_SQL
-    + f""", c AS (SELECT * FROM cl WHERE {_SAFE('name')}), a AS (SELECT doc_id, 'shape_' || holder || '_' || name AS s, n FROM at WHERE {_SAFE('holder')} AND {_SAFE('name')}),
+    + f""", c AS (SELECT * FROM cl WHERE {_SAFE('name')}), a AS (SELECT doc_id, 'shape_' || holder || '_' || name AS s, n FROM atr WHERE {_SAFE('holder')} AND {_SAFE('name')}),
     b AS (SELECT doc_id, 'shape_' || holder || '_' || name AS s, n, class_name FROM sc WHERE {_SAFE('holder')} AND {_SAFE('name')} AND {_SAFE('class_name')})
     SELECT doc_id, 'shape_' || name AS s, 'targetClass' AS p, name AS o FROM c UNION SELECT doc_id, s, 'minCount', '1' FROM a WHERE n.required UNION SELECT doc_id, s, 'maxCount', n.multiplicity.max::VARCHAR FROM a WHERE n.multiplicity.max IS NOT NULL
     UNION SELECT doc_id, s, 'minCount', n.multiplicity.min::VARCHAR FROM b WHERE n.multiplicity.min IS NOT NULL UNION SELECT doc_id, s, 'maxCount', n.multiplicity.max::VARCHAR FROM b WHERE n.multiplicity.max IS NOT NULL UNION SELECT doc_id, s, 'class', class_name FROM b"""
@@ -259,7 +266,7 @@ def triples_read_back(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _tidy(spark: SparkSession, sf: str) -> Model:
-    return resolve.without_copies(resolve.merged_packages(model(spark, sf)))
+    return emit.tidy(model(spark, sf))
 
 
 @query()
