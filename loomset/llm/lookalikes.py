@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..frames import written
+
 # Letters drawn like a Latin one, block by block, each beside the letter it is drawn like.
 CYRILLIC = "АВЕКМНОРСТУХЅІЈҮаеорсухѕіјһԁԛԝԚԜӀ"
 AS_CYRILLIC = "ABEKMHOPCTYXSIJYaeopcyxsijhdqwQWI"
@@ -85,8 +87,8 @@ def forms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def alike(rows: DataFrame) -> DataFrame:
     """(row_a, row_b), row_a < row_b, of (id, text, form) whose forms are equal and texts are not. Texts are compared once each, by form;
-    rows come in only to be listed."""
-    rows = rows.where("id is not null")
+    rows come in only to be listed. The rows are written once, as they are used several times."""
+    rows = written(rows.where("id is not null"))
     several = rows.groupBy("form").agg(F.min("text").alias("lo"), F.max("text").alias("hi")).where("lo <> hi").select("form")
     own = rows.join(several, "form").distinct()
     texts = own.select("form", "text").distinct()
