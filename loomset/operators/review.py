@@ -49,9 +49,9 @@ def split_by_cache(entries: DataFrame, cache: DataFrame) -> tuple[DataFrame, Dat
     return x.where("response is not null"), x.where("response is null").drop("response")
 
 
-def batches(entries: DataFrame, size: int = 14, within: list[str] | None = None) -> DataFrame:
-    """The entries with the number of their batch, by case_id; ``within`` keeps the numbering to groups, so that no task orders all rows."""
-    w = Window.partitionBy(*(within or [F.lit(0)])).orderBy("case_id")
+def batches(entries: DataFrame, size: int, within: list[str]) -> DataFrame:
+    """The entries with the number of their batch, by case_id in each group of ``within``."""
+    w = Window.partitionBy(*within).orderBy("case_id")
     return entries.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size).cast("int"))
 
 
