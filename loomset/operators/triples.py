@@ -27,7 +27,7 @@ def literal(s: Column, p: str, o: Column, lang: str | None = None, datatype: str
 def expand(df: DataFrame, graph: Column, *triples: Column) -> DataFrame:
     """One row a triple of each row; a triple without subject or object is left out."""
     there = F.filter(F.array(*triples), lambda t: t["s"].isNotNull() & t["o"].isNotNull())
-    return df.select("doc_id", graph.alias("graph"), F.inline(there))
+    return df.select("doc_id", graph.alias("graph"), there.alias("t")).select("doc_id", "graph", F.explode("t").alias("t")).select("doc_id", "graph", "t.*")
 
 
 def _at(c: Column) -> Column:

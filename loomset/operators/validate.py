@@ -24,7 +24,7 @@ def conforms(value: Column, xsd: str) -> Column:
     if xsd == "xsd:boolean":
         return F.coalesce(value.isin("true", "false", "1", "0"), F.lit(True))
     if xsd in ("xsd:integer", "xsd:long", "xsd:short", "xsd:byte"):
-        return F.coalesce(value.rlike(r"^[+-]?[0-9]+\z") & value.try_cast(CASTS[xsd]).isNotNull(), F.lit(True))
+        return value.isNull() | (value.rlike(r"^[+-]?[0-9]+\z") & value.try_cast(CASTS[xsd]).isNotNull())
     return value.isNull() | value.try_cast(CASTS[xsd]).isNotNull() if xsd in CASTS else F.lit(True)
 
 

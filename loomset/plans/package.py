@@ -1,7 +1,7 @@
 """Semantic packages: of every package with an id, the files of its model, its constraints, its schema, types, an example and its checks.
 
-Each file is one row (doc_id, package_id, path, content); structured files are JSON, which is YAML too. A package whose references don't
-resolve raises an error when its files are read.
+Each file is one row (doc_id, package_id, path, content); structured files are JSON, which is YAML too. References
+that don't resolve are an error.
 """
 
 from __future__ import annotations
@@ -43,9 +43,8 @@ class Packages:
     def __init__(self, m: Model, check: bool = True):
         self.m = m
         p = m.package.where(~N.blank(F.col("package_id"))).withColumn("ns", F.concat(F.rtrim(F.col("iri"), F.lit("/")), F.lit("/")))
-        if check:
-            bad = resolve.dangling_refs(m).groupBy(*KEY).agg(F.count("*").alias("bad"))
-            p = p.join(bad, KEY, "left").withColumn("package_id", F.when(F.col("bad").isNull(), F.col("package_id")).otherwise(F.raise_error(F.concat(F.lit("unresolved references of package "), "package_id")).cast("string"))).drop("bad")
+        if check and (bad := resolve.dangling_refs(m).join(p.select(*KEY, "package_id"), KEY).limit(20).collect()):
+            raise ValueError("unresolved references: " + "; ".join(f"{r.package_id}: {r.kind} {r.package}::{r.class_name}" for r in bad))
         self.package = p.withColumn("slug", N.slug(F.col("package_id")))
         own = self.package.select(*KEY, "package_id", "ns", F.col("iri").alias("own_iri"))
         self.classes = m.classes.join(own, KEY).withColumn("entity", F.concat_ws(".", "package_id", "name")).withColumn("class_iri", F.concat("ns", "name"))
