@@ -10,6 +10,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark():
     from loomset.session import local_session
 
-    session = local_session(4, **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"})
+    session = local_session(4, **{"spark.sql.shuffle.partitions": "2", "spark.driver.memory": "4g"})
     yield session
     session.stop()

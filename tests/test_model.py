@@ -20,6 +20,8 @@ from loomset.operators.orphans import Orphans
 from loomset.plans import emit
 from loomset.plans.package import Packages
 from loomset.sources.models import PackageSource, assoc, attr, cls, cref, env_settings, from_code, ir_documents, known_classes, multiplicity, provider_name, union_of_known
+from loomset.operators.graph import transitive_closure
+from loomset.sources.reference_model import concept_map, map_concept, reference_model
 from loomset.streaming.orphans import as_changes, follow
 
 
@@ -199,6 +201,17 @@ def test_sources(spark, tmp_path):
     assert [provider_name(e) for e in ({"CI": "true", "DEEPSEEK_API_KEY": "k"}, {"DEEPSEEK_API_KEY": "k"}, {"ANTHROPIC_API_KEY": "k"}, {"USE_OLLAMA": "1"}, {})] == ["mock", "deepseek", "claude", "ollama", "mock"]
 
 
+def test_sample_model(spark):
+    x = reference_model(spark)
+    assert x.package.count() == 3 and x.classes.count() == 16 and resolve.dangling_refs(x).count() == 0
+    edges = x.parent.join(x.classes, ["doc_id", "pkg_ord", "cls_ord"]).select(F.col("name").alias("a"), F.col("class_name").alias("b"))
+    assert ("PowerTransformer", "Equipment") in {tuple(r) for r in transitive_closure(edges).collect()}
+    assert {r.package_id: r.dependencies for r in Packages(x).dependencies().collect()}["power.equipment.transformer"] == ["power.equipment", "power.grid.core"]
+    table = concept_map()
+    map_concept(table, "X::Y", "Rule")
+    assert table["GridCore::Asset"] == "Entity" and table["X::Y"] == "Rule"
+
+
 def test_review(spark, tmp_path):
     e = spark.createDataFrame([("c1", "P", "Rep0rt", "typo", "ctx"), ("c2", "P", "Foo", "x", None), ("c3", None, "Bar", None, "y" * 300)], "case_id string, package string, raw_text string, uncertainty_reason string, context_snippet string")
     cache = spark.createDataFrame([("c1", "old", datetime(2024, 1, 1)), ("c1", "new", datetime(2024, 1, 2))], "case_id string, response string, created_at timestamp")
