@@ -1,4 +1,4 @@
-"""Helpers shared by all operators: reading tables, cutting lineage, checked broadcasts."""
+"""Helpers shared by all operators: reading tables and cutting lineage."""
 
 from __future__ import annotations
 
@@ -6,10 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-#: A side is broadcast only while its measured size stays under this many rows (documented bound; beyond it Catalyst shuffles).
-BROADCAST_ROWS = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,16 +39,3 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/loomset-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``limit`` rows, else as it is, so that the join shuffles."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
-def free_name(df: DataFrame, wanted: str) -> str:
-    """``wanted``, lengthened until no column of ``df`` has that name (column names compare without letter case)."""
-    names = {c.lower() for c in df.columns}
-    while wanted.lower() in names:
-        wanted += "_"
-    return wanted

@@ -89,3 +89,47 @@ def semantic_findings(answers: DataFrame) -> DataFrame:
     sure = F.coalesce(F.try_variant_get(v, "$.confidence", "double"), F.lit(0.0))
     outcome = F.when(F.try_variant_get(v, "$", "map<string,variant>").isNull(), "json_invalid").when(~(has("class_iri") & has("consistent")), "invalid_format").when(sure < LEAST_CONFIDENCE, "low_confidence").otherwise("ok")
     return answers.select("class_iri", F.try_variant_get(v, "$.consistent", "boolean").alias("consistent"), sure.alias("confidence"), F.try_variant_get(v, "$.notes", "string").alias("notes"), outcome.alias("outcome"))
+
+
+def shape_members(triples: DataFrame) -> DataFrame:
+    """(doc_id, class_name, kind, name, value, multiplicity) of SHACL triples: datatype or class, and the counts as ``lo..hi``."""
+    from ..functions.multiplicity import from_counts
+
+    p = local_name(F.col("p"))
+    wide = triples.groupBy("doc_id", "s").agg(*[F.max(F.when(p == n, local_name(F.col("o")))).alias(n) for n in ("path", "datatype", "class", "minCount", "maxCount")]).where("path is not null")
+    return wide.select("doc_id", F.substring_index("path", ".", 1).alias("class_name"), F.when(F.col("class").isNull(), "attribute").otherwise("association").alias("kind"), F.expr("substring(path, instr(path, '.') + 1)").alias("name"), F.coalesce("class", "datatype").alias("value"), from_counts(F.col("minCount"), F.col("maxCount")).alias("multiplicity")).distinct()
+
+
+def schema_members(files: DataFrame) -> DataFrame:
+    """(doc_id, class_name, kind, name, value) of emitted JSON schemas: references are associations."""
+    top = F.try_variant_get(F.try_parse_json("content"), "$.properties", "map<string,variant>")
+    c = files.select("doc_id", F.explode(top).alias("class_name", "v")).select("doc_id", "class_name", F.explode(F.try_variant_get("v", "$.properties", "map<string,variant>")).alias("name", "f"))
+    ref = F.try_variant_get("f", "$['$ref']", "string")
+    return c.select("doc_id", "class_name", F.when(ref.isNull(), "attribute").otherwise("association").alias("kind"), "name", F.coalesce(F.substring_index(ref, "/", -1), F.try_variant_get("f", "$.type", "string")).alias("value")).distinct()
+
+
+def source_members(files: DataFrame) -> DataFrame:
+    """(doc_id, class_name, kind, name, value) of emitted Python source: a quoted type is an association."""
+    parts = files.select("doc_id", F.explode(F.split("content", r"(?m)^@dataclass.*$")).alias("part")).withColumn("class_name", F.regexp_extract("part", r"(?m)^class (\w+):", 1)).where("class_name <> ''")
+    lines = parts.select("doc_id", "class_name", F.explode(F.regexp_extract_all("part", F.lit(r"(?m)^    (\w+: [^\n]+)$"), F.lit(1))).alias("l")).where(~F.col("l").startswith("rdf_type:"))
+    hint = F.regexp_extract("l", r"^\w+: (?:Optional\[)?'?(\w+)", 1)
+    return lines.select("doc_id", "class_name", F.when(F.col("l").contains("['"), "association").otherwise("attribute").alias("kind"), F.substring_index("l", ":", 1).alias("name"), hint.alias("value")).distinct()
+
+
+def differing_members(model_members: DataFrame, form_members: DataFrame) -> DataFrame:
+    """(doc_id, class_name, kind, name, side) of members that only the model or only the form has."""
+    key = ["doc_id", "class_name", "kind", "name"]
+    a, b = model_members.select(*key).distinct(), form_members.select(*key).distinct()
+    return a.join(b, key, "left_anti").withColumn("side", F.lit("model")).unionByName(b.join(a, key, "left_anti").withColumn("side", F.lit("form")))
+
+
+def report(by_package: DataFrame, probes: DataFrame, forms: list[str] = FORMATS, listed: int = 200) -> str:
+    """The matrix as Markdown, with the first ``listed`` samples that a form lacks; one row a package comes to the driver."""
+    rows = sorted(by_package.collect(), key=lambda r: r.package)
+    total, passed = sum(r.samples for r in rows), sum(r.passed for r in rows)
+    out = ["# Consistency", "", f"{passed} of {total} samples are in every form ({100 * passed / total if total else 0:.1f} %).", "", "| package | samples | passed | " + " | ".join(forms) + " |", "|" + "-|" * (3 + len(forms))]
+    out += [f"| {r.package} | {r.samples} | {r.passed} | " + " | ".join(str(r[f.replace("-", "_")]) for f in forms) + " |" for r in rows]
+    lacking = probes.where(F.size("missing") > 0).orderBy("package", "class_name", "doc_id").limit(listed).collect()
+    if lacking:
+        out += ["", "## Missing", ""] + [f"- {r.package}::{r.class_name}: {', '.join(r.missing)}" for r in lacking]
+    return "\n".join(out) + "\n"

@@ -17,13 +17,14 @@ SEED_CLASSES = ["IdentifiedObject", "PowerSystemResource", "Measurement", "Repor
 CANONICAL_PREFIXES = ["cim", "eu", "rdf", "rdfs", "xsd", "owl", "sh", "skos"]
 
 
-def similar(left: DataFrame, right: DataFrame, most: int, within: list[str] | None = None) -> DataFrame:
-    """(…within, a, b, distance) of distinct names (…within, a) and (…within, b) that are at most ``most`` edits apart.
+def similar(left: DataFrame, right: DataFrame, most: int, within: list[str] | None = None, apart: int | None = None) -> DataFrame:
+    """(…within, a, b, distance) of distinct names (…within, a) and (…within, b) that are at most ``most`` edits apart, and in length ``apart``.
 
     No pair is compared that shares no piece: of two names within k edits, cut into k + 1 pieces, at least one piece of one stands in the
-    other shifted by k at most. Both sides are joined on piece, length and place; the distance then settles it.
+    other, shifted by no more than (k + apart) / 2. Both sides are joined on piece, length and place; the distance then settles it.
     """
-    within = within or []
+    within, apart = within or [], most if apart is None else apart
+    reach = (most + apart) // 2
     a, b = left.select(*within, "a").where("a is not null").distinct(), right.select(*within, "b").where("b is not null").distinct()
     k = most + 1
     size = lambda c, n, i: (F.floor((n * (i + 1)) / k) - F.floor((n * i) / k)).cast("int")
@@ -31,9 +32,9 @@ def similar(left: DataFrame, right: DataFrame, most: int, within: list[str] | No
     lb = F.length("b")
     pieces = b.select(*within, "b", lb.alias("lb"), F.explode(F.transform(F.sequence(F.lit(0), F.lit(most)), lambda i: F.struct(i.alias("i"), F.substring(F.col("b"), first(lb, i) + 1, size(None, lb, i)).alias("piece")))).alias("p")).select(*within, "b", "lb", "p.i", "p.piece")
     la = F.length("a")
-    wide = a.select(*within, "a", F.explode(F.sequence(F.greatest(F.lit(0), la - most), la + most)).alias("lb"))
+    wide = a.select(*within, "a", F.explode(F.sequence(F.greatest(F.lit(0), la - apart), la + apart)).alias("lb"))
     cuts = wide.select(*within, "a", "lb", F.explode(F.sequence(F.lit(0), F.lit(most))).alias("i"))
-    cuts = cuts.select(*within, "a", "lb", "i", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(-most), F.lit(most)), lambda s: F.when(first(F.col("lb"), F.col("i")) + s >= 0, F.substring(F.col("a"), first(F.col("lb"), F.col("i")) + s + 1, size(None, F.col("lb"), F.col("i"))))))).alias("piece")).where("piece is not null")
+    cuts = cuts.select(*within, "a", "lb", "i", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(-reach), F.lit(reach)), lambda s: F.when(first(F.col("lb"), F.col("i")) + s >= 0, F.substring(F.col("a"), first(F.col("lb"), F.col("i")) + s + 1, size(None, F.col("lb"), F.col("i"))))))).alias("piece")).where("piece is not null")
     pairs = cuts.join(pieces, [*within, "lb", "i", "piece"]).select(*within, "a", "b").distinct()
     return pairs.withColumn("distance", F.levenshtein("a", "b", most)).where("distance >= 0")
 
@@ -119,7 +120,7 @@ def fuzzy_pairs(m: Model) -> DataFrame:
     """(doc_id, a, b, distance) of package names that are misreadings of each other: five letters or more, one to three letters longer or
     shorter, and no more edits than a third of the longer one (two at least, six at most)."""
     names = m.package.where(F.length("name") >= LEAST_LENGTH).select("doc_id", "name").distinct()
-    p = similar(names.select("doc_id", F.col("name").alias("a")), names.select("doc_id", F.col("name").alias("b")), MOST_EDITS, ["doc_id"]).where("a < b")
+    p = similar(names.select("doc_id", F.col("name").alias("a")), names.select("doc_id", F.col("name").alias("b")), MOST_EDITS, ["doc_id"], MOST_LONGER).where("a < b")
     apart = F.abs(F.length("a") - F.length("b"))
     allowed = F.least(F.lit(MOST_EDITS), F.greatest(F.lit(2), F.floor(F.greatest(F.length("a"), F.length("b")) / 3)))
     return p.where(apart.between(LEAST_LONGER, MOST_LONGER) & (F.col("distance") <= allowed))

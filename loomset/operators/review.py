@@ -10,10 +10,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..frames import written
 from ..functions.names import blank
 
 RESPONSE = "corrected STRUCT<class_name: STRING>, confidence DOUBLE, notes STRING"
 TRIES = 3
+#: Most fixtures that are looked for in every text.
+MOST_FIXTURES = 1_000
 
 
 class Provider(Protocol):
@@ -116,6 +119,8 @@ def fixture_responses(entries: DataFrame, fixtures: DataFrame) -> DataFrame:
     exact = fixtures.where(F.col("stem").startswith("semantic_")).select(F.expr("substring(stem, 10)").alias("raw_text"), F.col("body").alias("exact"))
     inside = fixtures.where(~F.col("stem").startswith("semantic_") & (F.col("stem") != "default")).select("stem", F.col("body").alias("inside"))
     default = fixtures.where("stem = 'default'").select("body").limit(1).collect()
+    if inside.limit(MOST_FIXTURES + 1).count() > MOST_FIXTURES:
+        raise ValueError(f"more than {MOST_FIXTURES} fixtures to look for")
     x = entries.join(exact, "raw_text", "left").join(F.broadcast(inside), F.col("raw_text").contains(F.col("stem")), "left")
     rest = default[0].body if default else '{"corrected": {}, "confidence": 0.0, "notes": "no fixture"}'
     return x.groupBy("case_id").agg(F.coalesce(F.max("exact"), F.min_by("inside", "stem"), F.lit(rest)).alias("response"))
@@ -124,3 +129,43 @@ def fixture_responses(entries: DataFrame, fixtures: DataFrame) -> DataFrame:
 def audit_lines(answered: DataFrame) -> DataFrame:
     """JSON lines of what was asked and answered, responses cut to 500 characters."""
     return answered.select(F.to_json(F.struct("case_id", F.left("response", F.lit(500)).alias("response"), "outcome"), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def reviewed(entries: DataFrame, cache: DataFrame, provider: Provider, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(entries with response, corrected and outcome; the responses that are new to the cache). Cached entries aren't asked again; a failed call
+    leaves the outcome ``provider_exception``. The answers are written once, so that nothing is asked twice."""
+    hit, miss = split_by_cache(entries, cache)
+    got = written(ask(miss.select("case_id", prompt().alias("prompt")), provider))
+    return _judged(entries, hit, got, known), got.where("response is not null").select("case_id", "response")
+
+
+def reviewed_in_batches(entries: DataFrame, cache: DataFrame, provider: Provider, known: DataFrame, size: int = 14, within: str = "package") -> tuple[DataFrame, DataFrame]:
+    """As ``reviewed``, with one call for each batch of entries. An answer is a list of objects with a case_id; of several the last counts. A
+    batch whose call fails or whose answer is no list leaves all its entries unanswered (``provider_exception``, ``json_invalid``), a missing or
+    odd object its own entry (``missing_entry``). New answers go to the cache even if they change nothing."""
+    hit, miss = split_by_cache(entries, cache)
+    b = batches(miss.withColumn(within, F.coalesce(within, F.lit(""))), size, [within])
+    p = batch_prompts(b, [within, "batch"]).withColumn("case_id", F.concat_ws("#", within, "batch"))
+    said = written(ask(p.select("case_id", "prompt"), provider)).withColumnRenamed("case_id", "call")
+    items = F.try_variant_get(F.try_parse_json("response"), "$", "array<variant>")
+    said = said.select("call", "failure", items.alias("items"))
+    one = said.select("call", F.posexplode("items").alias("at", "item")).select("call", "at", F.try_variant_get("item", "$.case_id", "string").alias("case_id"), F.to_json("item").alias("response")).where("case_id is not null")
+    one = one.groupBy("call", "case_id").agg(F.max_by("response", "at").alias("response"))
+    x = b.select("case_id", F.concat_ws("#", within, "batch").alias("call")).join(said, "call").join(one, ["call", "case_id"], "left")
+    got = written(x.select("case_id", "response", F.when(F.col("failure").isNotNull(), F.col("failure")).alias("failure"), F.when(F.col("failure").isNull(), F.when(F.col("items").isNull(), "json_invalid").when(F.col("response").isNull(), "missing_entry")).alias("reason")))
+    return _judged(entries, hit, got, known), got.where("response is not null").select("case_id", "response")
+
+
+def _judged(entries: DataFrame, hit: DataFrame, got: DataFrame, known: DataFrame) -> DataFrame:
+    reason = F.col("reason") if "reason" in got.columns else F.lit(None).cast("string")
+    answers = hit.select("case_id", "response", F.lit(None).cast("string").alias("reason")).unionByName(got.select("case_id", "response", F.when(F.col("failure").isNotNull(), "provider_exception").otherwise(reason).alias("reason")))
+    x = decided(entries.join(answers, "case_id"), known)
+    return x.withColumn("outcome", F.coalesce("reason", "outcome")).withColumn("corrected", F.when(F.col("reason").isNull(), F.col("corrected"))).drop("reason")
+
+
+def still_uncertain(decisions: DataFrame, names: DataFrame) -> DataFrame:
+    """The entries that stay: those without an accepted answer, and corrections of texts that no class (``name``) has."""
+    there = names.select(F.col("name").alias("raw_text"), F.lit(True).alias("_there")).distinct()
+    x = decisions.join(there, "raw_text", "left")
+    done = (F.col("outcome") == "confirmed") | ((F.col("outcome") == "corrected") & F.coalesce("_there", F.lit(False)))
+    return x.where(~done).drop("_there")

@@ -1,0 +1,72 @@
+"""Remote reviewers as callables that the workers call. Each takes its address, model and key as parameters; none is contacted before it is
+asked."""
+
+from __future__ import annotations
+
+import json
+import urllib.request
+from collections.abc import Callable
+from dataclasses import dataclass
+
+Send = Callable[[str, dict, dict], dict]
+
+
+def post(url: str, body: dict, headers: dict, timeout: float = 60) -> dict:
+    """The JSON answer to a JSON request."""
+    request = urllib.request.Request(url, json.dumps(body).encode(), {"Content-Type": "application/json", **headers})
+    with urllib.request.urlopen(request, timeout=timeout) as r:
+        return json.load(r)
+
+
+@dataclass(frozen=True)
+class Chat:
+    """A service that answers lists of messages with choices."""
+
+    url: str
+    model: str
+    key: str
+    most_tokens: int = 4096
+    send: Send = post
+
+    def __call__(self, prompt: str) -> str:
+        body = {"model": self.model, "max_tokens": self.most_tokens, "messages": [{"role": "user", "content": prompt}]}
+        return self.send(self.url, body, {"Authorization": f"Bearer {self.key}"})["choices"][0]["message"]["content"]
+
+
+@dataclass(frozen=True)
+class Messages:
+    """A service that answers lists of messages with blocks of content."""
+
+    url: str
+    model: str
+    key: str
+    version: str
+    most_tokens: int = 2048
+    send: Send = post
+
+    def __call__(self, prompt: str) -> str:
+        body = {"model": self.model, "max_tokens": self.most_tokens, "messages": [{"role": "user", "content": prompt}]}
+        blocks = self.send(self.url, body, {"x-api-key": self.key, "version": self.version})["content"]
+        return "".join(b.get("text", "") for b in blocks)
+
+
+@dataclass(frozen=True)
+class Local:
+    """A service on one's own machines that answers a prompt."""
+
+    url: str
+    model: str
+    send: Send = post
+
+    def __call__(self, prompt: str) -> str:
+        return self.send(self.url, {"model": self.model, "prompt": prompt, "stream": False}, {})["response"]
+
+
+@dataclass(frozen=True)
+class Fixed:
+    """Always the same answer, for tests and dry runs."""
+
+    answer: str
+
+    def __call__(self, prompt: str) -> str:
+        return self.answer

@@ -21,6 +21,7 @@ from loomset.plans import emit
 from loomset.plans.package import Packages
 from loomset.sources.models import PackageSource, assoc, attr, cls, cref, env_settings, from_code, ir_documents, known_classes, multiplicity, provider_name, union_of_known
 from loomset.operators.graph import transitive_closure
+from loomset.sources.providers import Chat, Fixed, Local, Messages
 from loomset.sources.reference_model import concept_map, map_concept, reference_model
 from loomset.streaming.orphans import as_changes, follow
 
@@ -246,6 +247,53 @@ def test_review(spark, tmp_path):
     assert max(len(json.loads(r.value)["response"]) for r in spark.read.text(str(tmp_path / "audit")).collect()) == 500
 
 
+def test_review_flows(spark):
+    e = spark.createDataFrame([(f"c{k}", "P", t, "x", "") for k, t in enumerate(["Foo", "Bar", "Baz", "Qux"])], "case_id string, package string, raw_text string, uncertainty_reason string, context_snippet string")
+    cache = spark.createDataFrame([("c3", '{"corrected": {"class_name": "Known"}}', datetime(2024, 1, 1))], "case_id string, response string, created_at timestamp")
+    known = spark.createDataFrame([("Known",)], "name string")
+
+    def one(prompt):
+        if "Bar" in prompt:
+            raise OSError
+        return '{"corrected": {"class_name": "Known"}}' if "Foo" in prompt else "no json"
+
+    d, new = review.reviewed(e, cache, one, known)
+    assert {r.case_id: r.outcome for r in d.collect()} == {"c0": "corrected", "c1": "provider_exception", "c2": "json_invalid", "c3": "corrected"} and new.count() == 2
+    left = review.still_uncertain(d, spark.createDataFrame([("Foo",)], "name string"))
+    assert {r.case_id for r in left.collect()} == {"c1", "c2", "c3"}
+
+    def many(prompt):
+        if "c2" in prompt:
+            return "[]"
+        return json.dumps([{"case_id": "c0", "corrected": {}}, {"case_id": "c1", "corrected": {"class_name": "No"}}, {"case_id": "c0", "corrected": {"class_name": "Known"}}])
+
+    d, new = review.reviewed_in_batches(e, cache, many, known, size=2)
+    assert {r.case_id: r.outcome for r in d.collect()} == {"c0": "corrected", "c1": "business_invalid", "c2": "missing_entry", "c3": "corrected"} and new.count() == 2
+    for said, want in (("x", "json_invalid"), ("{}", "json_invalid")):
+        d, _ = review.reviewed_in_batches(e, cache, Fixed(said), known)
+        assert {r.outcome for r in d.collect()} == {want, "corrected"}
+    seen = {}
+    send = lambda url, body, headers: seen.update(body) or {"choices": [{"message": {"content": "a"}}], "content": [{"text": "b"}], "response": "c"}
+    assert [Chat("u", "m", "k", send=send)("p"), Messages("u", "m", "k", "v", send=send)("p"), Local("u", "m", send=send)("p")] == ["a", "b", "c"] and seen["model"] == "m"
+
+
+def test_members_of_forms(spark, m):
+    owl = {tuple(r)[1:4] for r in consistency.triples_members(triples.owl(m), triples.NS).collect()}
+    assert ("Line", "attribute", "id") in owl and ("Line", "association", "ends") in owl
+    sh = {(r.class_name, r.name): (r.value, r.multiplicity) for r in consistency.shape_members(triples.shacl(m)).collect()}
+    assert sh["Line", "ends"] == ("Twin", "1..*") and sh["Root", "id"] == ("string", "1") and sh["Line", "id"] == ("integer", "0..1")
+    files = emit.emitted(m, ["json-schema", "python-types"])
+    js = {(r.class_name, r.name): (r.kind, r.value) for r in consistency.schema_members(files.where("form = 'json-schema'")).collect()}
+    assert js["Line", "ends"] == ("association", "Twin") and js["Line", "id"] == ("attribute", "integer")
+    py = {(r.class_name, r.name): (r.kind, r.value) for r in consistency.source_members(files.where("form = 'python-types'")).collect()}
+    assert py["Line", "Twin"] == ("association", "Twin") and py["Root", "id"] == ("attribute", "str")
+    x = consistency.differing_members(consistency.schema_members(files.where("form = 'json-schema'")), consistency.source_members(files.where("form = 'python-types'")))
+    assert {(r.name, r.side) for r in x.collect()} == {("_bad_", "model")}
+    p = consistency.probed(m.named().select("doc_id", "package", F.col("name").alias("class_name")), consistency.triples_classes(triples.owl(m), "owl"), ["owl", "shacl"])
+    text = consistency.report(consistency.matrix(p, ["owl", "shacl"]), p, ["owl", "shacl"])
+    assert "| Core | 2 | 0 | 2 | 0 |" in text and "Core::Root: shacl" in text
+
+
 def test_metrics(spark):
     ev = [("counter", "n", {"a": "1", "b": "2"}, 2.0, 1), ("counter", "n", {"b": "2", "a": "1"}, 3.0, 2), ("histogram", "h", {}, 4.0, 3), ("histogram", "h", {}, 8.0, 4), ("gauge", "g", None, 1.0, 6), ("gauge", "g", None, 9.0, 5), ("gauge", None, None, 9.0, 5)]
     schema = "kind string, name string, labels map<string,string>, value double, ord int"
