@@ -43,12 +43,17 @@ def _components(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     loops = nodes.join(known.where("root is null").select("id"), "id")
     if not left:
         return trees, loops.select("id", "parent", F.col("id").alias("comp"), F.lit(True).alias("on_loop"))
-    step = cut(loops.select("id", F.col("parent").alias("far"), F.least("id", "parent").alias("least")))
-    steps = 1
-    while steps < left:  # then every far node is on the loop, and least has seen all of it from there
+    step = cut(loops.select("id", F.col("parent").alias("far"), F.least("id", "parent").alias("least"), F.lit(True).alias("moved")))
+    seen = None
+    while True:
+        # As long a walk again reaches no fewer nodes: all of them are on loops. No least changed: each is that of its whole loop, as two
+        # walks in a row, which hold different nodes unless they go around, have the same one.
+        ends, moved = step.agg(F.countDistinct("far"), F.count_if("moved")).first()
+        if ends == seen and not moved:
+            break
+        seen = ends
         up = step.select(F.col("id").alias("far"), F.col("far").alias("next"), F.col("least").alias("other"))
-        step = cut(step.join(up, "far").select("id", F.col("next").alias("far"), F.least("least", "other").alias("least")))
-        steps *= 2
+        step = cut(step.join(up, "far").select("id", F.col("next").alias("far"), F.least("least", "other").alias("least"), (F.col("other") < F.col("least")).alias("moved")))
     ring = step.select(F.col("far").alias("id")).distinct().join(step, "id").select(F.col("id").alias("far"), F.col("least").alias("comp"))
     loops = loops.join(step.select("id", "far"), "id").join(ring, "far").select("id", "parent", "comp")
     return trees, loops.join(ring.select(F.col("far").alias("id"), F.lit(True).alias("on_loop")), "id", "left").fillna(False, ["on_loop"])
