@@ -6,6 +6,7 @@ import argparse
 
 from .plans import emit
 from .plans.package import Packages
+from .plans.pipeline import build
 from .session import local_session
 from .sinks import write_files
 from .sources import markdown
@@ -31,15 +32,15 @@ def main(args: list[str] | None = None) -> int:
         n = write_files(files, a.output).count()
         print(f"{n} files")
         return 0 if n else 1
-    m = markdown.resolved(markdown.model(markdown.documents(spark, a.input))[0])
-    files = emit.emitted(m, a.form)
-    if a.do == "verify":
-        issues = emit.verified(files).collect()
-        print(*(f"{i.path}: {i.issue}" for i in issues), sep="\n")
-        return int(bool(issues))
-    one = m.package.select("doc_id").distinct().limit(2).count() < 2
-    print(f"{write_files(files, a.output, by_document=not one).count()} files")
-    return 0
+    if a.do == "build":
+        built = build(spark, a.input, a.output, a.form)
+        print(*(f"{form}: {n} files" for form, n in sorted(built.stats.items())), sep="\n")
+        issues = built.issues.collect()
+    else:
+        m = markdown.resolved(markdown.model(markdown.documents(spark, a.input))[0])
+        issues = emit.verified(emit.emitted(m, a.form)).collect()
+    print(*(f"{i.path}: {i.issue}" for i in issues), sep="\n")
+    return int(bool(issues))
 
 
 if __name__ == "__main__":

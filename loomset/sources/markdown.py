@@ -44,6 +44,11 @@ def documents(spark: SparkSession, path: str) -> DataFrame:
     return x.select(F.xxhash64("path").alias("doc_id"), "path", F.col("value").alias("text"), F.sha2("value", 256).alias("sha256"))
 
 
+def source_info(docs: DataFrame) -> DataFrame:
+    """(doc_id, document_path, document_sha256, parsed_at, parser_version) of documents."""
+    return docs.select("doc_id", F.col("path").alias("document_path"), F.col("sha256").alias("document_sha256"), F.current_timestamp().alias("parsed_at"), F.lit(PARSER_VERSION).alias("parser_version"))
+
+
 def _cells(line: str) -> list[str]:
     s = line.strip()
     s = s[1:] if s.startswith("|") else s

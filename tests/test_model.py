@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loomset import sinks
 from loomset.cli import main as cli
+from loomset.errors import PipelineError, Severity, configure_logging
 from loomset.functions import datatypes as D
 from loomset.functions import headings as H
 from loomset.functions import multiplicity as M
@@ -19,6 +20,8 @@ from loomset.operators import consistency, metrics, resolve, review, triples, va
 from loomset.operators.orphans import Orphans
 from loomset.plans import emit
 from loomset.plans.package import Packages
+from loomset.plans.pipeline import build
+from loomset.sources import markdown
 from loomset.sources.models import PackageSource, assoc, attr, cls, cref, env_settings, from_code, ir_documents, known_classes, multiplicity, provider_name, union_of_known
 from loomset.operators.graph import transitive_closure
 from loomset.sources.providers import Chat, Fixed, Local, Messages
@@ -342,6 +345,22 @@ def test_stream_of_changes(spark, tmp_path):
     assert {x.ref_id for x in state.orphans().collect()} == {0, 2, 3} and len(seen) == 2
 
 
+def test_build_with_review(tmp_path, spark):
+    def answer(prompt):
+        return json.dumps({"corrected": {"class_name": "Beta" if "Beto" in prompt else "Nope"}})
+
+    (tmp_path / "d.md").write_text("## A.1（Alpha）\n\n| 属性 | 类型 |\n|---|---|\n| a | int |\n\n## A.2（Beto）\n", encoding="utf-8")
+    known = spark.createDataFrame([("Beta",)], "name string")
+    b = build(spark, str(tmp_path / "d.md"), str(tmp_path / "out"), ["json-schema", "shacl"], answer, known)
+    assert {r.name for r in b.model.classes.collect()} == {"Alpha", "Beta"} and {r.raw_text for r in b.uncertain.collect()} == {"Alpha"}
+    assert b.stats == {"json-schema": 1, "shacl": 1} and b.issues.count() == 0 and b.manifest.count() == 2
+    assert set(json.loads((tmp_path / "out" / "Core_schema.json").read_text())["properties"]) == {"Alpha", "Beta"}
+    info = markdown.source_info(markdown.documents(spark, str(tmp_path / "d.md"))).first()
+    assert info.document_path.endswith("d.md") and len(info.document_sha256) == 64
+    assert "hint: h" in str(PipelineError(Severity.WARN, "s", "m", suggestion="h"))
+    configure_logging("WARNING")
+
+
 def test_command_line(tmp_path, spark):
     (tmp_path / "d.md").write_text("## 1 Class: Alpha\n\n| 属性 | 类型 | 基数 |\n|---|---|---|\n| a | int | 1..1 |\n", encoding="utf-8")
     assert cli(["build", "-i", str(tmp_path / "d.md"), "-o", str(tmp_path / "out"), "-f", "json-schema"]) == 0
