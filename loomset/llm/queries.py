@@ -106,8 +106,12 @@ c AS (SELECT rec_id, {_BARE("package_name")} AS a, {_BARE("class_name")} AS b, C
 """
 
 
+def _form(name: str, key: str, col: str) -> str:
+    return lookalikes.sql().replace("FROM batch", f"FROM (SELECT {key} AS id, {col} AS text FROM {name} WHERE {col} IS NOT NULL)").replace("AS form", "AS form, text")
+
+
 def _same_reading(name: str, key: str, col: str) -> str:
-    form = lookalikes.sql().replace("FROM batch", f"FROM (SELECT {key} AS id, {col} AS text FROM {name} WHERE {col} IS NOT NULL)").replace("AS form", "AS form, text")
+    form = _form(name, key, col)
     return f"SELECT DISTINCT '{name}' AS source_table, a.id AS row_a, b.id AS row_b FROM ({form}) a JOIN ({form}) b ON a.form = b.form AND a.text <> b.text AND a.id < b.id"
 
 
@@ -129,9 +133,15 @@ def oracle_sql() -> dict[str, str]:
         "p1_found": _P1 + ", g AS (SELECT rec_id, min(rec_id) OVER (PARTITION BY a, b, p) AS keep_id FROM c) SELECT DISTINCT keep_id, rec_id AS copy_id FROM g WHERE rec_id <> keep_id",
         "p1_kept": _P1 + "SELECT min(rec_id) AS keep_id, count(*) AS copies FROM c GROUP BY a, b, p",
         "p6_found": " UNION ALL ".join(_same_reading(*x) for x in _TEXTS),
+        "p6_forms": " UNION ALL ".join(f"SELECT '{x[0]}' AS source_table, id AS row_id, form FROM ({_form(*x)})" for x in _TEXTS),
         "p7_found": f"SELECT DISTINCT item_id, doc_id FROM ({_runs('eval_items', 'item_id', _N)}) JOIN ({_runs('documents', 'doc_id', _N)}) USING (run)",
         "p9_found": f"""
             WITH h AS (SELECT DISTINCT doc_id, hash(substr(text, i, {_L})) AS h FROM documents, unnest(range(1, length(text) - {_L - 2})) AS t(i) WHERE length(text) >= {_L}),
             d AS (SELECT * FROM h WHERE h IN (SELECT h FROM h GROUP BY h HAVING count(*) > 1))
             SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM d a JOIN d b ON a.h = b.h AND a.doc_id < b.doc_id""",
+        "p9_shared": f"""
+            WITH h AS (SELECT doc_id, i, hash(substr(text, i, {_L})) AS h FROM documents, unnest(range(1, length(text) - {_L - 2})) AS t(i) WHERE length(text) >= {_L}),
+            m AS (SELECT doc_id, least({_L}, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, {_L})) AS part FROM h WHERE h IN (SELECT h FROM h GROUP BY h HAVING count(DISTINCT doc_id) > 1)),
+            s AS (SELECT doc_id, sum(part)::BIGINT AS shared FROM m GROUP BY 1)
+            SELECT doc_id, length(text) AS n_chars, coalesce(shared, 0) AS shared_chars, CASE WHEN length(text) > 0 THEN coalesce(shared, 0) / length(text) ELSE 0.0 END AS share FROM documents LEFT JOIN s USING (doc_id) WHERE text IS NOT NULL""",
     }
