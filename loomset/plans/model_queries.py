@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..frames import table
+from ..functions import datatypes as D
 from ..operators import consistency, graph, resolve, triples
 from . import emit
 from .model import Model, nested
-from .names_queries import STRIP
+from .names_queries import _NORM, NOISE, STRIP, _map
 from .registry import Registry
 
 query = Registry()
@@ -269,12 +270,64 @@ def _tidy(spark: SparkSession, sf: str) -> Model:
     return emit.tidy(model(spark, sf))
 
 
+_COUNT = "len(list_filter(n.{0}, lambda x: x IS NOT NULL))".format
+
+
+@query(
+    CORPUS_SQL
+    + f""", ca AS (SELECT package, min(pkg_ord) AS canon FROM pk WHERE package IS NOT NULL GROUP BY 1), c AS (SELECT cl.*, canon FROM cl JOIN ca USING (package)),
+    k AS (SELECT *, row_number() OVER (PARTITION BY canon, name ORDER BY pkg_ord <> canon, pkg_ord, cls_ord) AS r FROM c), m AS (SELECT *, row_number() OVER (PARTITION BY canon ORDER BY pkg_ord, cls_ord) AS at FROM k WHERE pkg_ord = canon OR r = 1),
+    q AS (SELECT package, name, canon, at, coalesce({_COUNT("attributes")}, 0) AS n_attr, coalesce({_COUNT("associations")}, 0) AS n_assoc, coalesce({_COUNT("parents")}, 0) AS n_parent, coalesce({STRIP("n.description")}, '') <> '' AS d FROM m),
+    w AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY n_attr DESC, n_assoc DESC, n_parent DESC, d DESC, canon, at) AS r FROM q)
+    SELECT package, name, canon AS pkg_ord, n_attr FROM w WHERE r = 1 OR name IS NULL""".replace(" AS at ", " AS place ").replace(", at,", ", place,").replace("canon, at)", "canon, place)")
+)
+def merged_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    """The classes of all documents as one, packages of a name merged, the richest class of each name kept."""
+    m = emit.tidy(corpus(spark, sf))
+    n = m.attribute.groupBy("doc_id", "pkg_ord", "cls_ord").agg(F.count("*").alias("n_attr"))
+    x = m.named().join(n, ["doc_id", "pkg_ord", "cls_ord"], "left")
+    return x.select("package", "name", "pkg_ord", F.coalesce("n_attr", F.lit(0)).alias("n_attr"))
+
+
 @query()
 def tidy_classes(spark: SparkSession, sf: str) -> DataFrame:
     """The classes left when packages are merged and classes deduplicated."""
     return _tidy(spark, sf).named().select("doc_id", "package", "name", "cls_ord")
 
 
+_NAMED_XSD = f"(SELECT *, {STRIP('n.data_type')} AS s, {STRIP('name')} AS t FROM atr WHERE holder IS NOT NULL)"
+_UPPER = "regexp_matches(class_name, '^\\p{Lu}')"
+
+
+@query(
+    MODEL_SQL
+    + f""", x AS (SELECT doc_id, pkg_ord, cls_ord, own AS package, 0 AS top, 0 AS phase, ord, name AS term, 'cim:' || holder || '.' || name AS id, {_NORM} AS kind FROM {_NAMED_XSD} WHERE t <> '' AND NOT regexp_matches(name, '{NOISE}') AND regexp_matches(name, '[\\x00-\\x7f]')
+    UNION ALL SELECT doc_id, pkg_ord, cls_ord, own, 0, 1, ord, name, 'cim:' || holder || '.' || name, '@id' FROM sc WHERE holder IS NOT NULL AND name IS NOT NULL AND {_UPPER}
+    UNION ALL SELECT doc_id, pkg_ord, cls_ord, package, 1, 2, 0, name, 'cim:' || name, '@id' FROM cl WHERE name <> '' AND NOT regexp_matches(name, '{NOISE}')),
+    r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, pkg_ord, term ORDER BY top DESC, cls_ord DESC, phase DESC, ord DESC) AS r FROM x) SELECT doc_id, pkg_ord, package, term, id, kind FROM r WHERE r = 1"""
+)
+def context_terms(spark: SparkSession, sf: str) -> DataFrame:
+    """Terms of each package's context as delivered: classes above members, later members above earlier ones."""
+    return emit.context_terms(model(spark, sf)).select("doc_id", "pkg_ord", "package", "term", "id", "kind")
+
+
+_SLUG = f"CASE WHEN coalesce(t, '') = '' OR regexp_matches(t, '{NOISE}') THEN 'ocr_noise_attr' ELSE left(regexp_replace(t, '[^A-Za-z0-9._]', '_', 'g'), 64) END"
+_RULE = "NOT coalesce(name <> '' AND (t = '' OR regexp_matches(t, '^[-:|]*-[-:|]*$')), false)"
+
+
+@query(
+    MODEL_SQL
+    + f""", a AS (SELECT doc_id, pkg_ord, cls_ord, 0 AS phase, ord, {_SLUG} AS slug, {_NORM} AS xsd, coalesce(n.required, false) AS required, NULL::VARCHAR AS ref FROM (SELECT *, {STRIP('n.data_type')} AS s, {STRIP('name')} AS t FROM atr) WHERE {_RULE}
+    UNION ALL SELECT doc_id, pkg_ord, cls_ord, 1, ord, {_SLUG}, NULL::VARCHAR, false, '#/properties/' || class_name FROM (SELECT *, {STRIP('name')} AS t FROM sc) WHERE {_RULE} AND {_UPPER}),
+    r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, pkg_ord, cls_ord, slug ORDER BY phase DESC, ord DESC) AS r, bool_or(required) OVER (PARTITION BY doc_id, pkg_ord, cls_ord, slug) AS needed FROM a)
+    SELECT doc_id, pkg_ord, cls_ord, slug, CASE WHEN ref IS NULL THEN coalesce({_map(D.JSON_TYPE)}[xsd], 'string') END AS type, ref, needed AS required FROM r WHERE r = 1"""
+)
+def schema_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields of each class's schema as delivered."""
+    x = emit.schema_fields(model(spark, sf))
+    return x.select("doc_id", "pkg_ord", "cls_ord", "slug", F.get_json_object("value", "$.type").alias("type"), F.get_json_object("value", "$['$ref']").alias("ref"), "required")
+
+
 @query()
 def jsonld_terms(spark: SparkSession, sf: str) -> DataFrame:
     return emit.context_terms(_tidy(spark, sf)).select("doc_id", "package", "term", "id", "kind")
