@@ -38,4 +38,17 @@ def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: smaller than a checkpoint where rows are wide."""
     path = f"{shared_dir(df.sparkSession)}/loomset-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.parquet(path)
+
+
+_written: list[str] = []
+
+
+def clear(spark: SparkSession) -> int:
+    """Deletes the tables that ``written`` has left in the shared folder, once nothing reads them any more; gives their number."""
+    context, n = spark.sparkContext, len(_written)
+    while _written:
+        path = context._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    return n

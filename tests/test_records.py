@@ -149,3 +149,12 @@ def test_flattened_columns(spark):
 def test_text_without_any_list(spark):
     f = Flattened.text(spark.createDataFrame([], "id bigint, payload string"), "id", "payload", "packages")
     assert f.nodes == {}
+
+
+def test_written_tables_are_cleared(spark):
+    from loomset.frames import clear, shared_dir, written
+
+    clear(spark)
+    x = written(spark.range(5).toDF("id"))
+    assert x.count() == 5 and x.inputFiles()[0].split("/loomset-")[0].endswith(shared_dir(spark).split("/")[-1])
+    assert clear(spark) == 1 and clear(spark) == 0
