@@ -192,9 +192,12 @@ def reference_closure(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("WITH RECURSIVE c AS (SELECT DISTINCT package || '.' || name AS b, p.package || '.' || p.class_name AS a FROM (SELECT package, name, unnest(parents) AS p FROM class_def) WHERE p.class_name IS NOT NULL AND package = p.package), r AS (SELECT b, a FROM c UNION SELECT r.b, c.a FROM r JOIN c ON c.b = r.a) SELECT b AS sub, a AS super FROM r")
 def subclass_closure(spark: SparkSession, sf: str) -> DataFrame:
-    """The subclass relation within packages, closed."""
-    x = table(spark, sf, "class_def").select("package", "name", F.explode("parents").alias("p")).where("p.class_name is not null and package = p.package")
-    return graph.transitive_closure(x.select(F.concat_ws(".", "package", "name").alias("a"), F.concat_ws(".", "p.package", "p.class_name").alias("b"))).select(F.col("a").alias("sub"), F.col("b").alias("super"))
+    """The subclass relation of all parent links, within packages and across them, closed; classes are told apart by package and name. The SQL
+    holds links within a package only."""
+    x = table(spark, sf, "class_def").select("package", "name", F.explode("parents").alias("p")).where("p.class_name is not null")
+    key = lambda package, name: F.struct(F.col(package).alias("package"), F.col(name).alias("name"))
+    c = graph.transitive_closure(x.select(key("package", "name").alias("a"), key("p.package", "p.class_name").alias("b")))
+    return c.select(F.concat_ws(".", "a.package", "a.name").alias("sub"), F.concat_ws(".", "b.package", "b.name").alias("super"))
 
 
 _T = triples
