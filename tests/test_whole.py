@@ -25,3 +25,10 @@ def test_subclass_closure_crosses_packages(run):
     got = run("subclass_closure", class_def=(rows, f"package string, name string, parents array<{REF}>")).collect()
     pairs = "P.A>Q.B P.A>R.C Q.B>R.C P.D>P.A P.D>Q.B P.D>R.C P.B>P.Z P.x.A>P.y P.x.A>Q.w".split()
     assert sorted((r.sub, r.super) for r in got) == sorted(tuple(p.split(">")) for p in pairs)
+
+
+def test_md_tables_of_any_script(run):
+    texts = ["a|b\n1|2", "señal|tipo\n---|---\nx|é\n\u3000\ny|z", "名字|类型|重数\n:-:|-|-\n\xa0\n\u3000甲|乙|1", "\xa0--|--\n属性", "", None]
+    rows = [(k, "d", k, "table", 0, t) for k, t in enumerate(texts)] + [(9, "d", 9, "paragraph", 0, "señal|x")]
+    got = run("md_tables", md_token=(rows, "tok_id bigint, std_doc string, tok_ord int, type string, level int, content string")).collect()
+    assert sorted(map(tuple, got)) == [(0, 1, 2), (1, 2, 2), (2, 1, 3), (3, 0, 1)]
