@@ -164,13 +164,14 @@ _EDGES = "SELECT DISTINCT from_package AS a, to_package AS b FROM cross_package_
 
 
 def _package_edges(spark: SparkSession, sf: str) -> DataFrame:
-    x = table(spark, sf, "cross_package_ref").where("from_package < to_package")
+    x = table(spark, sf, "cross_package_ref").where("from_package <> to_package")
     return x.select(F.col("from_package").alias("a"), F.col("to_package").alias("b")).distinct()
 
 
 @query(f"WITH RECURSIVE e AS ({_EDGES}), n AS (SELECT a AS id FROM e UNION SELECT b FROM e), l AS (SELECT id, 0 AS level FROM n WHERE id NOT IN (SELECT b FROM e) UNION SELECT e.b, l.level + 1 FROM l JOIN e ON e.a = l.id WHERE l.level < 200) SELECT id, max(level)::INT AS level FROM l GROUP BY 1")
 def topo_levels(spark: SparkSession, sf: str) -> DataFrame:
-    """Levels of packages by dependency, over the references that go forward in the alphabet (all of them hold loops)."""
+    """Levels of packages by dependency; null for packages on or behind a loop. The SQL, which can't tell loops, takes only the references that
+    go forward in the alphabet."""
     e = _package_edges(spark, sf)
     return graph.levels(e.select(F.col("a").alias("id")).union(e.select("b")), e)
 

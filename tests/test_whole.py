@@ -32,3 +32,9 @@ def test_md_tables_of_any_script(run):
     rows = [(k, "d", k, "table", 0, t) for k, t in enumerate(texts)] + [(9, "d", 9, "paragraph", 0, "señal|x")]
     got = run("md_tables", md_token=(rows, "tok_id bigint, std_doc string, tok_ord int, type string, level int, content string")).collect()
     assert sorted(map(tuple, got)) == [(0, 1, 2), (1, 2, 2), (2, 1, 3), (3, 0, 1)]
+
+
+def test_topo_levels_backwards_and_around_loops(run):
+    edges = [("z", "m"), ("m", "a"), ("z", "a"), ("z", "a"), ("c", "b"), ("b", "c"), ("a", "b"), ("c", "d"), ("d", "e"), ("m", "m"), (None, "q"), ("q", None)]
+    got = run("topo_levels", cross_package_ref=(edges, "from_package string, to_package string")).collect()
+    assert {tuple(r) for r in got} == {("z", 0), ("m", 1), ("a", 2), ("b", None), ("c", None), ("d", None), ("e", None)} and len(got) == 7
