@@ -180,13 +180,14 @@ def nearest_prefix(spark: SparkSession, sf: str) -> DataFrame:
     CASE WHEN fixed IS NULL AND k.name IS NULL THEN coalesce(near, []) ELSE [] END AS suggestions FROM x LEFT JOIN k USING (name) LEFT JOIN f USING (name) LEFT JOIN d USING (name)"""
 )
 def clean_class_names(spark: SparkSession, sf: str) -> DataFrame:
-    """Class names as scanned against the known ones (ASCII texts, which both engines measure alike)."""
-    x = table(spark, sf, "ocr_noise_samples").where(F.col("raw_text").rlike(r"^[\x00-\x7f]*\z")).select(F.col("raw_text").alias("name"))
+    """Class names as scanned against the known ones. The SQL, whose distance is by bytes, holds ASCII texts only."""
+    x = table(spark, sf, "ocr_noise_samples").select(F.col("raw_text").alias("name"))
     return resolve.clean_class_names(x, table(spark, sf, "class_def").where("name is not null").select("name"))
 
 
 @query(f"SELECT class_id, regexp_extract(regexp_extract(iri, '([^#]*)$', 1), '([^/]*)$', 1) AS local, regexp_replace(regexp_replace(lower(regexp_replace(description, '[^A-Za-z0-9]+', '-', 'g')), '^-+', ''), '-+$', '') AS slug FROM (SELECT DISTINCT class_id, iri, description FROM class_def WHERE coalesce(regexp_full_match(description, '[\\x00-\\x7f]*'), true))")
 def local_names(spark: SparkSession, sf: str) -> DataFrame:
-    """Local part of each class's IRI, and its (ASCII) description as a slug."""
-    x = table(spark, sf, "class_def").where(F.coalesce(F.col("description").rlike(r"^[\x00-\x7f]*\z"), F.lit(True))).select("class_id", "iri", "description").distinct()
+    """Local part of each class's IRI, and its description as a slug. The SQL, whose slugs keep ASCII letters only, holds classes of such
+    descriptions."""
+    x = table(spark, sf, "class_def").select("class_id", "iri", "description").distinct()
     return x.select("class_id", N.local_name(F.col("iri")).alias("local"), N.slug(F.col("description")).alias("slug"))
