@@ -68,3 +68,9 @@ def test_clean_class_names_of_any_script(run):
         assert r.value == resolve.CORRECTIONS.get(r.name, r.name) and r.correction_applied == (r.name in resolve.CORRECTIONS)
         assert r.suggestions == ([] if plain else [k for _, k in near]), r.name
         assert r.uncertainty_reason == (None if plain else "possible_typo" if near else "class_unknown"), r.name
+
+
+def test_shape_datatype_of_every_event(run):
+    rows = [(1, "click", '{"k": 5}'), (2, "view", '{"k": "x"}'), (3, "7", '{"k": "y"}'), (4, "signup", None), (5, None, '{"k": "z"}'), (6, "12", "{}")]
+    got = run("shape_datatype", events=(rows, "event_id bigint, event_type string, props string")).collect()
+    assert sorted((r.event_id, r.event_type) for r in got) == [(1, "click"), (2, "view"), (2, "view"), (3, "7"), (4, "signup"), (5, None)]
