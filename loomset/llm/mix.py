@@ -1,7 +1,8 @@
 """Mixing sources to target weights, by Sainte-Lague apportionment of equal-token blocks.
 
 Tokens are counted once over every text. Sources get integer quotas of blocks by the highest quotients share / (2 k + 1); each source's
-quota is apportioned over its shards by their tokens; within a shard, documents are taken in seeded order until its quota is filled.
+quota is apportioned over its shards by their tokens; within a shard, documents are taken in seeded order until its quota is filled. What a
+source can give is counted over all its shards, and small sources have fewer of them.
 Only sums by source and shard reach the driver: their number is bounded by ``MAX_CELLS``.
 """
 
@@ -20,6 +21,8 @@ from ..frames import written
 
 #: Most pairs of a target source and a shard whose sums come to the driver.
 MAX_CELLS = 1_000_000
+#: Blocks of tokens that a source should hold for each of its shards.
+SHARD_BLOCKS = 64
 #: Fixed value: the way the public vocabulary parts a text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _loaded: dict[str, object] = {}
@@ -93,7 +96,8 @@ class Mixture:
     A source of one side only takes no part: without documents its share can't be given (the others then share the whole in their
     proportions), without target its documents aren't used; both stand in ``shares``. Null sources are a source without target; null texts
     and empty ones have no tokens and aren't used. A document listed twice counts as often as it is listed. A target with a null or
-    non-positive share or max_repeats gets nothing; a source with several targets raises an error. Empty tables give empty results.
+    non-positive share or max_repeats gets nothing; a source with several targets raises an error, and so do sources that can't give one block
+    together. Empty tables give empty results.
     """
 
     def __init__(self, documents: DataFrame, targets: DataFrame, settings: Settings = Settings()):
@@ -112,6 +116,12 @@ class Mixture:
         cells: dict[str, dict[int, int]] = {}
         for r in used.groupBy("source", "shard").agg(F.sum("tokens").alias("n")).collect():  # bounded: sources * shards
             cells.setdefault(r.source, {})[r.shard] = r.n
+        self.parts = {x: min(self.shards, max(1, sum(c.values()) // (s.block * SHARD_BLOCKS))) for x, c in cells.items()}
+        for x, c in cells.items():
+            merged: dict[int, int] = {}
+            for k, n in c.items():
+                merged[k % self.parts[x]] = merged.get(k % self.parts[x], 0) + n
+            cells[x] = merged
         self.quotas = self._quotas(goal, cells)
 
     def _quotas(self, goal: dict, cells: dict[str, dict[int, int]]) -> list[tuple[str, int, int, int]]:
@@ -119,14 +129,18 @@ class Mixture:
         s = self.s
         names = sorted(x for x in cells if (goal[x].target_share or 0) > 0 and (goal[x].max_repeats or 0) > 0)
         shards = {x: sorted(cells[x]) for x in names}
-        room = {x: [cells[x][k] * goal[x].max_repeats // s.block for k in shards[x]] for x in names}
+        most = {x: [cells[x][k] * goal[x].max_repeats for k in shards[x]] for x in names}
+        room = {x: [-(-n // s.block) for n in most[x]] for x in names}  # the last block may be a part of one
         weights = [goal[x].target_share for x in names]
-        caps = [sum(room[x]) for x in names]
-        blocks = s.total // s.block if s.total is not None else int(min((c / w for c, w in zip(caps, weights)), default=0) * sum(weights))
+        sums = [sum(most[x]) for x in names]
+        caps = [-(-n // s.block) for n in sums]
+        blocks = s.total // s.block if s.total is not None else int(min((n / s.block / w for n, w in zip(sums, weights)), default=0) * sum(weights))
+        if names and s.total is None and not blocks:
+            raise ValueError(f"the sources can't give one block of {s.block} tokens in their shares")
         out = []
-        for x, n in zip(names, sainte_lague(weights, blocks, caps) if names else []):
-            for k, q in zip(shards[x], sainte_lague([float(cells[x][k]) for k in shards[x]], n, room[x])):
-                out.append((x, k, cells[x][k], q * s.block))
+        for x, n, cap in zip(names, sainte_lague(weights, blocks, caps) if names else [], caps):
+            for k, q, top in zip(shards[x], sainte_lague([float(cells[x][k]) for k in shards[x]], n, room[x]), most[x]):
+                out.append((x, k, cells[x][k], top if n == cap else min(q * s.block, top)))
         return out
 
     def _quota_frame(self) -> DataFrame:
@@ -136,7 +150,9 @@ class Mixture:
         """(doc_id, source, tokens, repeats) of every document that is used: whole passes over its shard, and once more if the middle of
         it lies in what is left of the shard's quota, in seeded order."""
         w = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(self.s.seed + 1), "doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        x = self.sharded.join(F.broadcast(self._quota_frame()), ["source", "shard"])  # at most MAX_CELLS rows
+        parts = self.tokens.sparkSession.createDataFrame(list(self.parts.items()), "source string, parts int")
+        x = self.sharded.join(F.broadcast(parts), "source").withColumn("shard", F.col("shard") % F.col("parts"))
+        x = x.join(F.broadcast(self._quota_frame()), ["source", "shard"])  # at most MAX_CELLS rows
         x = x.withColumn("until", F.sum("tokens").over(w)).withColumn("passes", F.floor(F.col("quota") / F.col("there")))
         again = (2 * F.col("until") - F.col("tokens") <= 2 * (F.col("quota") - F.col("passes") * F.col("there"))).cast("int")
         return x.select("doc_id", "source", "tokens", (F.col("passes") + again).cast("int").alias("repeats")).where("repeats > 0")
