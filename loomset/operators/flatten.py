@@ -32,20 +32,23 @@ class Shape:
 
 
 def _unwrapped(text: str | None, key: str, depth: int):
-    """The extraction in ``text``: the object that has ``key``, directly, in an envelope, or as text in either; None if there is none."""
-    try:
-        v = json.loads(text) if text is not None else None
-    except (ValueError, RecursionError):
-        return None
-    for _ in range(depth):
-        if isinstance(v, str):
-            try:
-                v = json.loads(v)
-            except (ValueError, RecursionError):
-                return None
-        elif isinstance(v, dict) and key not in v:
-            v = next((x for x in v.values() if isinstance(x, str | dict) and (not isinstance(x, str) or x.lstrip()[:1] in ("{", '"'))), None)
-    return v if isinstance(v, dict) and key in v else None
+    """The extraction in ``text``: the object that has ``key``, directly, in an envelope, or as text in either; None if there is none. All values
+    of an envelope are searched; of several extractions the one that lies least deep counts, then the first by the names of the fields."""
+    level = [] if text is None else [text]
+    for _ in range(depth + 1):
+        inner = []
+        for v in level:
+            if isinstance(v, str):
+                try:
+                    inner.append(json.loads(v))
+                except (ValueError, RecursionError):
+                    pass
+            else:
+                inner += [x for _, x in sorted(v.items()) if isinstance(x, dict) or (isinstance(x, str) and x.lstrip(" \t\r\n")[:1] in ("{", '"'))]
+        level = [x for x in inner if isinstance(x, str | dict)]
+        if found := [x for x in level if isinstance(x, dict) and key in x]:
+            return found[0]
+    return None
 
 
 def infer(df: DataFrame, text_col: str, key: str, depth: int = 4) -> Shape:
@@ -90,14 +93,18 @@ def _get(v: Column, name: str, kind: str = "variant") -> Column:
 
 
 def extraction(text: Column, key: str, depth: int = 4) -> Column:
-    """VARIANT of the extraction in ``text``: unreadable text has none."""
-    v = F.try_parse_json(text.cast("string"))
-    for _ in range(depth):
-        inner = F.filter(F.map_values(F.try_variant_get(v, "$", "map<string,variant>")), lambda x: F.try_variant_get(x, "$", "map<string,variant>").isNotNull() | F.coalesce(F.try_variant_get(x, "$", "string").rlike(r'^\s*[{"]'), F.lit(False)))
-        is_object = F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
-        has = F.map_contains_key(F.try_variant_get(v, "$", "map<string,variant>"), F.lit(key))
-        v = F.when(has, v).when(is_object, F.get(inner, F.lit(0))).otherwise(F.try_parse_json(F.try_variant_get(v, "$", "string")))
-    return F.when(F.map_contains_key(F.try_variant_get(v, "$", "map<string,variant>"), F.lit(key)), v)
+    """VARIANT of the extraction in ``text``, as ``_unwrapped`` finds it: unreadable text has none."""
+    fields = lambda x: F.try_variant_get(x, "$", "map<string,variant>")
+    words = lambda x: F.try_variant_get(x, "$", "string")
+    has = lambda x: F.coalesce(F.map_contains_key(fields(x), F.lit(key)), F.lit(False))
+    opens = lambda x: fields(x).isNotNull() | F.coalesce(words(x).rlike(r'^[ \t\r\n]*[{"]'), F.lit(False))
+
+    def inner(x: Column) -> Column:
+        values = F.transform(F.array_sort(F.map_keys(fields(x))), lambda k: F.element_at(fields(x), k))
+        return F.when(fields(x).isNotNull(), F.filter(values, opens)).otherwise(F.filter(F.array(F.try_parse_json(words(x))), lambda y: y.isNotNull()))
+
+    level = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.array(F.try_parse_json(text.cast("string"))), lambda at, _: F.when(F.exists(at, has), at).otherwise(F.flatten(F.transform(at, inner))))
+    return F.get(F.filter(level, has), F.lit(0))
 
 
 class Flattened:
