@@ -1,11 +1,14 @@
 """Long stretches of text that stand verbatim in more than one document.
 
-Sliding sentence spans: every run of consecutive sentences that begins at a sentence start and holds ``span`` characters is
-hashed, the hashes are joined globally, and the documents that share one are compared exactly.
-
-A sentence starts after a line break or after a closing sign and a space; where a text has no such place for ``reach`` characters, the
-place of the least hash of its surroundings counts as a start, so that the rule depends on the text nearby only. Of any ``length``
-characters in common, at least one start with ``span`` characters after it lies inside: span = length - 2 * reach - 8.
+Sliding sentence spans: at sentence starts, thinned, a run of consecutive sentences that holds ``span`` characters is hashed, the hashes are
+joined globally, and the documents that share one are compared exactly.
+
+A sentence starts after a line break or after a closing sign and a space. Every place has a hash of the few characters around it, and
+sentence starts rank before all other places; of every ``reach`` consecutive places the one of least rank is kept. So of short sentences most
+starts begin no span, and where no sentence starts for ``reach`` characters, another place does. No stretch is missed by this: what is kept in
+a window depends on the characters of the window and 3 beside it only, so that a stretch of ``length`` characters keeps the same place in each
+document, within its first ``reach`` + 4 characters, and the ``span`` characters from there on lie inside, as
+span = length - 2 * reach - 8.
 """
 
 from __future__ import annotations
