@@ -34,10 +34,10 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: smaller than a checkpoint where rows are wide."""
+def written(df: DataFrame, *parts: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: smaller than a checkpoint where rows are wide. ``parts`` name the columns it is divided by."""
     path = f"{shared_dir(df.sparkSession)}/loomset-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*parts).parquet(path)
     _written.append(path)
     return df.sparkSession.read.parquet(path)
 

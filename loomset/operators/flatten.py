@@ -1,15 +1,17 @@
 """Deeply nested records to flat tables: each list becomes a child table that carries the ordinals of its ancestors.
 
-Typed columns are followed by their schema. Semi-structured text is parsed to VARIANT; the merged schema of all records is inferred in one pass
-(only its distinct paths reach the driver), and every path that is a list in any record becomes a table, a lone object counting as a list of
-one. All explosion stays in the JVM.
+Typed columns are followed by their schema. Of semi-structured text one pass takes the extraction out of its envelopes and infers the merged
+schema of all records (only its distinct paths reach the driver); the extraction is parsed to VARIANT, and every path that is a list in any
+record becomes a table, a lone object counting as a list of one. The nodes of all tables of a record come from one expression and one
+explosion in the JVM, so that the source is read once, however many tables follow from it.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -18,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..frames import written
 
-#: Most distinct paths of a merged schema; more mean that data stand in field names.
+#: Most distinct paths of a merged schema; more mean that data stand in field names, which no set of tables can hold.
 MAX_PATHS = 20_000
 
 
@@ -31,51 +33,84 @@ class Shape:
     fields: dict[str, Shape] = field(default_factory=dict)
 
 
-def _unwrapped(text: str | None, key: str, depth: int):
-    """The extraction in ``text``: the object that has ``key``, directly, in an envelope, or as text in either; None if there is none. All values
-    of an envelope are searched; of several extractions the one that lies least deep counts, then the first by the names of the fields."""
+def _finite(text: str) -> float | str:
+    x = float(text)
+    return x if x - x == 0 else text  # a number no double holds stays text
+
+
+def _no_constant(text: str) -> None:
+    raise ValueError(f"{text} is no JSON")
+
+
+_read = json.JSONDecoder(parse_float=_finite, parse_constant=_no_constant).decode
+
+
+def unwrapped(text: str | None, key: str):
+    """The extraction in ``text``: the object that has ``key``, directly, in envelopes of any depth, or as text in either; None if there is none.
+    All values of an envelope are searched; of several extractions the one that lies least deep counts, then the first by the names of the
+    fields that lead to it. A list is no envelope."""
     level = [] if text is None else [text]
-    for _ in range(depth + 1):
+    while level:
         inner = []
         for v in level:
             if isinstance(v, str):
                 try:
-                    inner.append(json.loads(v))
+                    inner.append(_read(v))
                 except (ValueError, RecursionError):
                     pass
             else:
                 inner += [x for _, x in sorted(v.items()) if isinstance(x, dict) or (isinstance(x, str) and x.lstrip(" \t\r\n")[:1] in ("{", '"'))]
         level = [x for x in inner if isinstance(x, str | dict)]
-        if found := [x for x in level if isinstance(x, dict) and key in x]:
-            return found[0]
+        if found := next((x for x in level if isinstance(x, dict) and key in x), None):
+            return found
     return None
 
 
-def infer(df: DataFrame, text_col: str, key: str, depth: int = 4) -> Shape:
-    """The merged schema of the extractions in ``text_col``."""
+_KINDS = {dict: "object", list: "list", str: "string", bool: "boolean", int: "bigint", float: "double"}
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[str, str]] = set()
-
-        def walk(v, path: list[str]) -> None:
-            kind = {dict: "object", list: "list", str: "string", bool: "boolean", int: "bigint", float: "double"}.get(type(v), "null")
-            seen.add((json.dumps(path), kind))
-            if isinstance(v, dict):
-                for k, x in v.items():
-                    walk(x, [*path, k])
-            elif isinstance(v, list):
-                for x in v:
-                    walk(x, path)
 
+def extractions(df: DataFrame, id_col: str, text_col: str, key: str) -> tuple[DataFrame, Shape]:
+    """(rec_id, text) of the extraction of every row that has one, and the merged schema of what lies under ``key`` in all of them."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top, names = Shape(), ["rec_id", "text", "path", "kind"]
+        places = 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if (v := _unwrapped(text, key, depth)) is not None:
-                    walk(v, [])
-        rows = sorted(seen)
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in (0, 1)], names=["path", "kind"])
-
-    found = df.select(F.col(text_col).cast("string")).mapInArrow(scan, "path string, kind string").distinct().limit(MAX_PATHS + 1).collect()
-    if len(found) > MAX_PATHS:
+            ids, texts = [], []
+            for i, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if (found := unwrapped(text, key)) is None:
+                    continue
+                out = json.dumps({key: found[key]}, ensure_ascii=False, separators=(",", ":"))
+                ids.append(i)
+                texts.append(out.encode("utf-8", "replace").decode())
+                stack = [(found[key], top)]
+                while stack:
+                    v, at = stack.pop()
+                    kind = _KINDS.get(type(v), "null")
+                    at.kinds.add(kind)
+                    if kind == "list":
+                        stack += [(x, at) for x in v]
+                    elif kind == "object":
+                        for k, x in v.items():
+                            if (below := at.fields.get(k)) is None:
+                                below, places = at.fields.setdefault(k, Shape()), places + 1
+                            stack.append((x, below))
+                if places > MAX_PATHS:
+                    raise ValueError(f"the merged schema has more than {MAX_PATHS} paths")
+            none = pa.nulls(len(ids), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string()), none, none], names=names)
+        paths, stack = [], [([], top)]
+        while stack:
+            path, at = stack.pop()
+            paths += [(json.dumps(path), k) for k in sorted(at.kinds)]
+            stack += [([*path, k], x) for k, x in at.fields.items()]
+        none = (pa.nulls(len(paths), pa.int64()), pa.nulls(len(paths), pa.string()))
+        yield pa.RecordBatch.from_arrays([*none, *(pa.array([p[k] for p in paths], pa.string()) for k in (0, 1))], names=names)
+
+    own = df.select(F.col(id_col).cast("bigint").alias("rec_id"), F.col(text_col).cast("string").alias("text"))
+    all_ = written(own.mapInArrow(scan, "rec_id bigint, text string, path string, kind string"))
+    found = all_.where("path is not null").select("path", "kind").distinct().limit(7 * MAX_PATHS + 1).collect()
+    if len({r.path for r in found}) > MAX_PATHS:
         raise ValueError(f"the merged schema has more than {MAX_PATHS} paths")
     top = Shape()
     for r in found:
@@ -84,125 +119,195 @@ def infer(df: DataFrame, text_col: str, key: str, depth: int = 4) -> Shape:
             at = at.fields.setdefault(k, Shape())
         at.kinds.add(r.kind)
         at.listed |= r.kind == "list"
-    return top
+    return all_.where("text is not null").select("rec_id", "text"), top
 
 
-def _get(v: Column, name: str, kind: str = "variant") -> Column:
-    path = "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
-    return F.try_variant_get(v, path, kind)
+@dataclass
+class _Level:
+    """A child table: the list of its nodes in a node of the table above, which of them are nodes, their fields, and the tables below."""
 
+    name: str
+    items: Callable[[Column], Column]
+    real: Callable[[Column], Column]
+    kind: T.StructType
+    fields: Callable[[Column], list[Column]]
+    below: list[_Level] = field(default_factory=list)
 
-def extraction(text: Column, key: str, depth: int = 4) -> Column:
-    """VARIANT of the extraction in ``text``, as ``_unwrapped`` finds it: unreadable text has none."""
-    fields = lambda x: F.try_variant_get(x, "$", "map<string,variant>")
-    words = lambda x: F.try_variant_get(x, "$", "string")
-    has = lambda x: F.coalesce(F.map_contains_key(fields(x), F.lit(key)), F.lit(False))
-    opens = lambda x: fields(x).isNotNull() | F.coalesce(words(x).rlike(r'^[ \t\r\n]*[{"]'), F.lit(False))
+    def walk(self) -> Iterator[_Level]:
+        yield self
+        for x in self.below:
+            yield from x.walk()
 
-    def inner(x: Column) -> Column:
-        values = F.transform(F.array_sort(F.map_keys(fields(x))), lambda k: F.element_at(fields(x), k))
-        return F.when(fields(x).isNotNull(), F.filter(values, opens)).otherwise(F.filter(F.array(F.try_parse_json(words(x))), lambda y: y.isNotNull()))
+    def node(self, x: Column) -> Column:
+        return F.struct(*[c.alias(f.name) for c, f in zip(self.fields(x), self.kind)]) if len(self.kind) else F.lit(None).cast("struct<none:boolean>")
 
-    level = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.array(F.try_parse_json(text.cast("string"))), lambda at, _: F.when(F.exists(at, has), at).otherwise(F.flatten(F.transform(at, inner))))
-    return F.get(F.filter(level, has), F.lit(0))
+    @property
+    def none(self) -> Column:
+        return F.lit(None).cast(self.kind if len(self.kind) else "struct<none:boolean>")
 
 
 class Flattened:
     """Child tables by path (names joined with dots): (rec_id, path ARRAY<INT>, node), ``path`` being the 0-based ordinals of all its ancestors
-    and itself. Null elements keep their place but have no row; neither has anything that isn't an object. ``table`` gives fields as columns.
+    and itself, ``node`` its fields but for lists of objects, which are tables themselves. Null elements keep their place but have no row;
+    neither has anything that isn't an object in a list that holds objects. ``table`` gives fields as columns, ``keys`` the nodes of all
+    tables without their fields. A row that is repeated has its nodes repeated; a null id is kept.
     """
 
-    def __init__(self) -> None:
-        self.nodes: dict[str, DataFrame] = {}
-        self.shapes: dict[str, Shape | T.StructType] = {}
+    def __init__(self, source: DataFrame, root: Column, tops: list[_Level]):
+        self.source, self.root, self.tops = source, root, tops
+        self.levels = {x.name: x for top in tops for x in top.walk()}
 
     def __contains__(self, path: str) -> bool:
-        return path in self.nodes
+        return path in self.levels
 
     @classmethod
     def typed(cls, df: DataFrame, id_col: str, *columns: str) -> Flattened:
         """From list columns of structs; null and empty lists have no rows."""
-        self = cls()
-        for c in columns:
-            kind = df.schema[c].dataType
-            self._typed(df.select(F.col(id_col).cast("bigint").alias("rec_id"), F.array().cast("array<int>").alias("path"), F.col(c).alias("list")), c, kind)
-        return self
-
-    def _typed(self, lists: DataFrame, name: str, kind: T.ArrayType) -> None:
-        x = lists.select("rec_id", "path", F.posexplode("list").alias("ord", "node")).where("node is not null")
-        x = self.nodes[name] = x.select("rec_id", F.concat("path", F.array("ord")).alias("path"), "node")
-        self.shapes[name] = kind.elementType
-        for where, of, inner in _lists(kind.elementType):
-            self._typed(x.select("rec_id", "path", of.alias("list")), f"{name}.{where}", inner)
+        source = df.select(F.col(id_col).cast("bigint").alias("rec_id"), F.struct(*columns).alias("root"))
+        return cls(source, F.col("root"), [_typed_level(c, lambda x, c=c: x[c], df.schema[c].dataType.elementType) for c in columns])
 
     @classmethod
-    def text(cls, df: DataFrame, id_col: str, text_col: str, key: str, depth: int = 4) -> Flattened:
-        """From JSON text with the list ``key`` at its top or in an envelope."""
-        self = cls()
-        shape = infer(df, text_col, key, depth)
-        x = df.select(F.col(id_col).cast("bigint").alias("rec_id"), F.array().cast("array<int>").alias("path"), extraction(F.col(text_col), key, depth).alias("node"))
-        x = written(x.where("node is not null"))  # parsed once for all tables
-        if key in shape.fields:
-            self._variant(x, F.col("node"), key, key, shape.fields[key])
-        return self
-
-    def _variant(self, above: DataFrame, at: Column, field_name: str, name: str, shape: Shape) -> None:
-        v = _get(at, field_name)
-        lone = F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
-        items = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.when(lone, F.array(v)))
-        x = above.select("rec_id", "path", F.posexplode(items).alias("ord", "node"))
-        plain = shape.kinds - {"null", "list", "object"}
-        real = ~F.coalesce(F.is_variant_null("node"), F.lit(True))
-        x = x.where(real & (F.lit(bool(plain) and not shape.fields) | F.try_variant_get("node", "$", "map<string,variant>").isNotNull()))
-        x = self.nodes[name] = x.select("rec_id", F.concat("path", F.array("ord")).alias("path"), "node")
-        self.shapes[name] = shape
-        self._below(x, F.col("node"), name, shape)
-
-    def _below(self, x: DataFrame, at: Column, name: str, shape: Shape) -> None:
-        for k, inner in shape.fields.items():
-            if inner.listed:
-                self._variant(x, at, k, f"{name}.{k}", inner)
-            elif inner.fields:
-                self._below(x, _get(at, k), f"{name}.{k}", inner)
+    def text(cls, df: DataFrame, id_col: str, text_col: str, key: str) -> Flattened:
+        """From JSON text with the list ``key`` at its top or in envelopes. Text that is no JSON, or nested deeper than its parser goes (thousands
+        of levels), has no nodes. Of a field that an object has twice the last counts."""
+        source, shape = extractions(df, id_col, text_col, key)
+        tops = [_variant_level(key, key, shape)] if shape.kinds else []
+        return cls(source.select("rec_id", F.parse_json("text").alias("root")), F.col("root"), tops)
+
+    def _exploded(self, fields: bool) -> DataFrame:
+        """The nodes of all tables: rec_id, number t of the table, path, and with ``fields`` one struct a table, null in rows of the others."""
+        at = {name: k for k, name in enumerate(self.levels)}
+
+        def row(level: _Level, path: Column, x: Column) -> Column:
+            structs = [(o.node(x) if o is level else o.none).alias(f"n{k}") for k, o in enumerate(self.levels.values())] if fields else []
+            return F.struct(F.lit(at[level.name]).alias("t"), path.alias("path"), *structs)
+
+        def rows(level: _Level, of: Column, above: Column) -> Column:
+            def one(x: Column, i: Column) -> Column:
+                path = F.concat(above, F.array(i))
+                own = [F.array(row(level, path, x)), *(rows(b, x, path) for b in level.below)]
+                return F.when(level.real(x), F.concat(*own)).otherwise(F.array())
+
+            return F.coalesce(F.flatten(F.transform(level.items(of), one)), F.array())
+
+        every = F.concat(*[rows(top, self.root, F.array().cast("array<int>")) for top in self.tops])
+        return self.source.select("rec_id", F.explode(every).alias("r")).select("rec_id", "r.*")
+
+    def keys(self) -> DataFrame:
+        """(rec_id, table, path) of every node."""
+        if not self.tops:
+            return self.source.select("rec_id", F.lit("").alias("table"), F.array().cast("array<int>").alias("path")).limit(0)
+        return self._exploded(False).select("rec_id", F.element_at(F.array(*map(F.lit, self.levels)), F.col("t") + 1).alias("table"), "path")
+
+    @cached_property
+    def _rows(self) -> DataFrame:
+        return written(self._exploded(True), "t")
+
+    @cached_property
+    def nodes(self) -> dict[str, DataFrame]:
+        """All tables; their rows are written once, each table in a part of its own."""
+        return {name: self._rows.where(F.col("t") == k).select("rec_id", "path", F.col(f"n{k}").alias("node")) for k, name in enumerate(self.levels)}
 
     def table(self, path: str) -> DataFrame:
         """Node and parent keys (rec_id and ordinals), the ordinal, and every field that is no list; fields of inner objects joined with ``_``.
         A field whose name is taken gets ``_`` behind it. Kinds that differ between records become text."""
-        x, shape = self.nodes[path], self.shapes[path]
+        x = self.nodes[path]
         key = lambda p: F.concat_ws("/", F.col("rec_id").cast("string"), F.transform(p, lambda i: i.cast("string")))
         cols = {"rec_id": F.col("rec_id"), "node_key": key(F.col("path")), "parent_key": key(F.slice("path", 1, F.size("path") - 1)), "ord": F.element_at("path", -1)}
-        inner = _typed_fields(shape, F.col("node")) if isinstance(shape, T.DataType) else _variant_fields(shape, F.col("node"))
-        for name, c in inner:
-            while name.lower() in {k.lower() for k in cols}:
-                name += "_"
-            cols[name] = c
+        for name, c in _flat(self.levels[path].kind, F.col("node")):
+            cols[_free(name, cols)] = c
         return x.select(*[c.alias(k) for k, c in cols.items()])
 
 
-def _lists(kind: T.DataType, prefix: str = "", at: Column | None = None) -> list[tuple[str, Column, T.ArrayType]]:
+def _free(name: str, taken) -> str:
+    low = {k.lower() for k in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
+def _flat(kind: T.StructType, at: Column, prefix: str = "") -> list[tuple[str, Column]]:
     out = []
-    if isinstance(kind, T.StructType):
-        at = F.col("node") if at is None else at
-        for f in kind.fields:
-            if isinstance(f.dataType, T.ArrayType):
-                out.append((prefix + f.name, at[f.name], f.dataType))
-            else:
-                out += _lists(f.dataType, f"{prefix}{f.name}.", at[f.name])
+    for f in kind:
+        if isinstance(f.dataType, T.StructType):
+            out += _flat(f.dataType, at[f.name], f"{prefix}{f.name}_")
+        elif not isinstance(f.dataType, T.ArrayType):
+            out.append((prefix + f.name, at[f.name]))
     return out
 
 
-def _typed_fields(kind: T.DataType, at: Column, prefix: str = "") -> list[tuple[str, Column]]:
+def _objects(kind: T.DataType) -> bool:
+    """Whether a list of objects lies in ``kind``."""
+    if isinstance(kind, T.ArrayType):
+        return isinstance(kind.elementType, T.StructType)
+    return isinstance(kind, T.StructType) and any(_objects(f.dataType) for f in kind)
+
+
+def _typed_level(name: str, items: Callable[[Column], Column], kind: T.DataType) -> _Level:
     if not isinstance(kind, T.StructType):
-        return [] if isinstance(kind, T.ArrayType) else [(prefix.rstrip("_") or "value", at)]
-    return [x for f in kind.fields for x in _typed_fields(f.dataType, at[f.name], f"{prefix}{f.name}_")]
+        return _Level(name, items, lambda x: x.isNotNull(), T.StructType([T.StructField("value", kind)]), lambda x: [x])
+
+    def without(t: T.StructType) -> T.StructType:
+        return T.StructType([T.StructField(f.name, without(f.dataType) if _objects(f.dataType) else f.dataType) for f in t if not isinstance(f.dataType, T.ArrayType) or not _objects(f.dataType)])
+
+    def pick(t: T.StructType, x: Column) -> list[Column]:
+        return [F.when(x[f.name].isNotNull(), F.struct(*[c.alias(g.name) for c, g in zip(pick(f.dataType, x[f.name]), without(f.dataType))])) if _objects(f.dataType) else x[f.name] for f in t if f.name in without(t).names]
+
+    level = _Level(name, items, lambda x: x.isNotNull(), without(kind), lambda x: pick(kind, x))
+
+    def below(t: T.StructType, at: Callable[[Column], Column], prefix: str) -> None:
+        for f in t:
+            of = lambda x, n=f.name, at=at: at(x)[n]
+            if isinstance(f.dataType, T.ArrayType):
+                level.below.append(_typed_level(prefix + f.name, of, f.dataType.elementType))
+            elif isinstance(f.dataType, T.StructType):
+                below(f.dataType, of, f"{prefix}{f.name}.")
+
+    below(kind, lambda x: x, f"{name}.")
+    return level
+
+
+def _place(*names: str) -> str:
+    return "$" + "".join("['" + n.replace("\\", "\\\\").replace("'", "\\'") + "']" for n in names)
+
+
+def _variant_level(field_name: str, name: str, shape: Shape, way: tuple[str, ...] = ()) -> _Level:
+    place = _place(*way, field_name)
+
+    def items(x: Column) -> Column:
+        lone = F.try_variant_get(x, place, "variant")
+        return F.coalesce(F.try_variant_get(x, place, "array<variant>"), F.when(lone.isNotNull() & ~F.is_variant_null(lone), F.array(lone)))
+
+    def real(x: Column) -> Column:
+        known = x.isNotNull() & ~F.coalesce(F.is_variant_null(x), F.lit(True))
+        # an object: no plain kind takes it, and it is no list
+        return known & F.try_variant_get(x, "$", "map<string,variant>").isNotNull() if shape.fields or not shape.kinds - {"null", "list", "object"} else known
+
+    named = _variant_fields(shape)
+    taken: list[str] = []
+    for n, *_ in named:
+        taken.append(_free(n, taken))
+    kind = T.StructType([T.StructField(n, T.DataType.fromDDL(k)) for n, (_, _, k) in zip(taken, named)])
+    level = _Level(name, items, real, kind, lambda x: [F.try_variant_get(x, p, k) for _, p, k in named])
+
+    def below(of: Shape, path: tuple[str, ...], prefix: str) -> None:
+        for k, inner in of.fields.items():
+            if inner.listed:
+                level.below.append(_variant_level(k, f"{prefix}.{k}", inner, path))
+            elif inner.fields:
+                below(inner, (*path, k), f"{prefix}.{k}")
+
+    below(shape, (), name)
+    return level
 
 
-def _variant_fields(shape: Shape, at: Column, prefix: str = "") -> list[tuple[str, Column]]:
+def _variant_fields(shape: Shape, way: tuple[str, ...] = ()) -> list[tuple[str, str, str]]:
+    """Name, place and kind of every field that is no list."""
     out = []
     plain = shape.kinds - {"null", "list", "object"}
     if plain and not shape.fields:
-        out.append((prefix.rstrip("_") or "value", F.try_variant_get(at, "$", plain.pop() if len(plain) == 1 else "string")))
-    for k, inner in shape.fields.items():
-        if not inner.listed:
-            out += _variant_fields(inner, _get(at, k), f"{prefix}{k}_")
+        out.append(("_".join(way) or "value", _place(*way), min(plain) if len(plain) == 1 else "string"))
+    for k in sorted(shape.fields):
+        if not shape.fields[k].listed:
+            out += _variant_fields(shape.fields[k], (*way, k))
     return out

@@ -12,8 +12,18 @@ from ..operators.flatten import Flattened
 from ..operators.hierarchy import class_links, descendants, hierarchy
 from ..operators.orphans import all_references, replayed
 
-#: node_kind of each child table, and how many ordinals its key has.
+#: node_kind of each child table.
 NODE_KINDS = {"packages": "package", "packages.classes": "class", "packages.classes.attributes": "attribute", "packages.classes.associations": "association"}
+#: The columns of each child table that its query gives, as text; a source that lacks one has nulls.
+COLUMNS = {
+    "packages": ("name", "iri", "package_id", "version"),
+    "packages.classes": ("name", "iri", "description", "stereotype", "source_table"),
+    "packages.classes.attributes": ("name", "data_type", "description", "required", "multiplicity_min", "multiplicity_max", "multiplicity_raw"),
+    "packages.classes.associations": ("name", "target_package", "target_class_name", "inverse_name", "multiplicity_min", "multiplicity_max", "multiplicity_raw"),
+}
+
+#: A field of the nodes that is named like a key of the result.
+RENAMED = {"source_table": "from_table"}
 
 
 def _flattened(spark: SparkSession, sf: str) -> dict[str, Flattened]:
@@ -24,28 +34,28 @@ def _flattened(spark: SparkSession, sf: str) -> dict[str, Flattened]:
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
-    parts = []
-    for name, flat in _flattened(spark, sf).items():
-        for path, kind in NODE_KINDS.items():
+    """Ids are unique in both sources, so that no node comes twice."""
+    ord_ = lambda k: F.coalesce(F.get("path", F.lit(k)), F.lit(-1))
+    kind = F.create_map(*[F.lit(x) for pair in NODE_KINDS.items() for x in pair])
+    parts = [flat.keys().where(F.col("table").isin(*NODE_KINDS)).select(F.lit(name).alias("source_table"), "*") for name, flat in _flattened(spark, sf).items()]
+    return parts[0].unionByName(parts[1]).select("source_table", "rec_id", ord_(0).alias("pkg_ord"), ord_(1).alias("cls_ord"), kind[F.col("table")].alias("node_kind"), ord_(2).alias("item_ord"))
+
+
+def _child_table(path: str) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        parts = []
+        for name, flat in _flattened(spark, sf).items():
             if path in flat:
-                at = [F.coalesce(F.get("path", F.lit(k)), F.lit(-1)).alias(c) for k, c in enumerate(("pkg_ord", "cls_ord", "item_ord"))]
-                parts.append(flat.nodes[path].select(F.lit(name).alias("source_table"), "rec_id", *at[:2], F.lit(kind).alias("node_kind"), at[2]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.distinct()
-
-
-def p2_attributes(spark: SparkSession, sf: str) -> DataFrame:
-    """The attribute table of both sources, with keys of node and parent."""
-    wanted = ["name", "data_type", "description", "required", "multiplicity_min", "multiplicity_max", "multiplicity_raw"]
-    parts = []
-    for name, flat in _flattened(spark, sf).items():
-        if "packages.classes.attributes" in flat:
-            t = flat.table("packages.classes.attributes")
-            cols = [(F.col(c) if c in t.columns else F.lit(None)).cast("string").alias(c) for c in wanted]
-            parts.append(t.select(F.lit(name).alias("source_table"), "node_key", "parent_key", "ord", *cols))
-    return parts[0].unionByName(parts[1]) if len(parts) > 1 else parts[0]
+                t = flat.table(path)
+                cols = [(F.col(c) if c in t.columns else F.lit(None)).cast("string").alias(RENAMED.get(c, c)) for c in COLUMNS[path]]
+                parts.append(t.select(F.lit(name).alias("source_table"), "node_key", "parent_key", "ord", *cols))
+        return parts[0].unionByName(parts[1]) if len(parts) > 1 else parts[0]
+
+    query.__doc__ = f"The table {path} of both sources, with keys of node and parent."
+    return query
+
+
+P2_TABLES = {f"p2_{path.split('.')[-1]}": path for path in COLUMNS}
 
 
 def _paths(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,16 +85,20 @@ def p5_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_attributes, p4_found, p4_descendants, p5_found, p5_report)}
+    own = {f.__name__: f for f in (p2_found, p4_found, p4_descendants, p5_found, p5_report)}
+    return own | {name: _child_table(path) for name, path in P2_TABLES.items()}
 
 
 _P2 = """
 WITH RECURSIVE
-raw AS (SELECT feed_id, TRY_CAST(payload AS JSON) AS v, 0 AS step FROM ir_feed
+raw AS (SELECT feed_id, TRY_CAST(payload AS JSON) AS v, []::VARCHAR[] AS way FROM ir_feed
   UNION ALL
-  SELECT feed_id, CASE WHEN json_type(v) = 'VARCHAR' THEN TRY_CAST(v ->> '$' AS JSON) ELSE v -> 'ir' END, step + 1 FROM raw
-  WHERE step < 4 AND v IS NOT NULL AND (json_type(v) = 'VARCHAR' OR (json_type(v) = 'OBJECT' AND NOT json_exists(v, '$.packages')))),
-top AS (SELECT feed_id, v -> 'packages' AS l FROM raw WHERE json_type(v) = 'OBJECT' AND json_exists(v, '$.packages')),
+  SELECT feed_id, x.v, list_append(way, x.k) FROM (
+    SELECT feed_id, way, unnest(CASE json_type(v) WHEN 'VARCHAR' THEN [{'k': '', 'v': TRY_CAST(v ->> '$' AS JSON)}]
+      ELSE list_transform(json_keys(v), lambda k: {'k': k, 'v': json_extract(v, '/' || replace(replace(k, '~', '~0'), '/', '~1'))}) END) AS x
+    FROM raw WHERE v IS NOT NULL AND (json_type(v) = 'VARCHAR' OR (json_type(v) = 'OBJECT' AND NOT list_contains(json_keys(v), 'packages'))))),
+best AS (SELECT feed_id, v FROM raw WHERE json_type(v) = 'OBJECT' AND list_contains(json_keys(v), 'packages') QUALIFY row_number() OVER (PARTITION BY feed_id ORDER BY len(way), way) = 1),
+top AS (SELECT feed_id, v -> 'packages' AS l FROM best),
 fp AS (SELECT feed_id, (i - 1)::INT AS p, x[i] AS n FROM (SELECT feed_id, CASE json_type(l) WHEN 'ARRAY' THEN l::JSON[] WHEN 'OBJECT' THEN [l] END AS x FROM top), unnest(range(1, len(x) + 1)) AS t(i)),
 fc AS (SELECT feed_id, p, (i - 1)::INT AS c, x[i] AS n FROM (SELECT feed_id, p, CASE json_type(n -> 'classes') WHEN 'ARRAY' THEN (n -> 'classes')::JSON[] WHEN 'OBJECT' THEN [n -> 'classes'] END AS x FROM fp), unnest(range(1, len(x) + 1)) AS t(i)),
 fi AS (SELECT feed_id, p, c, kind, (i - 1)::INT AS k, x[i] AS n FROM (
@@ -108,6 +122,24 @@ UNION SELECT 'ontology_ir', ir_id, p, c, 'attribute', k FROM oa WHERE n IS NOT N
 UNION SELECT 'ontology_ir', ir_id, p, c, 'association', k FROM os WHERE n IS NOT NULL""",
 }
 
+_FEED = {"packages": ("fp", "feed_id, p", ""), "packages.classes": ("fc", "feed_id, p, c", ""), "packages.classes.attributes": ("fi", "feed_id, p, c, k", " AND kind = 'attribute'"), "packages.classes.associations": ("fi", "feed_id, p, c, k", " AND kind = 'association'")}
+_TYPED = {"packages": ("op", "ir_id, p"), "packages.classes": ("oc", "ir_id, p, c"), "packages.classes.attributes": ("oa", "ir_id, p, c, k"), "packages.classes.associations": ("os", "ir_id, p, c, k")}
+#: Columns that lie in an object of the node.
+_INNER = {x: x.split("_", 1) for x in ("multiplicity_min", "multiplicity_max", "multiplicity_raw", "target_package", "target_class_name")}
+
+
+def _table_sql(path: str) -> str:
+    keys = lambda k: f"concat_ws('/', {k}) AS node_key, concat_ws('/', {k.rsplit(', ', 1)[0]}) AS parent_key, {k.rsplit(', ', 1)[1]} AS ord"
+    feed, key, more = _FEED[path]
+    typed, own = _TYPED[path]
+    a = ", ".join(f"n ->> '$.{'.'.join(_INNER.get(c, [c]))}' AS {RENAMED.get(c, c)}" for c in COLUMNS[path])
+    lacking = {"packages.classes": ("iri",)}.get(path, ())
+    b = ", ".join("NULL" if c in lacking else f"n.{'.'.join(_INNER.get(c, [c]))}::VARCHAR" for c in COLUMNS[path])
+    return _P2 + f"SELECT 'ir_feed' AS source_table, {keys(key)}, {a} FROM {feed} WHERE json_type(n) = 'OBJECT'{more} UNION ALL SELECT 'ontology_ir', {keys(own)}, {b} FROM {typed} WHERE n IS NOT NULL"
+
+
+ORACLE |= {name: _table_sql(path) for name, path in P2_TABLES.items()}
+
 _P4 = """
 WITH RECURSIVE
 c AS (SELECT class_id, arg_max({'package': package, 'name': name, 'parents': parents}, loaded_at) AS r FROM class_def GROUP BY 1),

@@ -21,8 +21,11 @@ FEED = {
 
 
 def test_all_values_of_an_envelope_are_searched(spark):
-    rows = [(k, json.dumps(v)) for k, v in FEED.items()] + [(11, None), (12, "{broken"), (13, "null"), (14, "")]
+    deep = IR
+    for k in range(60):
+        deep = {"more": json.dumps(deep) if k % 20 == 0 else deep, "less": {"n": k}}
+    rows = [(k, json.dumps(v)) for k, v in FEED.items()] + [(11, None), (12, "{broken"), (13, "null"), (14, ""), (15, json.dumps(deep)), (16, '{"packages": [{"name": "A", "x": 1e999, "classes": {"name": "\\ud800"}}]}'), (17, '{"packages": NaN}')]
     f = Flattened.text(spark.createDataFrame(rows, "id bigint, payload string"), "id", "payload", "packages")
     names = {r.rec_id: r.name for r in f.table("packages").collect()}
-    assert names == dict.fromkeys([1, 2, 3, 4, 5, 6, 8], "A")
-    assert {r.rec_id for r in f.nodes["packages.classes"].collect()} == {1, 2, 3, 4, 5, 6, 8}
+    assert names == dict.fromkeys([1, 2, 3, 4, 5, 6, 7, 8, 15, 16], "A")
+    assert {r.rec_id for r in f.nodes["packages.classes"].collect()} == {1, 2, 3, 4, 5, 6, 7, 8, 15, 16}
