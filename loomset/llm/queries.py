@@ -89,11 +89,16 @@ def p9_shared(spark: SparkSession, sf: str) -> DataFrame:
 def p9_kept(spark: SparkSession, sf: str) -> DataFrame:
     """Each document without the sentences that an earlier one has in a long stretch."""
     x = spans.SharedSpans(table(spark, sf, "documents")).kept()
-    return x.select("doc_id", F.length("text").alias("kept_chars"), F.xxhash64("text").alias("kept_hash"))
+    return x.select("doc_id", F.length("text").alias("kept_chars"), F.md5("text").alias("kept_md5"))
+
+
+def p9_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """The groups of documents with a stretch in common, by members."""
+    return spans.SharedSpans(table(spark, sf, "documents")).classes()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (p1_found, p1_kept, p3_found, p3_unmatched, p6_found, p6_forms, p7_found, p7_passages, p8_mix, p8_shares, p9_found, p9_shared, p9_kept)
+    every = (p1_found, p1_kept, p3_found, p3_unmatched, p6_found, p6_forms, p7_found, p7_passages, p8_mix, p8_shares, p9_found, p9_classes, p9_shared, p9_kept)
     return {f.__name__: f for f in every}
 
 
@@ -124,6 +129,9 @@ def _runs(name: str, key: str, n: int) -> str:
 
 
 _N = leaks.Settings().words
+_P9 = """
+WITH h AS (SELECT doc_id, i, hash(substr(text, i, {0})) AS h FROM documents, unnest(range(1, length(text) - {0} + 2)) AS t(i) WHERE length(text) >= {0}),
+""".format(spans.Settings().length)
 _L = spans.Settings().length
 
 
@@ -139,8 +147,20 @@ def oracle_sql() -> dict[str, str]:
             WITH h AS (SELECT DISTINCT doc_id, hash(substr(text, i, {_L})) AS h FROM documents, unnest(range(1, length(text) - {_L - 2})) AS t(i) WHERE length(text) >= {_L}),
             d AS (SELECT * FROM h WHERE h IN (SELECT h FROM h GROUP BY h HAVING count(*) > 1))
             SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM d a JOIN d b ON a.h = b.h AND a.doc_id < b.doc_id""",
-        "p9_shared": f"""
-            WITH h AS (SELECT doc_id, i, hash(substr(text, i, {_L})) AS h FROM documents, unnest(range(1, length(text) - {_L - 2})) AS t(i) WHERE length(text) >= {_L}),
+        "p9_classes": _P9 + """
+            g AS (SELECT list_sort(list(DISTINCT doc_id)) AS docs FROM h GROUP BY h HAVING count(DISTINCT doc_id) > 1
+              UNION ALL SELECT list_sort(list(DISTINCT doc_id)) FROM documents WHERE length(text) >= 400 GROUP BY text HAVING count(DISTINCT doc_id) > 1)
+            SELECT DISTINCT docs[1] AS first_id, len(docs)::BIGINT AS n_docs, unnest(docs) AS doc_id FROM (SELECT DISTINCT docs FROM g)""",
+        "p9_kept": _P9 + rf"""
+            f AS (SELECT h, min(doc_id) AS first FROM h GROUP BY h),
+            w AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > {_L} AS gap FROM h JOIN f USING (h) WHERE doc_id > first),
+            p AS (SELECT doc_id, min(i) - 1 AS a, max(i) - 1 + {_L} AS b FROM (SELECT doc_id, i, sum(coalesce(gap, false)::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM w) GROUP BY doc_id, k),
+            s AS (SELECT doc_id, n, x[n] AS part, coalesce(list_sum(list_transform(x[1:n - 1], lambda y: length(y))), 0)::BIGINT AS a
+              FROM (SELECT doc_id, regexp_extract_all(text, '(?s).*?(?:\n+|[.!?;\x{{3002}}\x{{FF01}}\x{{FF1F}}] )|.+') AS x FROM documents WHERE text IS NOT NULL), unnest(range(1, len(x) + 1)) AS t(n)),
+            k AS (SELECT s.* FROM s WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.doc_id = s.doc_id AND p.a <= s.a AND s.a + length(s.part) <= p.b)),
+            t AS (SELECT doc_id, string_agg(part, '' ORDER BY n) AS text FROM k GROUP BY 1)
+            SELECT doc_id, length(coalesce(t.text, ''))::INT AS kept_chars, md5(coalesce(t.text, '')) AS kept_md5 FROM documents LEFT JOIN t USING (doc_id) WHERE documents.text IS NOT NULL""",
+        "p9_shared": _P9 + f"""
             m AS (SELECT doc_id, least({_L}, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, {_L})) AS part FROM h WHERE h IN (SELECT h FROM h GROUP BY h HAVING count(DISTINCT doc_id) > 1)),
             s AS (SELECT doc_id, sum(part)::BIGINT AS shared FROM m GROUP BY 1)
             SELECT doc_id, length(text) AS n_chars, coalesce(shared, 0) AS shared_chars, CASE WHEN length(text) > 0 THEN coalesce(shared, 0) / length(text) ELSE 0.0 END AS share FROM documents LEFT JOIN s USING (doc_id) WHERE text IS NOT NULL""",

@@ -110,10 +110,41 @@ def test_shared_spans(spark, hot):
     assert share[204].shared_chars == 3000 and share[203].shared_chars == 0
     kept = {r.doc_id: r.text for r in op.kept().collect()}
     assert kept[201] == "" and kept[206] == "x" * 399
+    groups = {}
+    for d, x in docs:
+        if d is not None and x is not None:
+            for k in range(len(x) - 399):
+                groups.setdefault(x[k : k + 400], set()).add(d)
+    classes = {(min(g), len(g), d) for g in groups.values() if len(g) > 1 for d in g}
+    copies = {(0, 3, d) for d in (0, 200, 201)}
+    assert {tuple(r) for r in op.classes().collect()} == classes | copies
+    later = {d: set() for d in share}
+    for d, x in docs:
+        if d is not None and x is not None:
+            for k in range(len(x) - 399):
+                if min(groups[x[k : k + 400]]) < d:
+                    later[d].update(range(k, k + 400))
+    assert {r.t: r for r in op._parts(1).groupBy("t").agg(F.count("*")).collect()}.keys() <= {r.t for r in op.members.collect()}
+    assert {d for d in kept if kept[d] != dict(docs)[d]} <= {d for d in later if later[d]}
     left = [(d, t) for d, t in kept.items()]
     assert all(len(kept[d]) <= share[d].n_chars for d in kept) and len(shared_truth(left, 400)) < len(want)
 
 
+def test_a_passage_in_many_texts_is_linear_work(spark):
+    """Neither pairs nor texts are multiplied: what is found grows like the number of texts, hot or not."""
+    r = random.Random(3)
+    passage, rows = sentence(r, 110), {}
+    assert 600 < len(passage)
+    for n in (1000, 4000):
+        docs = [(k, f"{k} {sentence(r, 30)} # {passage} # {sentence(r, 30)}") for k in range(n)] + [(n + k, f"{k} " + "alone. " * 80) for k in range(2)]
+        op = spans.SharedSpans(spark.createDataFrame(docs, "doc_id bigint, text string"), spans.Settings(hot=500))
+        rows[n] = op.found.count()
+        share = op.share().where(f"doc_id < {n}").agg(F.min("shared_chars"), F.max("shared_chars")).first()
+        assert share[0] >= len(passage) + 4 and share[1] < len(passage) + 120  # chance matches beside it
+        assert op.classes().where(f"first_id = 0 and n_docs = {n}").count() == n
+    assert rows[4000] < 4.4 * rows[1000]
+
+
 def test_no_documents(spark):
     op = spans.SharedSpans(spark.createDataFrame([], "doc_id bigint, text string"))
     assert op.pairs().count() == 0 and op.share().count() == 0 and op.kept().count() == 0
