@@ -15,15 +15,20 @@ from ..frames import written
 # Letters drawn like a Latin one, block by block, each beside the letter it is drawn like.
 CYRILLIC = "АВЕКМНОРСТУХЅІЈҮаеорсухѕіјһԁԛԝԚԜӀ"
 AS_CYRILLIC = "ABEKMHOPCTYXSIJYaeopcyxsijhdqwQWI"
-GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϳονϲ"
-AS_GREEK = "ABEZHIKMNOPTYXCjovc"
+GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿϳονϲαρ"
+AS_GREEK = "ABEZHIKMNOPTYXCJjovcap"
 ARMENIAN = "ՕՏԼօսոհց"
 AS_ARMENIAN = "OSLounhg"
+OTHERS = "ɡꓐꓑꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ"
+AS_OTHERS = "gBPTGKJCZFMNLSRVHWXYAEIOU"
 # Signs drawn like an ASCII one.
 SIGNS = "‐‑˗⁃−﹣․∶꞉⁄∕⧸∗∣❘‚;′"
 AS_SIGNS = "------.::///*||,;'"
-# Characters without a body, and spaces of any width.
-INVISIBLE = "\u00ad\u034f\u061c\u180e\u200b\u200c\u200d\u200e\u200f\u202a\u202b\u202c\u202d\u202e\u2060\u2061\u2062\u2063\u2064\u2066\u2067\u2068\u2069\ufe0e\ufe0f\ufeff"
+# Ranges in which every format character has no body, beside fillers, joiners and selectors of variants, which have none either;
+# and spaces of any width.
+FORMAT = [(0xAD, 0xAD), (0x61C, 0x61C), (0x180E, 0x180E), (0x200B, 0x200F), (0x202A, 0x202E), (0x2060, 0x2064), (0x2066, 0x206F), (0xFEFF, 0xFEFF), (0x1BCA0, 0x1BCA3), (0x1D173, 0x1D17A), (0xE0001, 0xE0001), (0xE0020, 0xE007F)]
+BODILESS = [(0x34F, 0x34F), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180D), (0x180F, 0x180F), (0x3164, 0x3164), (0xFE00, 0xFE0F), (0xFFA0, 0xFFA0), (0xE0100, 0xE01EF)]
+INVISIBLE = "".join(chr(c) for lo, hi in FORMAT + BODILESS for c in range(lo, hi + 1))
 SPACES = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 # Ranges of compatibility forms that are drawn like what they stand for (full and half width, ligatures, numerals built of
 # letters, radicals, variants of presentation); superscripts, fractions and circled signs are not among them.
@@ -33,7 +38,7 @@ COMPATIBLE = [(0x2160, 0x217F), (0x2E80, 0x2FD5), (0x3131, 0x318E), (0xF900, 0xF
 @cache
 def tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
     """What translate takes from and to, and the characters that become several, by rule from the values above."""
-    single = dict(zip(CYRILLIC + GREEK + ARMENIAN + SIGNS + SPACES, AS_CYRILLIC + AS_GREEK + AS_ARMENIAN + AS_SIGNS + " " * len(SPACES)))
+    single = dict(zip(CYRILLIC + GREEK + ARMENIAN + OTHERS + SIGNS + SPACES, AS_CYRILLIC + AS_GREEK + AS_ARMENIAN + AS_OTHERS + AS_SIGNS + " " * len(SPACES)))
     letters = dict(single)
     for c in map(chr, [*range(0x370, 0x530), *range(0x1F00, 0x2000)]):  # letters with accents whose bare letter has a double
         parts = unicodedata.normalize("NFD", c)
@@ -51,18 +56,21 @@ def tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
 
 
 @cache
-def sql() -> str:
-    """The embedded SQL. Characters that become several are replaced one by one, only in texts that hold one of them."""
+def sql(also: str = "") -> str:
+    """The embedded SQL, with the columns ``also`` handed on. Only texts that hold such characters are mapped, and those that become several are
+    replaced one by one only in texts that hold one of them."""
     quote = lambda x: "'" + x.replace("'", "''") + "'"
     one, to, several = tables()
     long = "text"
     for a, b in several:
         long = f"replace({long}, {quote(a)}, {quote(b)})"
-    some = quote("[" + "".join(a for a, _ in several) + "]")
+    class_ = lambda chars: quote("[" + "".join(f"\\x{{{ord(c):x}}}" for c in chars) + "]")
+    some, any_ = class_([a for a, _ in several]), class_(one)
     # runs of joining marks stay in canonical order: nfc_normalize comes last
+    mapped = f"translate(CASE WHEN regexp_matches(text, {some}) THEN {long} ELSE text END, {quote(one)}, {quote(to)})"
     return f"""
-        SELECT id, CASE WHEN regexp_full_match(text, '[\\x00-\\x7f]*', 's') THEN text
-                        ELSE nfc_normalize(translate(CASE WHEN regexp_matches(text, {some}) THEN {long} ELSE text END, {quote(one)}, {quote(to)})) END AS form
+        SELECT id{also}, CASE WHEN regexp_full_match(text, '[\\x00-\\x7f]*', 's') THEN text
+                        WHEN regexp_matches(text, {any_}) OR regexp_matches(text, {some}) THEN nfc_normalize({mapped}) ELSE nfc_normalize(text) END AS form
         FROM batch"""
 
 
@@ -73,13 +81,13 @@ def forms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import duckdb
 
+        # one statement for the whole partition, which streams through it
+        names = ["id", "text", "form"]
         with duckdb.connect(config={"threads": 1}) as db:
-            for batch in batches:
-                text = pa.table({"id": pa.array(range(batch.num_rows), pa.int64()), "text": batch.column(1)})
-                db.register("batch", text)
-                got = db.sql(sql()).to_arrow_table().sort_by("id")
-                form = got.column("form").combine_chunks().cast(pa.string())
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), form], names=["id", "text", "form"])
+            rows = pa.RecordBatchReader.from_batches(pa.schema([("id", pa.int64()), ("text", pa.string())]), (pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(pa.string())], names=names[:2]) for b in batches))
+            db.register("batch", rows)
+            for b in db.sql(sql(", text")).to_arrow_reader(8192):
+                yield pa.RecordBatch.from_arrays([b.column(n).cast(pa.int64() if n == "id" else pa.string()) for n in names], names=names)
 
     own = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     return own.mapInArrow(scan, "id bigint, text string, form string")

@@ -45,6 +45,12 @@ def p3_unmatched(spark: SparkSession, sf: str) -> DataFrame:
     return values.join(none, ["list_name", "value"]).groupBy("list_name", "value").agg(F.count("*").alias("n_rows"))
 
 
+def p3_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    """Every entry within the slips that a value's length allows, the nearest first; a value with none has one row without an entry."""
+    x = canon.found(_typed_values(spark, sf), table(spark, sf, "canon_entry"))
+    return x.select("list_name", "value", F.posexplode_outer("found").alias("place", "c")).select("list_name", "value", "place", "c.slips", "c.canon_id")
+
+
 _TEXTS = (("section_row", "sec_id", "heading"), ("md_token", "tok_id", "content"))
 
 
@@ -64,9 +70,8 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p7_passages(spark: SparkSession, sf: str) -> DataFrame:
-    """Every item and document that align within the edit budget: the longest run of words without an edit, and the best local score."""
-    x = leaks.leaked(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
-    return x.groupBy("item_id", "doc_id").agg(F.max("words").alias("words"), F.max("score").alias("score"))
+    """Every item and document with a passage in common within the edit budget: the most words in a row without an edit, and within it."""
+    return leaks.leaked(table(spark, sf, "documents"), table(spark, sf, "eval_items")).select("item_id", "doc_id", "words", "near_words")
 
 
 def p8_mix(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,7 +103,7 @@ def p9_classes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (p1_found, p1_kept, p3_found, p3_unmatched, p6_found, p6_forms, p7_found, p7_passages, p8_mix, p8_shares, p9_found, p9_classes, p9_shared, p9_kept)
+    every = (p1_found, p1_kept, p3_found, p3_unmatched, p3_candidates, p6_found, p6_forms, p7_found, p7_passages, p8_mix, p8_shares, p9_found, p9_classes, p9_shared, p9_kept)
     return {f.__name__: f for f in every}
 
 

@@ -8,7 +8,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from loomset.llm.canon import Trie, assigned, mapped, readings, slips
+from loomset.llm import canon
+from loomset.llm.canon import Trie, assigned, found, mapped, readings, slips
 from loomset.llm.copies import Collapsed, canonical_key
 from loomset.llm.lookalikes import alike, forms
 
@@ -104,9 +105,22 @@ def test_mapped_rows(spark):
     assert readings("") == []
 
 
+def test_candidates_and_blocks(spark, monkeypatch):
+    """All entries within distance, whatever the number of tries they are spread over."""
+    e = spark.createDataFrame([(k, "t", w, None) for k, w in enumerate(["lantern", "lanterns", "lamp", "camp", "harbour", "harbor"])], ENTRY)
+    v = spark.createDataFrame([("t", w) for w in ["lanternz", "lamp", "bamp", "harbur", "zzz", "xx harbour"]], "list_name string, value string")
+    get = lambda: {r.value: [(c.canon_id, c.slips) for c in r.found] for r in found(v, e).collect()}
+    one, to = get(), {r.value: r.canon_id for r in mapped(v, e).collect()}
+    assert one["bamp"] == [(2, 1), (3, 1)] and one["zzz"] == [] and one["lanternz"] == [(0, 1), (1, 1)] and one["lamp"][0] == (2, 0)
+    assert to == {"lanternz": 0, "lamp": 2, "bamp": 0, "harbur": 0, "zzz": 0, "xx harbour": 4}
+    monkeypatch.setattr(canon, "MAX_LIST_CHARS", 12)
+    assert get() == one and {r.value: r.canon_id for r in mapped(v, e).collect()} == to
+
+
 ALIKE = [
     (1, "Scope"), (2, "Sсоре"), (3, "Ｓｃｏｐｅ"), (4, "Sco\u200bpe"), (5, "scope"), (6, "Scope"), (7, "caf\u00e9"), (8, "cafe\u0301"), (9, "cafe"), (10, "m²"), (11, "m2"), (12, "①"), (13, "1"), (14, "off\u2011line ﬁx"), (15, "off-line fix"),
     (16, "Part Ⅱ"), (17, "Part II"), (18, "a\u00a0b"), (19, "a b"), (20, "⼤"), (21, "大"), (22, "Ё"), (23, "Ë"), (24, ""), (25, None), (None, "Scope"), (26, "½"), (27, "1/2"), (28, "x" * 200_000 + "ｙ"), (29, "x" * 200_000 + "y"), (1, "Scope"), (30, "а" * 3 + "\n"), (31, "aaa\n"),
+    (32, "ρɡα\ufe01\u115f\U000e0041z"), (33, "pgaz"),
 ]
 
 
@@ -116,7 +130,7 @@ def test_lookalikes(spark):
     assert f.count() == len(ALIKE) - 1
     got = {tuple(r) for r in alike(f).collect()}
     scope = {(1, 2), (1, 3), (1, 4), (2, 3), (2, 4), (3, 4), (2, 6), (3, 6), (4, 6)}
-    assert got == scope | {(7, 8), (14, 15), (16, 17), (18, 19), (20, 21), (22, 23), (28, 29), (30, 31)}
+    assert got == scope | {(7, 8), (14, 15), (16, 17), (18, 19), (20, 21), (22, 23), (28, 29), (30, 31), (32, 33)}
     assert forms(df.limit(0), "row", "words").count() == 0
 
 

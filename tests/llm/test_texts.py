@@ -59,21 +59,66 @@ def test_leaks_in_tiny_blocks(monkeypatch):
     assert len(index.search([""])[0]) == 0
 
 
-def test_edits_within_the_budget_are_found():
+def near_truth(text, item, n, edits):
+    """Whether ``n`` consecutive words of the item align with the text within ``edits``, by a full table."""
+    x, w = " " + "".join(f"{v} " for v in words(text)), words(item)
+    for k in range(len(w) - n + 1):
+        y = " " + "".join(f"{v} " for v in w[k : k + n])
+        row = [0] * (len(x) + 1)
+        for c in y:
+            new = [row[0] + 1]
+            for j, e in enumerate(x):
+                new.append(min(row[j] + (c != e), row[j + 1] + 1, new[j] + 1))
+            row = new
+        if min(row) <= edits:
+            return True
+    return False
+
+
+def edited_case():
     r = random.Random(5)
-    text = sentence(r, 60)
-    w = text.split()
-    w[30] = w[30] + "x"
+    items = [(k, sentence(r, 26)) for k in range(6)]
+    docs = []
+    for k in range(40):
+        w = items[k % 6][1].split()
+        n = r.randint(9, 20)
+        at = r.randrange(26 - n)
+        part = " ".join(w[at : at + n])
+        for _ in range(k % 4):
+            p = r.randrange(len(part))
+            part = r.choice([part[:p] + part[p + 1 :], part[:p] + "q" + part[p:], part[:p] + "q" + part[p + 1 :]])
+        docs.append((k, sentence(r, 20) + "! " + part + " - " + sentence(r, 20)))
+    return docs, items
+
+
+def test_edits_within_the_budget_are_found_and_no_others(spark):
+    docs, items = edited_case()
+    truth = {(i, d) for d, t in docs for i, x in items if near_truth(t, x, 13, 1)}
+    rows = leaks.leaked(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    got = {(r.item_id, r.doc_id) for r in rows}
+    assert got == truth and 8 < len(truth) < 35 and len(rows) == len(got)
+    assert any(r.words < 13 for r in rows) and all(r.near_words >= max(13, r.words) for r in rows)
+
+
+def test_ten_words_are_no_passage():
+    text = sentence(random.Random(5), 40)
     index = leaks.Index([1], [text], leaks.Settings())
-    doc, item, n, score, *_ = index.search([" ".join(w[20:40])])
-    assert len(doc) and n.max() < 13 and score.max() > 60
+    assert not len(index.search(["before " + " ".join(text.split()[10:20]) + " after"])[0])
 
 
-def test_too_many_items_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(leaks, "MAX_ITEM_CHARS", 10)
-    e = spark.createDataFrame([(1, "x" * 11)], "item_id bigint, text string")
-    with pytest.raises(ValueError, match="exceed"):
-        leaks.leaked_items(spark.createDataFrame([(1, "y")], "doc_id bigint, text string"), e)
+def test_items_and_places_in_slices(spark, monkeypatch):
+    docs, items = leak_case()
+    d, e = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    want = leak_truth(docs, items, 13)
+    monkeypatch.setattr(leaks, "MAX_ITEM_CHARS", 900)
+    assert {tuple(r) for r in leaks.leaked_items(d, e).collect()} == want
+    own = [(i, x) for i, x in items if x and i is not None]
+    index = leaks.Index([i for i, _ in own], [x for _, x in own], leaks.Settings())
+    texts = [t for _, t in docs]
+    whole = [x.tolist() for x in index.search(texts)]
+    for most in (1, 40, 3000):
+        monkeypatch.setattr(leaks, "MOST_PLACES", most)
+        assert [x.tolist() for x in index.search(texts)] == whole
 
 
 def shared_truth(docs, n):
