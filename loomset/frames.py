@@ -42,13 +42,26 @@ def written(df: DataFrame, *parts: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def hadoop(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path as it knows it."""
+    context = spark.sparkContext
+    at = context._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(context._jsc.hadoopConfiguration()), at
+
+
+def folder(spark: SparkSession) -> str:
+    """A new folder in the shared one, for tables that are added to; ``clear`` deletes it."""
+    _written.append(f"{shared_dir(spark)}/loomset-{uuid.uuid4().hex}")
+    return _written[-1]
+
+
 _written: list[str] = []
 
 
 def clear(spark: SparkSession) -> int:
     """Deletes the tables that ``written`` has left in the shared folder, once nothing reads them any more; gives their number."""
-    context, n = spark.sparkContext, len(_written)
+    n = len(_written)
     while _written:
-        path = context._jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        fs, path = hadoop(spark, _written.pop())
+        fs.delete(path, True)
     return n

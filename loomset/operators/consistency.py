@@ -62,8 +62,9 @@ def passed_names(probes: DataFrame) -> DataFrame:
 
 def compared_outputs(before: DataFrame, after: DataFrame) -> DataFrame:
     """(form, files and bytes before and after, and their differences) of manifests (form, path, bytes); what is missing counts 0."""
-    side = lambda df, n: df.groupBy("form").agg(F.count("*").alias(f"files_{n}"), F.sum("bytes").alias(f"bytes_{n}"))
-    x = side(before, "before").join(side(after, "after"), "form", "full").fillna(0)
+    both = before.select("form", "bytes", F.lit(True).alias("first")).unionByName(after.select("form", "bytes", F.lit(False).alias("first")))
+    count = lambda c, n: (F.count_if(c).alias(f"files_{n}"), F.coalesce(F.sum(F.when(c, F.col("bytes"))), F.lit(0)).alias(f"bytes_{n}"))
+    x = both.groupBy("form").agg(*count(F.col("first"), "before"), *count(~F.col("first"), "after"))
     return x.withColumn("files_delta", F.col("files_after") - F.col("files_before")).withColumn("bytes_delta", F.col("bytes_after") - F.col("bytes_before"))
 
 

@@ -132,6 +132,20 @@ def _paths_by_doubling(nodes: DataFrame) -> DataFrame:
     return known.select("id", "root", "depth", "path")
 
 
+def _nodes(links: DataFrame) -> DataFrame:
+    """(id, parent) of every node, a parent that is no node being none."""
+    own = single_parent(links.select(F.col("id").cast("bigint"), F.col("parent").cast("bigint")))
+    there = own.select(F.col("id").alias("parent"), F.lit(True).alias("there"))
+    return cut(own.join(there, "parent", "left").select("id", F.when(F.col("there"), F.col("parent")).alias("parent")))
+
+
+def cycles(links: DataFrame) -> DataFrame:
+    """(loop, id, parent, closes) of every node on a loop of ``links`` (id, parent): its loop, named by the least node on it, and the link to its
+    parent. ``closes`` marks the back edge of a walk that begins at the least node. Nulls and repeated rows as for ``hierarchy``."""
+    _, loops = _components(_nodes(links))
+    return loops.where("on_loop").select(F.col("comp").alias("loop"), "id", "parent", (F.col("parent") == F.col("comp")).alias("closes"))
+
+
 def hierarchy(links: DataFrame, max_component: int = MAX_COMPONENT) -> DataFrame:
     """(id, root, depth, path) of every node of ``links`` (id, parent).
 
@@ -139,10 +153,7 @@ def hierarchy(links: DataFrame, max_component: int = MAX_COMPONENT) -> DataFrame
     leads up to a loop ``below cycle``. A null parent, or one that is no id, makes a root; a null id is no node; repeated rows count once, and of
     several parents the least counts. An empty table has no nodes; other columns are not read.
     """
-    own = single_parent(links.select(F.col("id").cast("bigint"), F.col("parent").cast("bigint")))
-    there = own.select(F.col("id").alias("parent"), F.lit(True).alias("there"))
-    nodes = cut(own.join(there, "parent", "left").select("id", F.when(F.col("there"), F.col("parent")).alias("parent")))
-    trees, loops = _components(nodes)
+    trees, loops = _components(_nodes(links))
     trees, loops = cut(trees.select("id", "parent", "comp")), cut(loops)
     sizes = trees.select("comp").unionByName(loops.select("comp")).groupBy("comp").agg(F.count("*").alias("n"))
     large = sizes.where(F.col("n") > max_component).select("comp")
@@ -157,7 +168,8 @@ def hierarchy(links: DataFrame, max_component: int = MAX_COMPONENT) -> DataFrame
 
 
 def _walked(nodes: DataFrame) -> DataFrame:
-    rows = nodes.select("comp", "id", "parent").repartition("comp").sortWithinPartitions("comp", "id")
+    n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the work is in the nodes, not in their bytes: not to be coalesced or left out
+    rows = nodes.select("comp", "id", "parent").repartition(n, F.xxhash64("comp")).sortWithinPartitions("comp", "id")
     return rows.mapInArrow(_walk, SCHEMA)
 
 

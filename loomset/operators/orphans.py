@@ -1,53 +1,142 @@
-"""References to records that do not exist, kept up to date as references, parents and deletions arrive."""
+"""References to records that do not exist, kept up to date as references, parents and deletions arrive.
+
+The state is two logs in a folder all executors share, each step's changes in a folder of their own: references whose answer changed, and what
+arrived of parents. A step reads of them only the buckets of keys that its changes touch, and appends; now and then the logs are written
+anew. A step counts once its marker is written, so that one that is run again, after a failure or a restart, does no harm.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..frames import written
+from ..frames import folder, hadoop, written
 
 KEY = ["package", "name"]
 REFERENCE = ["source_table", "ref_id", "package", "name", "ref_at"]
+_REFERENCES = "source_table string, ref_id bigint, package string, name string, ref_at timestamp, reason string, step bigint, bucket int"
+_PARENTS = "package string, name string, created_at timestamp, deleted_at timestamp, bucket int"
+#: Parts of the key space. Rows of a step are sorted by them, so that a scan passes over row groups without the touched ones.
+BUCKETS = 4096
+#: Touched buckets up to which the logs are filtered by them.
+MOST_TOUCHED = 1024
 
 
 class Orphans:
-    """Keyed state of references and of the parents that answer them.
+    """Keyed state of pending references and of the parents that answer them.
 
-    ``advance`` takes what arrived since the last time. New references probe the parent index; arriving parents and deletions probe again only
-    the references to their own keys, so that a parent resolves the orphans that wait for it and a deletion reopens those it answered. Both
-    parts of the state are written to the shared folder after each step. A hot key meets one index row, so its join is split by AQE.
+    ``advance`` takes what arrived since the last time. New references probe the parent index; arriving parents probe the pending references to
+    their keys, and deletions also those that were answered, so that a parent resolves the orphans that wait for it and a deletion reopens
+    those it answered. A hot key meets one index row, so its join is split by AQE.
 
-    References (source_table, ref_id, package, name, ref_at): a null name, id or time makes none; re-delivered ones count once. Parents
-    (package, name, created_at, deleted_at): of several rows of a key the earliest creation and the latest deletion count; a null package or name
-    matches nothing; a null created_at was always there. Names compare as written. Empty tables leave the state as it is.
+    References (source_table, ref_id, package, name, ref_at): a null name, id or time makes none; of re-delivered ones the latest counts, which
+    repeats the key. Parents (package, name, created_at, deleted_at): of several rows of a key the earliest creation and the latest deletion
+    count; a null package or name matches nothing; a null created_at was always there. Names compare as written. Empty tables leave the state
+    as it is. ``path`` is where the state lies; of a folder with a state in it, that state goes on.
     """
 
-    def __init__(self) -> None:
-        self.index: DataFrame | None = None
-        self.refs: DataFrame | None = None
-
-    def advance(self, references: DataFrame, parents: DataFrame) -> Orphans:
+    def __init__(self, path: str | None = None, compact: int = 24) -> None:
+        self.path, self.compact = path, compact
+        self.steps: list[int] | None = None
+
+    def _open(self, spark: SparkSession) -> list[int]:
+        """The steps that count, from the last on that holds the whole state."""
+        self.spark = spark
+        self.path = self.path or folder(spark)
+        if self.steps is None:
+            fs, top = hadoop(spark, self.path)
+            found = [s.getPath().getName() for s in fs.listStatus(top)] if fs.exists(top) else []
+            done = sorted(int(n[5:]) for n in found if n.startswith("step-") and self._marked(int(n[5:]), "done"))
+            whole = max((k for k in done if self._marked(k, "whole")), default=None)
+            self.steps = [k for k in done if whole is None or k >= whole]
+        return self.steps
+
+    def _dir(self, step: int, *parts: str) -> str:
+        return "/".join([self.path, f"step-{step}", *parts])
+
+    def _marked(self, step: int, name: str) -> bool:
+        fs, at = hadoop(self.spark, self._dir(step, name))
+        return fs.exists(at)
+
+    def _mark(self, step: int, name: str) -> None:
+        fs, at = hadoop(self.spark, self._dir(step, name))
+        fs.create(at, True).close()
+
+    def _log(self, name: str, schema: str, buckets: list[int] | None = None, also: int | None = None) -> DataFrame:
+        steps = self.steps + ([also] if also is not None and also not in self.steps else [])
+        if not steps:
+            return self.spark.createDataFrame([], schema)
+        x = self.spark.read.schema(schema).parquet(*[self._dir(k, name) for k in steps])
+        return x if buckets is None else x.where(F.col("bucket").isin(buckets))
+
+    @staticmethod
+    def _bucket() -> Column:
+        return F.pmod(F.xxhash64(*KEY), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+    def _write(self, df: DataFrame, step: int, name: str) -> None:
+        df.sortWithinPartitions("bucket").write.mode("overwrite").parquet(self._dir(step, name))
+
+    def advance(self, references: DataFrame, parents: DataFrame, number: int | None = None) -> Orphans:
+        """Takes what arrived; ``number`` names the step, and one that is done already changes nothing."""
+        done = self._open(references.sparkSession)
+        step = max(done, default=-1) + 1 if number is None else number
+        if step in done:
+            return self
         new = references.select(*REFERENCE).where("name is not null and ref_id is not null and ref_at is not null").dropDuplicates(["source_table", "ref_id"])
+        new = written(new.select(*REFERENCE, self._bucket()))
         came = parents.select(*KEY, "created_at", "deleted_at").where("package is not null and name is not null")
-        index = came if self.index is None else came.unionByName(self.index)
-        # a null created_at is the earliest of all
-        born = F.min(F.coalesce("created_at", F.timestamp_seconds(F.lit(-62135596800))))
-        self.index = written(index.groupBy(*KEY).agg(born.alias("created_at"), F.max("deleted_at").alias("deleted_at")))
-        if self.refs is not None:
-            touched = came.select(*KEY).distinct()
-            known = self.refs.select("source_table", "ref_id")
-            again = self.refs.join(touched, KEY, "left_semi").select(*REFERENCE)
-            probe = new.join(known, ["source_table", "ref_id"], "left_anti").select(*REFERENCE).unionByName(again)
-            self.refs = written(self.refs.join(touched, KEY, "left_anti").select(*REFERENCE, "reason").unionByName(self._probed(probe)))
-        else:
-            self.refs = written(self._probed(new))
+        self._write(self._index(came).select(*KEY, "created_at", "deleted_at", self._bucket()), step, "parents")
+        came = self.spark.read.schema(_PARENTS).parquet(self._dir(step, "parents"))
+        touched = [r.bucket for r in new.select("bucket").unionByName(came.select("bucket")).distinct().collect()]  # at most BUCKETS
+        buckets = touched if len(touched) <= MOST_TOUCHED else None
+        probe = new.select(*REFERENCE, F.lit("new").alias("was"))
+        if done:
+            keys = came.select(*KEY, F.col("deleted_at").isNotNull().alias("gone"))
+            known = self._latest(self._log("references", _REFERENCES, buckets).join(keys, KEY)).where("reason is not null or gone")
+            known = known.join(new.select("source_table", "ref_id"), ["source_table", "ref_id"], "left_anti")
+            probe = probe.unionByName(known.select(*REFERENCE, F.coalesce("reason", F.lit("answered")).alias("was")))
+        index = self._index(self._log("parents", _PARENTS, buckets, step)).withColumn("there", F.lit(True))
+        reason = F.when(F.col("there").isNull(), "missing").when(F.col("created_at") > F.col("ref_at"), "late").when(F.col("deleted_at") <= F.col("ref_at"), "deleted")
+        x = probe.join(index, KEY, "left").withColumn("reason", reason).where(F.coalesce("reason", F.lit("answered")) != F.col("was"))
+        self._write(x.select(*REFERENCE, "reason", F.lit(step).cast("bigint").alias("step"), self._bucket()), step, "references")
+        self._mark(step, "done")
+        self.steps = [*done, step]
+        if len(self.steps) > self.compact:
+            self._compacted(step + 1 if number is None else step)
         return self
 
-    def _probed(self, references: DataFrame) -> DataFrame:
-        x = references.join(self.index.withColumn("there", F.lit(True)), KEY, "left")
-        reason = F.when(F.col("there").isNull(), "missing").when(F.col("created_at") > F.col("ref_at"), "late").when(F.col("deleted_at") <= F.col("ref_at"), "deleted")
-        return x.select(*REFERENCE, reason.alias("reason"))
+    def _compacted(self, step: int) -> None:
+        """The whole state in one step: beside the last one, or in the place of it if steps are numbered from outside."""
+        refs, index = self.refs, self.index
+        at = self._dir(step, "") if step not in self.steps else None
+        if at is None:
+            refs, index = written(refs), written(index)
+        self._write(refs.select(*REFERENCE, "reason", F.lit(step).cast("bigint").alias("step"), self._bucket()), step, "references")
+        self._write(index.select(*KEY, "created_at", "deleted_at", self._bucket()), step, "parents")
+        self._mark(step, "whole")
+        self._mark(step, "done")
+        self.steps = [step]
+
+    @staticmethod
+    def _index(parents: DataFrame) -> DataFrame:
+        # a null created_at is the earliest of all
+        born = F.min(F.coalesce("created_at", F.timestamp_seconds(F.lit(-62135596800))))
+        return parents.groupBy(*KEY).agg(born.alias("created_at"), F.max("deleted_at").alias("deleted_at"))
+
+    @staticmethod
+    def _latest(log: DataFrame) -> DataFrame:
+        rest = [c for c in log.columns if c not in ("source_table", "ref_id", "step")]
+        return log.groupBy("source_table", "ref_id").agg(F.max_by(F.struct(*rest), "step").alias("r")).select("source_table", "ref_id", "r.*")
+
+    @property
+    def refs(self) -> DataFrame:
+        """All references with their reason, null where a parent answers."""
+        return self._latest(self._log("references", _REFERENCES)).select(*REFERENCE, "reason")
+
+    @property
+    def index(self) -> DataFrame:
+        """The parents by key."""
+        return self._index(self._log("parents", _PARENTS))
 
     def orphans(self) -> DataFrame:
         """(source_table, ref_id, reason, period): references that had no parent when they were made; period is their UTC month."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,26 +19,31 @@ SEED_CLASSES = ["IdentifiedObject", "PowerSystemResource", "Measurement", "Repor
 CANONICAL_PREFIXES = ["cim", "eu", "rdf", "rdfs", "xsd", "owl", "sh", "skos"]
 
 
-def similar(left: DataFrame, right: DataFrame, most: int, within: list[str] | None = None, apart: int | None = None) -> DataFrame:
-    """(…within, a, b, distance) of distinct names (…within, a) and (…within, b) that are at most ``most`` edits apart, and in length ``apart``.
+def similar(left: DataFrame, right: DataFrame, most: int, within: list[str] | None = None, apart: int | None = None, allowed: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(…within, a, b, distance) of distinct names (…within, a) and (…within, b) that are at most ``most`` edits apart, and in length ``apart``;
+    ``allowed`` gives the edits for the length of the longer one, ``most`` at most.
 
     No pair is compared that shares no piece: of two names within k edits, cut into k + 1 pieces, at least one piece of one stands in the
-    other, shifted by no more than (k + apart) / 2. Both sides are joined on piece, length and place; the distance then settles it.
+    other, shifted by no more than (k + apart) / 2. Names are cut for the edits that their lengths allow, so that short ones have no empty pieces
+    as long as fewer edits than letters are. Both sides are joined on piece, lengths and place; the distance then settles it.
     """
     within, apart = within or [], most if apart is None else apart
-    reach = (most + apart) // 2
+    edits = lambda n: F.least(F.lit(most), allowed(n)).cast("int") if allowed else F.lit(most)
     a, b = left.select(*within, "a").where("a is not null").distinct(), right.select(*within, "b").where("b is not null").distinct()
-    k = most + 1
-    size = lambda c, n, i: (F.floor((n * (i + 1)) / k) - F.floor((n * i) / k)).cast("int")
-    first = lambda n, i: F.floor((n * i) / k).cast("int")
-    lb = F.length("b")
-    pieces = b.select(*within, "b", lb.alias("lb"), F.explode(F.transform(F.sequence(F.lit(0), F.lit(most)), lambda i: F.struct(i.alias("i"), F.substring(F.col("b"), first(lb, i) + 1, size(None, lb, i)).alias("piece")))).alias("p")).select(*within, "b", "lb", "p.i", "p.piece")
-    la = F.length("a")
-    wide = a.select(*within, "a", F.explode(F.sequence(F.greatest(F.lit(0), la - apart), la + apart)).alias("lb"))
-    cuts = wide.select(*within, "a", "lb", F.explode(F.sequence(F.lit(0), F.lit(most))).alias("i"))
-    cuts = cuts.select(*within, "a", "lb", "i", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(-reach), F.lit(reach)), lambda s: F.when(first(F.col("lb"), F.col("i")) + s >= 0, F.substring(F.col("a"), first(F.col("lb"), F.col("i")) + s + 1, size(None, F.col("lb"), F.col("i"))))))).alias("piece")).where("piece is not null")
-    pairs = cuts.join(pieces, [*within, "lb", "i", "piece"]).select(*within, "a", "b").distinct()
-    return pairs.withColumn("distance", F.levenshtein("a", "b", most)).where("distance >= 0")
+    start = lambda n, i, k: F.floor((n * i) / (k + 1)).cast("int")
+    la, lb, k, i = F.length("a"), F.col("lb"), F.col("k"), F.col("i")
+    size = start(lb, i + 1, k) - start(lb, i, k)
+    each = lambda lo, hi: F.explode(F.sequence(lo, hi))
+    lengths = F.sequence(F.greatest(F.lit(0), F.length("b") - apart), F.length("b") + apart)
+    pieces = b.select(*within, "b", F.length("b").alias("lb"), F.explode(F.array_distinct(F.transform(lengths, lambda n: edits(F.greatest(n, F.length("b")))))).alias("k"))
+    pieces = pieces.select("*", each(F.lit(0), k).alias("i")).select(*within, "b", "lb", "k", "i", F.substring(F.col("b"), start(lb, i, k) + 1, size).alias("piece"))
+    cuts = a.select(*within, "a", each(F.greatest(F.lit(0), la - apart), la + apart).alias("lb")).withColumn("k", edits(F.greatest(la, lb)))
+    cuts = cuts.select("*", each(F.lit(0), k).alias("i"))
+    reach = F.floor((k + apart) / 2).cast("int")
+    shifted = F.transform(F.sequence(-reach, reach), lambda s: F.when(start(lb, i, k) + s >= 0, F.substring(F.col("a"), start(lb, i, k) + s + 1, size)))
+    cuts = cuts.select(*within, "a", "lb", "k", "i", F.explode(F.array_distinct(shifted)).alias("piece")).where("piece is not null")
+    pairs = cuts.join(pieces, [*within, "lb", "k", "i", "piece"]).select(*within, "a", "b", "k").distinct()
+    return pairs.withColumn("distance", F.levenshtein("a", "b", most)).where("distance between 0 and k").drop("k")
 
 
 def nearest_prefix(found: DataFrame, most: int = 2, canonical: list[str] = CANONICAL_PREFIXES) -> DataFrame:
@@ -65,16 +72,23 @@ def clean_class_names(found: DataFrame, known: DataFrame, most: int = 2, suggest
     )
 
 
+def ending_with(wanted: DataFrame, known: DataFrame, within: list[str] | None = None) -> DataFrame:
+    """(…within, wanted, fits, only) of each distinct (…within, wanted) that known names (…within, name) end with and are longer than: how many, and
+    the least of them. The ends of known names are joined by equality, not compared one by one; null and empty ones fit nothing."""
+    within = within or []
+    tails = F.transform(F.sequence(F.lit(2), F.length("name")), lambda k: F.when(F.length("name") >= k, F.substring("name", k, F.length("name"))))
+    ends = known.where("name is not null").distinct().select(*within, "name", F.explode(tails).alias("wanted")).where("wanted is not null and wanted <> name")
+    return wanted.where("wanted <> ''").distinct().join(ends, [*within, "wanted"]).groupBy(*within, "wanted").agg(F.count("*").alias("fits"), F.min("name").alias("only"))
+
+
 def resolved_targets(m: Model) -> DataFrame:
     """The associations with ``class_name`` (repaired) and ``outcome``: noise (no class), kept, repaired by the only known name that ends with
     it, ambiguous or unresolved. The ends of known names are joined by equality, not compared one by one."""
     name = N.strip(F.col("target.class_name"))
     known = m.classes.select("doc_id", "name").where("name is not null").distinct()
     exact = known.select("doc_id", F.col("name").alias("wanted"), F.lit(True).alias("known"))
-    ends = known.select("doc_id", "name", F.explode(F.transform(F.sequence(F.lit(2), F.length("name")), lambda k: F.when(F.length("name") >= k, F.substring("name", k, F.length("name"))))).alias("wanted")).where("wanted is not null and wanted <> name")
     a = m.association.withColumn("wanted", name)
-    asked = a.where(~N.is_noisy_target(F.col("target.class_name"))).select("doc_id", "wanted").distinct()
-    fits = asked.join(ends, ["doc_id", "wanted"]).groupBy("doc_id", "wanted").agg(F.count("*").alias("fits"), F.min("name").alias("only"))
+    fits = ending_with(a.where(~N.is_noisy_target(F.col("target.class_name"))).select("doc_id", "wanted"), known, ["doc_id"])
     x = a.join(exact, ["doc_id", "wanted"], "left").join(fits, ["doc_id", "wanted"], "left")
     outcome = F.when(N.is_noisy_target(F.col("target.class_name")), "noise_dropped").when(F.col("known"), "kept_exact").when(F.col("fits") == 1, "fuzzy_resolved").when(F.col("fits") > 1, "ambiguous_kept").otherwise("unresolved_kept")
     x = x.withColumn("outcome", outcome)
@@ -120,10 +134,14 @@ def fuzzy_pairs(m: Model) -> DataFrame:
     """(doc_id, a, b, distance) of package names that are misreadings of each other: five letters or more, one to three letters longer or
     shorter, and no more edits than a third of the longer one (two at least, six at most)."""
     names = m.package.where(F.length("name") >= LEAST_LENGTH).select("doc_id", "name").distinct()
-    p = similar(names.select("doc_id", F.col("name").alias("a")), names.select("doc_id", F.col("name").alias("b")), MOST_EDITS, ["doc_id"], MOST_LONGER).where("a < b")
-    apart = F.abs(F.length("a") - F.length("b"))
-    allowed = F.least(F.lit(MOST_EDITS), F.greatest(F.lit(2), F.floor(F.greatest(F.length("a"), F.length("b")) / 3)))
-    return p.where(apart.between(LEAST_LONGER, MOST_LONGER) & (F.col("distance") <= allowed))
+    third = lambda n: F.greatest(F.lit(2), F.floor(n / 3))
+    p = similar(names.select("doc_id", F.col("name").alias("a")), names.select("doc_id", F.col("name").alias("b")), MOST_EDITS, ["doc_id"], MOST_LONGER, third).where("a < b")
+    return p.where(F.abs(F.length("a") - F.length("b")).between(LEAST_LONGER, MOST_LONGER))
+
+
+def sorted_refs(m: Model) -> DataFrame:
+    """``cross_package_refs`` in the order of package, referred package and class."""
+    return cross_package_refs(m).orderBy("doc_id", "from_package", "to_package", "via_class")
 
 
 def merged_names(m: Model, fuzzy: bool = True) -> DataFrame:

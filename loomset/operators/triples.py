@@ -52,7 +52,7 @@ def owl(m: Model, keep_prefixed: bool = True) -> DataFrame:
     prop = N.property_iri(F.col("class_name"), F.col("name"), NS)
     label = F.left(F.col("name"), F.lit(NAME_MOST))
     xsd = D.xsd_range(F.col("data_type"), keep_prefixed)
-    rng = F.when(xsd.startswith("xsd:"), F.concat(F.lit(XSD), F.substring(xsd, 5, 200))).otherwise(xsd)
+    rng = F.when(xsd.startswith("xsd:"), F.concat(F.lit(XSD), F.substring(xsd, 5, 2**31 - 1))).otherwise(xsd)
     attributes = expand(m.attribute.join(own, CLASS_KEY), F.col("package"), iri(prop, RDF + "type", F.lit(OWL + "DatatypeProperty")), literal(prop, RDFS + "label", label, "en"), iri(prop, RDFS + "domain", cls), iri(prop, RDFS + "range", rng), literal(prop, RDFS + "comment", F.when(F.col("required"), "required (min >= 1)"), "en"))
     target = F.when(F.coalesce(F.col("target.class_name").rlike(N.IDENTIFIER), F.lit(False)), _at(F.col("target.class_name")))
     associations = expand(m.association.join(own, CLASS_KEY), F.col("package"), iri(prop, RDF + "type", F.lit(OWL + "ObjectProperty")), literal(prop, RDFS + "label", label, "en"), iri(prop, RDFS + "domain", cls), iri(prop, RDFS + "range", target))
@@ -70,7 +70,7 @@ def shacl(m: Model, xsd_names: bool = True) -> DataFrame:
     path = _at(F.concat(F.col("class_name"), F.lit("."), F.col("name")))
     count = lambda name, v: literal(prop, SH + name, v, None, XSD + "integer")
     bare = F.when(N.is_safe_iri_part(F.col("data_type")), F.col("data_type"))
-    kind = F.coalesce(F.when(F.lit(xsd_names) & F.col("data_type").startswith("xsd:"), F.concat(F.lit(XSD), F.substring("data_type", 5, 200))), bare)
+    kind = F.coalesce(F.when(F.lit(xsd_names) & F.col("data_type").startswith("xsd:"), F.concat(F.lit(XSD), F.substring("data_type", 5, 2**31 - 1))), bare)
     a = m.attribute.where(N.is_safe_iri_part(F.col("name"))).join(c, CLASS_KEY)
     attributes = expand(a, graph, iri(shape, SH + "property", prop), iri(prop, SH + "path", path), iri(prop, SH + "datatype", kind), count("minCount", F.when(F.col("required"), 1)), count("maxCount", F.col("multiplicity.max")))
     t = F.col("target.class_name")

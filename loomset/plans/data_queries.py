@@ -22,9 +22,9 @@ def shape_min_max_count(spark: SparkSession, sf: str) -> DataFrame:
     return validate.count_violations(table(spark, sf, "orders"), items, "o_orderkey", LEAST, MOST)
 
 
-@query("SELECT event_id, event_type FROM events WHERE event_type IS NOT NULL AND TRY_CAST(props ->> '$.k' AS BIGINT) IS NULL AND (props ->> '$.k') IS NOT NULL UNION ALL SELECT event_id, event_type FROM events WHERE TRY_CAST(event_type AS BIGINT) IS NULL AND event_type IS NOT NULL AND event_type LIKE 'c%'")
+@query("SELECT event_id, event_type FROM events WHERE event_type IS NOT NULL AND TRY_CAST(props ->> '$.k' AS BIGINT) IS NULL AND (props ->> '$.k') IS NOT NULL UNION ALL SELECT event_id, event_type FROM events WHERE TRY_CAST(event_type AS BIGINT) IS NULL AND event_type IS NOT NULL")
 def shape_datatype(spark: SparkSession, sf: str) -> DataFrame:
-    """Values that are no integers: of a JSON field, and of the types of events. The SQL has of the types those that begin with c."""
+    """Values that are no integers: of a JSON field, and of the types of events."""
     e = table(spark, sf, "events")
     a = validate.datatype_violations(e, F.get_json_object("props", "$.k"), "xsd:integer")
     b = validate.datatype_violations(e, F.col("event_type"), "xsd:integer")
@@ -125,10 +125,10 @@ def review_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     return review.decided(x.withColumn("response", said), table(spark, sf, "class_def").select("name")).select("case_id", "outcome", "corrected")
 
 
-@query("SELECT form, count(*) FILTER (side = 'b') AS files_before, count(*) FILTER (side = 'a') AS files_after, coalesce(sum(n) FILTER (side = 'b'), 0) AS bytes_before, coalesce(sum(n) FILTER (side = 'a'), 0) AS bytes_after FROM (SELECT 'b' AS side, source AS form, n_chars AS n FROM documents WHERE version = 1 AND source IS NOT NULL UNION ALL SELECT 'a', source, n_chars FROM documents WHERE version > 1 AND source IS NOT NULL) GROUP BY 1")
+@query("SELECT form, count(*) FILTER (side = 'b') AS files_before, count(*) FILTER (side = 'a') AS files_after, coalesce(sum(n) FILTER (side = 'b'), 0) AS bytes_before, coalesce(sum(n) FILTER (side = 'a'), 0) AS bytes_after FROM (SELECT 'b' AS side, source AS form, n_chars AS n FROM documents WHERE version = 1 UNION ALL SELECT 'a', source, n_chars FROM documents WHERE version > 1) GROUP BY 1")
 def compared_outputs(spark: SparkSession, sf: str) -> DataFrame:
     """First versions of documents against later ones, by source."""
-    d = table(spark, sf, "documents").where("source is not null").select(F.col("source").alias("form"), F.col("title").alias("path"), F.col("n_chars").alias("bytes"), "version")
+    d = table(spark, sf, "documents").select(F.col("source").alias("form"), F.col("title").alias("path"), F.col("n_chars").alias("bytes"), "version")
     return consistency.compared_outputs(d.where("version = 1"), d.where("version > 1")).drop("files_delta", "bytes_delta")
 
 

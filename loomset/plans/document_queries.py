@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..frames import table
 from ..sources import markdown
 from .model_queries import MODEL_SQL, model
+from .names_queries import STRIP
 from .package import Packages
 from .registry import Registry
 
@@ -35,9 +36,12 @@ def md_sections(spark: SparkSession, sf: str) -> DataFrame:
     return found
 
 
-@query(r"SELECT tok_id, len(list_filter(string_split(content, chr(10)), lambda x: trim(x) <> '' AND NOT regexp_full_match(replace(x, '|', ''), '[-:]+'))) - 1 AS n_rows, len(string_split(string_split(content, chr(10))[1], '|')) AS n_cols FROM md_token WHERE type = 'table' AND content IS NOT NULL AND regexp_full_match(content, '[\x00-\x7f]*') AND content <> ''")
+@query(
+    f"""WITH l AS (SELECT tok_id, list_filter(list_transform(string_split(content, chr(10)), lambda x: {STRIP("x")}), lambda x: x <> '' AND NOT regexp_full_match(replace(x, '|', ''), '[-:]+')) AS x FROM md_token WHERE type = 'table' AND content <> '')
+    SELECT tok_id, len(x) - 1 AS n_rows, len(string_split(x[1], '|')) AS n_cols FROM l WHERE len(x) > 0"""
+)
 def md_tables(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows and columns of every table. The SQL, which trims blanks only, holds those of ASCII content."""
+    """Rows and columns of every table."""
     t = table(spark, sf, "md_token").where("type = 'table' and content <> ''")
     x = t.select(F.col("tok_id").alias("doc_id"), F.lit(0).alias("sec_ord"), "tok_ord", "type", "content")
     return markdown.tables(x).select(F.col("doc_id").alias("tok_id"), F.size("rows").alias("n_rows"), F.size("headers").alias("n_cols"))

@@ -42,7 +42,12 @@ class Model:
 
     def get_class(self, name: str) -> DataFrame:
         """The first class of that name in each document."""
-        return self.classes.where(F.col("name") == name).groupBy("doc_id").agg(F.min_by(F.struct(*[c for c in self.classes.columns if c != "doc_id"]), F.struct("pkg_ord", "cls_ord")).alias("c")).select("doc_id", "c.*")
+        return self.first_classes().where(F.col("name") == name)
+
+    def first_classes(self) -> DataFrame:
+        """The first class of each name in each document."""
+        rest = [c for c in self.classes.columns if c not in ("doc_id", "name")]
+        return self.classes.where("name is not null").groupBy("doc_id", "name").agg(F.min_by(F.struct(*rest), F.struct("pkg_ord", "cls_ord")).alias("c")).select("doc_id", "name", "c.*")
 
     def get_package(self, name: str) -> DataFrame:
         """The first package of that name in each document."""

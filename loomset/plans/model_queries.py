@@ -49,10 +49,10 @@ def classes_by_package(spark: SparkSession, sf: str) -> DataFrame:
     return x.groupBy(F.coalesce(F.nullif("package", F.lit("")), F.lit("Core")).alias("package")).agg(F.count("*").alias("n_classes"), F.min("class_id").alias("first_id"))
 
 
-@query(MODEL_SQL + " SELECT doc_id, pkg_ord, cls_ord, description FROM (SELECT *, n.description AS description, row_number() OVER (PARTITION BY doc_id, name ORDER BY pkg_ord, cls_ord) AS r FROM cl) WHERE r = 1 AND name = (SELECT arg_max(name, n) FROM (SELECT name, count(*) AS n FROM cl GROUP BY 1 HAVING name = 'HollowSummerRivetSegment'))")
+@query(MODEL_SQL + " SELECT doc_id, name, pkg_ord, cls_ord, description FROM (SELECT *, n.description AS description, row_number() OVER (PARTITION BY doc_id, name ORDER BY pkg_ord, cls_ord) AS r FROM cl) WHERE r = 1 AND name IS NOT NULL")
 def first_class(spark: SparkSession, sf: str) -> DataFrame:
-    """Lookup of a class by name: the first one of each document."""
-    return model(spark, sf).get_class("HollowSummerRivetSegment").select("doc_id", "pkg_ord", "cls_ord", "description")
+    """Lookup of classes by name: the first one of each name in each document."""
+    return model(spark, sf).first_classes().select("doc_id", "name", "pkg_ord", "cls_ord", "description")
 
 
 _WANTED = STRIP("class_name")
@@ -70,13 +70,13 @@ def resolved_targets(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.resolved_targets(corpus(spark, sf)).select("doc_id", "pkg_ord", "cls_ord", "assoc_ord", "outcome", "class_name")
 
 
-@query(f"SELECT w AS short, count(*) AS fits, min(name) AS single FROM (SELECT DISTINCT name FROM class_def WHERE name IS NOT NULL) k JOIN (SELECT DISTINCT substr(class_name, 4) AS w FROM class_ref WHERE length(class_name) > 8) s ON suffix(k.name, s.w) AND k.name <> s.w GROUP BY 1")
+@query("SELECT w AS short, count(*) AS fits, min(name) AS single FROM (SELECT DISTINCT name FROM class_def WHERE name IS NOT NULL) k JOIN (SELECT DISTINCT substr(class_name, 4) AS w FROM class_ref WHERE length(class_name) > 3 UNION SELECT class_name FROM class_ref WHERE class_name <> '') s ON suffix(k.name, s.w) AND k.name <> s.w GROUP BY 1")
 def suffix_repair(spark: SparkSession, sf: str) -> DataFrame:
-    """Names that lost their first letters, with how many known names end with them; ends are joined by equality."""
-    k = table(spark, sf, "class_def").where("name is not null").select("name").distinct()
-    ends = k.where(F.length("name") > 1).select("name", F.explode(F.transform(F.sequence(F.lit(2), F.length("name")), lambda i: F.substring("name", i, F.length("name")))).alias("short"))
-    s = table(spark, sf, "class_ref").where(F.length("class_name") > 8).select(F.expr("substring(class_name, 4)").alias("short")).distinct()
-    return ends.join(s, "short").groupBy("short").agg(F.count("*").alias("fits"), F.min("name").alias("single"))
+    """The known names that end with each name referred to, as it stands and without its first three letters, which scans lose."""
+    k = table(spark, sf, "class_def").select("name")
+    r = table(spark, sf, "class_ref").select("class_name")
+    s = r.union(r.select(F.expr("substring(class_name, 4)"))).select(F.col("class_name").alias("wanted"))
+    return resolve.ending_with(s, k).withColumnsRenamed({"wanted": "short", "only": "single"})
 
 
 @query(
@@ -160,7 +160,7 @@ def dangling_refs(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.dangling_refs(corpus(spark, sf))
 
 
-_EDGES = "SELECT DISTINCT from_package AS a, to_package AS b FROM cross_package_ref WHERE from_package IS NOT NULL AND to_package IS NOT NULL AND from_package < to_package"
+_EDGES = "SELECT DISTINCT from_package AS a, to_package AS b FROM cross_package_ref WHERE from_package <> to_package"
 
 
 def _package_edges(spark: SparkSession, sf: str) -> DataFrame:
@@ -168,10 +168,13 @@ def _package_edges(spark: SparkSession, sf: str) -> DataFrame:
     return x.select(F.col("from_package").alias("a"), F.col("to_package").alias("b")).distinct()
 
 
-@query(f"WITH RECURSIVE e AS ({_EDGES}), n AS (SELECT a AS id FROM e UNION SELECT b FROM e), l AS (SELECT id, 0 AS level FROM n WHERE id NOT IN (SELECT b FROM e) UNION SELECT e.b, l.level + 1 FROM l JOIN e ON e.a = l.id WHERE l.level < 200) SELECT id, max(level)::INT AS level FROM l GROUP BY 1")
+@query(
+    f"""WITH RECURSIVE e AS ({_EDGES}), n AS (SELECT a AS id FROM e UNION SELECT b FROM e), r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+    bad AS (SELECT a AS id FROM r WHERE a = b UNION SELECT r.b FROM r WHERE r.a IN (SELECT a FROM r WHERE a = b)), f AS (SELECT * FROM e WHERE b NOT IN (SELECT id FROM bad)),
+    l AS (SELECT id, 0 AS level FROM n WHERE id NOT IN (SELECT b FROM e) UNION SELECT f.b, l.level + 1 FROM l JOIN f ON f.a = l.id) SELECT n.id, max(level)::INT AS level FROM n LEFT JOIN l USING (id) GROUP BY 1"""
+)
 def topo_levels(spark: SparkSession, sf: str) -> DataFrame:
-    """Levels of packages by dependency; null for packages on or behind a loop. The SQL, which can't tell loops, takes only the references that
-    go forward in the alphabet."""
+    """Levels of packages by dependency; null for packages on or behind a loop."""
     e = _package_edges(spark, sf)
     return graph.levels(e.select(F.col("a").alias("id")).union(e.select("b")), e)
 
@@ -191,10 +194,12 @@ def reference_closure(spark: SparkSession, sf: str) -> DataFrame:
     return graph.transitive_closure(refs.join(own, ["doc_id", "pkg_ord", "cls_ord"]).select("doc_id", "a", "b"), ["doc_id"])
 
 
-@query("WITH RECURSIVE c AS (SELECT DISTINCT package || '.' || name AS b, p.package || '.' || p.class_name AS a FROM (SELECT package, name, unnest(parents) AS p FROM class_def) WHERE p.class_name IS NOT NULL AND package = p.package), r AS (SELECT b, a FROM c UNION SELECT r.b, c.a FROM r JOIN c ON c.b = r.a) SELECT b AS sub, a AS super FROM r")
+@query(
+    """WITH RECURSIVE c AS (SELECT DISTINCT {'p': package, 'n': name} AS b, {'p': p.package, 'n': p.class_name} AS a FROM (SELECT package, name, unnest(parents) AS p FROM class_def) WHERE p.class_name IS NOT NULL),
+    r AS (SELECT b, a FROM c UNION SELECT r.b, c.a FROM r JOIN c ON c.b = r.a) SELECT concat_ws('.', b.p, b.n) AS sub, concat_ws('.', a.p, a.n) AS super FROM r"""
+)
 def subclass_closure(spark: SparkSession, sf: str) -> DataFrame:
-    """The subclass relation of all parent links, within packages and across them, closed; classes are told apart by package and name. The SQL
-    holds links within a package only."""
+    """The subclass relation of all parent links, within packages and across them, closed; classes are told apart by package and name."""
     x = table(spark, sf, "class_def").select("package", "name", F.explode("parents").alias("p")).where("p.class_name is not null")
     key = lambda package, name: F.struct(F.col(package).alias("package"), F.col(name).alias("name"))
     c = graph.transitive_closure(x.select(key("package", "name").alias("a"), key("p.package", "p.class_name").alias("b")))

@@ -171,7 +171,7 @@ def nearest_prefix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """WITH k AS (SELECT DISTINCT name FROM class_def WHERE name IS NOT NULL), x AS (SELECT DISTINCT raw_text AS name FROM ocr_noise_samples WHERE raw_text IS NOT NULL AND regexp_full_match(raw_text, '[\\x00-\\x7f]*')),
+    """WITH k AS (SELECT DISTINCT name FROM class_def WHERE name IS NOT NULL), x AS (SELECT DISTINCT raw_text AS name FROM ocr_noise_samples WHERE raw_text IS NOT NULL),
     f AS (SELECT * FROM (VALUES """
     + ", ".join(f"('{a}', '{b}')" for a, b in resolve.CORRECTIONS.items())
     + """) AS f(name, fixed)),
@@ -180,14 +180,13 @@ def nearest_prefix(spark: SparkSession, sf: str) -> DataFrame:
     CASE WHEN fixed IS NULL AND k.name IS NULL THEN coalesce(near, []) ELSE [] END AS suggestions FROM x LEFT JOIN k USING (name) LEFT JOIN f USING (name) LEFT JOIN d USING (name)"""
 )
 def clean_class_names(spark: SparkSession, sf: str) -> DataFrame:
-    """Class names as scanned against the known ones. The SQL, whose distance is by bytes, holds ASCII texts only."""
+    """Class names as scanned against the known ones. (DuckDB's distance counts bytes: of ASCII names, as the tables have, it is the same.)"""
     x = table(spark, sf, "ocr_noise_samples").select(F.col("raw_text").alias("name"))
     return resolve.clean_class_names(x, table(spark, sf, "class_def").where("name is not null").select("name"))
 
 
-@query(f"SELECT class_id, regexp_extract(regexp_extract(iri, '([^#]*)$', 1), '([^/]*)$', 1) AS local, regexp_replace(regexp_replace(lower(regexp_replace(description, '[^A-Za-z0-9]+', '-', 'g')), '^-+', ''), '-+$', '') AS slug FROM (SELECT DISTINCT class_id, iri, description FROM class_def WHERE coalesce(regexp_full_match(description, '[\\x00-\\x7f]*'), true))")
+@query(f"SELECT class_id, regexp_extract(regexp_extract(iri, '([^#]*)$', 1), '([^/]*)$', 1) AS local, regexp_replace(regexp_replace(lower(regexp_replace(description, '[^\\p{{L}}\\p{{Nl}}\\p{{Nd}}]+', '-', 'g')), '^-+', ''), '-+$', '') AS slug FROM (SELECT DISTINCT class_id, iri, description FROM class_def)")
 def local_names(spark: SparkSession, sf: str) -> DataFrame:
-    """Local part of each class's IRI, and its description as a slug. The SQL, whose slugs keep ASCII letters only, holds classes of such
-    descriptions."""
+    """Local part of each class's IRI, and its description as a slug."""
     x = table(spark, sf, "class_def").select("class_id", "iri", "description").distinct()
     return x.select("class_id", N.local_name(F.col("iri")).alias("local"), N.slug(F.col("description")).alias("slug"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..frames import table
 from ..operators.flatten import Flattened
-from ..operators.hierarchy import class_links, descendants, hierarchy
+from ..operators.hierarchy import class_links, cycles, descendants, hierarchy
 from ..operators.orphans import all_references, replayed
 
 #: node_kind of each child table.
@@ -71,6 +71,12 @@ def p4_descendants(spark: SparkSession, sf: str) -> DataFrame:
     return descendants(_paths(spark, sf)).select(F.col("id").alias("class_id"), F.col("descendant").alias("descendant_id"), "distance")
 
 
+def p4_cycles(spark: SparkSession, sf: str) -> DataFrame:
+    """The loops: every class on one, its parent there, and whether this link closes the loop."""
+    x = cycles(class_links(table(spark, sf, "class_def"), table(spark, sf, "data_property")))
+    return x.select(F.col("loop").alias("loop_id"), F.col("id").alias("class_id"), F.col("parent").alias("parent_id"), "closes")
+
+
 def _state(spark: SparkSession, sf: str):
     return replayed(all_references(table(spark, sf, "class_ref"), table(spark, sf, "cross_package_ref")), table(spark, sf, "class_def"))
 
@@ -85,7 +91,7 @@ def p5_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = {f.__name__: f for f in (p2_found, p4_found, p4_descendants, p5_found, p5_report)}
+    own = {f.__name__: f for f in (p2_found, p4_found, p4_descendants, p4_cycles, p5_found, p5_report)}
     return own | {name: _child_table(path) for name, path in P2_TABLES.items()}
 
 
@@ -167,6 +173,7 @@ ORACLE["p4_descendants"] = (
   UNION ALL SELECT u.descendant_id, l.parent, u.distance + 1 FROM up u JOIN link l ON l.class_id = u.class_id WHERE l.parent IS NOT NULL)
 SELECT class_id, descendant_id, distance FROM up"""
 )
+ORACLE["p4_cycles"] = _P4 + "SELECT min(r.top) AS loop_id, class_id, l.parent AS parent_id, min(r.top) = l.parent AS closes FROM reach r JOIN ring USING (class_id) JOIN link l USING (class_id) GROUP BY class_id, l.parent"
 ORACLE["p5_found"] = """
 WITH c AS (SELECT package, name, min(created_at) AS born, max(deleted_at) AS gone FROM class_def GROUP BY ALL),
 r AS (SELECT 'class_ref' AS source_table, ref_id, package, class_name AS name, ref_at FROM class_ref WHERE class_name IS NOT NULL AND NOT coalesce(is_external, false)

@@ -164,7 +164,7 @@ def tables(inside: DataFrame) -> DataFrame:
 
     clean = F.transform(lines, lambda r: F.transform(F.split(r, r"\|"), lambda c: N.clean_inline(F.regexp_replace(c, "<[^>]*>", ""))))
     x = x.withColumn("content", decoded("content")).withColumn("cells", clean).where(F.size("cells") > 0)
-    return x.select("doc_id", "sec_ord", "tok_ord", kind(F.get("cells", F.lit(0))).alias("kind"), F.get("cells", F.lit(0)).alias("headers"), F.slice("cells", 2, 10**6).alias("rows"))
+    return x.select("doc_id", "sec_ord", "tok_ord", kind(F.get("cells", F.lit(0))).alias("kind"), F.get("cells", F.lit(0)).alias("headers"), F.slice("cells", F.lit(2), F.size("cells")).alias("rows"))
 
 
 def kind(headers):
@@ -226,8 +226,8 @@ def model(docs: DataFrame, keep_empty: bool = False) -> tuple[Model, DataFrame]:
     said = F.coalesce(*[F.when(~N.blank(at(F.col(f"c_{c}"))), at(F.col(f"c_{c}"))) for c in ("to", "from", "mult")])
     target = F.struct(F.lit(DEFAULT_PACKAGE).alias("package"), F.coalesce(at(F.col("c_type")), F.lit("")).alias("class_name"), F.lit(None).cast("string").alias("iri"), F.lit(False).alias("is_external"))
     association = s.select("doc_id", "pkg_ord", "cls_ord", F.col("ord").alias("assoc_ord"), at(F.col("c_name")).alias("name"), target.alias("target"), M.parse_or_optional(said).alias("multiplicity"), F.lit(None).cast("string").alias("inverse_name"), H.inherited_from(at(F.col("c_desc"))).alias("inherited_from"))
-    own = rows.where("kind = 'inheritance'").select("doc_id", "pkg_ord", "cls_ord", "ord", F.get(F.filter(F.transform("row", N.strip), lambda c: c.rlike(r"^[A-Z][A-Za-z0-9]+\z")), F.lit(0)).alias("class_name")).where("class_name is not null")
-    heirs = attribute.select("doc_id", "pkg_ord", "cls_ord", F.col("attr_ord").alias("ord"), "inherited_from").unionByName(association.select("doc_id", "pkg_ord", "cls_ord", (F.col("assoc_ord") + 10**6).alias("ord"), "inherited_from"))
+    own = rows.where("kind = 'inheritance'").select("doc_id", "pkg_ord", "cls_ord", F.struct(F.lit(0).alias("phase"), "ord").alias("ord"), F.get(F.filter(F.transform("row", N.strip), lambda c: c.rlike(r"^[A-Z][A-Za-z0-9]+\z")), F.lit(0)).alias("class_name")).where("class_name is not null")
+    heirs = attribute.select("doc_id", "pkg_ord", "cls_ord", F.struct(F.lit(1).alias("phase"), F.col("attr_ord").alias("ord")).alias("ord"), "inherited_from").unionByName(association.select("doc_id", "pkg_ord", "cls_ord", F.struct(F.lit(2).alias("phase"), F.col("assoc_ord").alias("ord")).alias("ord"), "inherited_from"))
     heirs = heirs.where("inherited_from is not null").groupBy("doc_id", "pkg_ord", "cls_ord", F.col("inherited_from").alias("class_name")).agg(F.min("ord").alias("ord")).join(own.select("doc_id", "pkg_ord", "cls_ord").distinct(), ["doc_id", "pkg_ord", "cls_ord"], "left_anti")
     up = own.unionByName(heirs.select(*own.columns)).withColumn("par_ord", (F.row_number().over(Window.partitionBy("doc_id", "pkg_ord", "cls_ord").orderBy("ord")) - 1).cast("int"))
     parent = up.select("doc_id", "pkg_ord", "cls_ord", "par_ord", F.lit(DEFAULT_PACKAGE).alias("package"), "class_name", F.lit(None).cast("string").alias("iri"), F.lit(False).alias("is_external"))

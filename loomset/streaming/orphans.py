@@ -12,13 +12,14 @@ from ..operators.orphans import KEY, REFERENCE, Orphans
 
 
 def follow(changes: DataFrame, checkpoint: str, state: Orphans | None = None, report: Callable[[DataFrame, int], None] | None = None, **trigger: object) -> tuple[Orphans, StreamingQuery]:
-    """Feeds a stream of changes (kind ``reference`` or ``parent``, with the columns of both) to the state, batch by batch. A batch that comes
-    again after a failure changes nothing, as references and parents count once. ``report`` gets the counts after each batch."""
-    own = state or Orphans()
+    """Feeds a stream of changes (kind ``reference`` or ``parent``, with the columns of both) to the state, batch by batch. The state lies beside the
+    checkpoint and is taken up again with it; a batch that comes again after a failure changes nothing. ``report`` gets the counts after
+    each batch."""
+    own = state or Orphans(f"{checkpoint.rstrip('/')}/loomset-orphans")
 
     def step(batch: DataFrame, number: int) -> None:
         refs = batch.where("kind = 'reference'").select(*REFERENCE)
-        own.advance(refs, batch.where("kind = 'parent'").select(*KEY, "created_at", "deleted_at"))
+        own.advance(refs, batch.where("kind = 'parent'").select(*KEY, "created_at", "deleted_at"), number)
         if report:
             report(own.snapshot(), number)
 

@@ -340,9 +340,15 @@ def test_stream_of_changes(spark, tmp_path):
     c.where("kind = 'reference'").coalesce(1).write.parquet(str(tmp_path / "in"))
     c.where("kind = 'parent'").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     seen = []
-    state, q = follow(spark.readStream.schema(c.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), str(tmp_path / "cp"), Orphans(), lambda s, n: seen.append(s.agg(F.sum("orphans")).first()[0]))
+    state, q = follow(spark.readStream.schema(c.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), str(tmp_path / "cp"), None, lambda s, n: seen.append(s.agg(F.sum("orphans")).first()[0]))
     q.awaitTermination(60)
     assert {x.ref_id for x in state.orphans().collect()} == {0, 2, 3} and len(seen) == 2
+    c.where("kind = 'parent'").withColumn("name", F.lit("N2")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    again, q = follow(spark.readStream.schema(c.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), str(tmp_path / "cp"), None, lambda s, n: seen.append(s.agg(F.sum("orphans")).first()[0]))
+    q.awaitTermination(60)
+    assert {x.ref_id for x in again.orphans().collect()} == {0, 3} and seen[-1] == 2  # taken up after a restart
+    again.advance(r, p, number=1)
+    assert {x.ref_id for x in again.orphans().collect()} == {0, 3} and len(again.steps) == 3  # a step that is done changes nothing
 
 
 def test_build_with_review(tmp_path, spark):

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 
 from loomset.operators.flatten import Flattened
 from loomset.operators.graph import connected_components, levels, transitive_closure
-from loomset.operators.hierarchy import class_links, descendants, hierarchy
+from loomset.operators.hierarchy import class_links, cycles, descendants, hierarchy
 from loomset.operators.orphans import Orphans, replayed
 
 LINK = "id bigint, parent bigint, path string"
@@ -45,6 +45,13 @@ def test_hierarchy_of_any_links(spark, links, most):
     assert solved(spark, list(links.items()), max_component=most) == truth(parent)
 
 
+def test_cycles(spark):
+    rows = [(1, None), (5, 6), (6, 7), (7, 5), (8, 7), (9, 8), (10, 10), (None, 1), (5, 6)]
+    got = {tuple(r) for r in cycles(spark.createDataFrame([(a, b, "") for a, b in rows], LINK)).collect()}
+    assert got == {(5, 5, 6, False), (5, 6, 7, False), (5, 7, 5, True), (10, 10, 10, True)}
+    assert cycles(spark.createDataFrame([(1, 2, "")], LINK)).count() == 0 == cycles(spark.createDataFrame([], LINK)).count()
+
+
 def test_hierarchy_of_nothing_and_a_hub(spark):
     assert solved(spark, []) == {}
     got = solved(spark, [(0, None)] + [(k, 0) for k in range(1, 400)], max_component=50)
@@ -111,6 +118,15 @@ def test_steps_do_not_matter(spark, steps):
     assert got == want
 
 
+def test_state_is_compacted(spark):
+    s = Orphans(compact=2)
+    for k in range(6):
+        s.advance(*frames(spark, [("t", k, "P", f"N{k}", T[3], T[3], "")], [("P", f"N{k - 1}", T[0], None, T[0], 0)]))
+        assert {x.ref_id for x in s.orphans().collect()} == {k}
+    assert len(s.steps) <= 2 and s.refs.count() == 6 and s.index.count() == 6
+    assert {x.ref_id for x in Orphans(s.path).advance(*frames(spark, [], [("P", "N1", T[0], T[1], T[0], 0)])).orphans().collect()} == {1, 5}
+
+
 def test_orphans_of_empty_tables(spark):
     assert replayed(*frames(spark, [], [])).orphans().count() == 0
 
