@@ -175,8 +175,9 @@ def _searched(distinct: DataFrame, entries: DataFrame, every: bool) -> DataFrame
                 found.append([dict(zip(("slips", "reading", "canon_id"), c)) for c in own])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, kind)], names=["list_name", "value", "found"])
 
-    n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the work is in the values, not in their bytes: not to be coalesced
-    return distinct.repartition(n, "list_name", "value").mapInArrow(scan, f"list_name string, value string, found {_CANDIDATE}")
+    # the work is in the values, not in their bytes: a shuffle that is not coalesced, nor left out as a repetition of that of ``distinct``
+    n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return distinct.repartition(n, F.xxhash64("list_name", "value")).mapInArrow(scan, f"list_name string, value string, found {_CANDIDATE}")
 
 
 def found(values: DataFrame, entries: DataFrame, every: bool = True) -> DataFrame:
