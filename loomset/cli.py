@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import argparse
+import os
 
+from .frames import written
 from .plans import emit
 from .plans.package import Packages
 from .plans.pipeline import build
 from .session import local_session
 from .sinks import write_files
 from .sources import markdown
-from .sources.models import ir_documents
+from .sources.models import ir_documents, known_classes
+from .sources.providers import from_settings
 
 
 def main(args: list[str] | None = None) -> int:
@@ -24,6 +27,10 @@ def main(args: list[str] | None = None) -> int:
         if name != "package":
             s.add_argument("-f", "--form", action="append", choices=sorted(emit.ADAPTERS))
     sub.choices["package"].add_argument("--package-id")
+    sub.choices["build"].add_argument("--review", action="store_true", help="ask the reviewer that the environment names about uncertain entries")
+    sub.choices["build"].add_argument("--cache", help="folder of the response log")
+    sub.choices["build"].add_argument("--known", help="list of class names that corrections may give")
+    sub.choices["build"].add_argument("--listed", type=int, default=200, help="most issues that are printed")
     a = p.parse_args(args)
     spark = local_session()
     if a.do == "package":
@@ -33,14 +40,19 @@ def main(args: list[str] | None = None) -> int:
         print(f"{n} files")
         return 0 if n else 1
     if a.do == "build":
-        built = build(spark, a.input, a.output, a.form)
+        provider = from_settings(os.environ) if a.review else None
+        if a.review and provider is None:
+            print("no reviewer is set: entries stay uncertain")
+        built = build(spark, a.input, a.output, a.form, provider, known_classes(spark, a.known) if a.known else None, a.cache)
         print(*(f"{form}: {n} files" for form, n in sorted(built.stats.items())), sep="\n")
-        issues = built.issues.collect()
+        issues = built.issues
     else:
         m = markdown.resolved(markdown.model(markdown.documents(spark, a.input))[0])
-        issues = emit.verified(emit.emitted(m, a.form)).collect()
-    print(*(f"{i.path}: {i.issue}" for i in issues), sep="\n")
-    return int(bool(issues))
+        issues = emit.verified(emit.emitted(m, a.form))
+    issues = written(issues)
+    n, listed = issues.count(), getattr(a, "listed", 200)
+    print(*(f"{i.path}: {i.issue}" for i in issues.limit(listed).collect()), *[f"and {n - listed} more"] * (n > listed), sep="\n")
+    return int(n > 0)
 
 
 if __name__ == "__main__":

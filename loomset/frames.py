@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +45,20 @@ def written(df: DataFrame, *parts: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def ranked(df: DataFrame, within: list[str], order: list[str], name: str) -> DataFrame:
+    """``df`` with the 0-based rank ``name`` of each row in its group of ``within``, by ``order``. No group meets in one task: rows are ranked within
+    ranges of the order, and what the ranges before hold is added."""
+    cut_ = written(df.repartitionByRange(*within, *order).withColumn("_range", F.spark_partition_id()))
+    own = Window.partitionBy("_range", *within).orderBy(*order)
+    x = cut_.withColumn("_at", F.row_number().over(own) - 1)
+    size = cut_.groupBy("_range", *within).agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*within).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    size = size.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumnsRenamed({c: f"_k{i}" for i, c in enumerate(within)})
+    same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(within)]
+    x = x.join(size.withColumnRenamed("_range", "_r"), reduce(Column.__and__, same, F.col("_range") == F.col("_r")))
+    return x.select(*df.columns, (F.col("_before") + F.col("_at")).alias(name))
+
+
 def hadoop(spark: SparkSession, path: str):
     """The file system of ``path`` and the path as it knows it."""
     context = spark.sparkContext
@@ -56,10 +73,18 @@ def folder(spark: SparkSession) -> str:
 
 
 _written: list[str] = []
+_forget: list[Callable[[], None]] = []
+
+
+def on_clear(*forget: Callable[[], None]) -> None:
+    """Has ``clear`` call ``forget`` too, where something is kept that reads the tables it deletes."""
+    _forget.extend(forget)
 
 
 def clear(spark: SparkSession) -> int:
     """Deletes the tables that ``written`` has left in the shared folder, once nothing reads them any more; gives their number."""
+    for forget in _forget:
+        forget()
     n = len(_written)
     while _written:
         fs, path = hadoop(spark, _written.pop())

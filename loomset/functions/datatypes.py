@@ -21,6 +21,8 @@ JSON_TYPE = {
     "xsd:string": "string", "xsd:integer": "integer", "xsd:int": "integer", "xsd:long": "integer", "xsd:float": "number", "xsd:double": "number",
     "xsd:decimal": "number", "xsd:boolean": "boolean", "xsd:date": "string", "xsd:dateTime": "string", "xsd:time": "string", "xsd:duration": "string", "xsd:anyURI": "string",
 }
+JSON_FORMAT = {"xsd:date": "date", "xsd:time": "time", "xsd:dateTime": "date-time", "xsd:duration": "duration", "xsd:anyURI": "uri"}
+JSON_ENCODING = {"xsd:base64Binary": "base64"}
 PYTHON_TYPE = {
     "xsd:string": "str", "xsd:integer": "int", "xsd:int": "int", "xsd:long": "int", "xsd:float": "float", "xsd:double": "float", "xsd:decimal": "float",
     "xsd:boolean": "bool", "xsd:date": "str", "xsd:dateTime": "str", "xsd:time": "str", "xsd:duration": "str", "xsd:anyURI": "str",
@@ -59,6 +61,12 @@ def json_type(c: Column) -> Column:
     return F.coalesce(_lookup(JSON_TYPE, normalize_xsd(c)), F.lit("string"))
 
 
+def json_kind(c: Column) -> list[Column]:
+    """The keywords of a JSON Schema that say what a value is: ``type``, and ``format`` or ``contentEncoding`` where it has one."""
+    s = normalize_xsd(c)
+    return [json_type(c).alias("type"), _lookup(JSON_FORMAT, s).alias("format"), _lookup(JSON_ENCODING, s).alias("contentEncoding")]
+
+
 def python_type(c: Column) -> Column:
     return F.coalesce(_lookup(PYTHON_TYPE, normalize_xsd(c)), F.lit("str"))
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..frames import written
 from ..functions.names import blank, local_name
+from . import review
 from .triples import OWL, RDF, SH
 
 FORMATS = ["owl", "shacl", "json-schema", "jsonld-context", "python-types"]
@@ -82,14 +84,73 @@ def triples_members(triples: DataFrame, namespace: str) -> DataFrame:
 LEAST_CONFIDENCE = 0.5
 
 
+_MISSING = "map<string,array<string>>"
+
+
 def semantic_findings(answers: DataFrame) -> DataFrame:
-    """(class_iri, consistent, confidence, notes, outcome) of review answers (class_iri, response): outcome is ok, json_invalid (no object),
-    invalid_format (without ``class_iri`` or ``consistent``) or low_confidence."""
+    """(class_iri, consistent, missing_attrs, missing_assocs, multiplicity_mismatch, notes, confidence, outcome) of review answers (class_iri, response):
+    outcome is ok, json_invalid (no object), invalid_format (without ``missing_attrs`` or ``missing_assocs``) or low_confidence. What is missing is
+    listed by form; an answer may name the class otherwise."""
     v = F.try_parse_json("response")
-    has = lambda k: F.coalesce(F.map_contains_key(F.try_variant_get(v, "$", "map<string,variant>"), F.lit(k)), F.lit(False))
+    fields = F.try_variant_get(v, "$", "map<string,variant>")
+    has = lambda k: F.coalesce(F.map_contains_key(fields, F.lit(k)), F.lit(False))
     sure = F.coalesce(F.try_variant_get(v, "$.confidence", "double"), F.lit(0.0))
-    outcome = F.when(F.try_variant_get(v, "$", "map<string,variant>").isNull(), "json_invalid").when(~(has("class_iri") & has("consistent")), "invalid_format").when(sure < LEAST_CONFIDENCE, "low_confidence").otherwise("ok")
-    return answers.select("class_iri", F.try_variant_get(v, "$.consistent", "boolean").alias("consistent"), sure.alias("confidence"), F.try_variant_get(v, "$.notes", "string").alias("notes"), outcome.alias("outcome"))
+    outcome = F.when(fields.isNull(), "json_invalid").when(~(has("missing_attrs") & has("missing_assocs")), "invalid_format").when(sure < LEAST_CONFIDENCE, "low_confidence").otherwise("ok")
+    return answers.select(
+        F.coalesce(F.try_variant_get(v, "$.class_iri", "string"), "class_iri").alias("class_iri"), F.try_variant_get(v, "$.consistent", "boolean").alias("consistent"),
+        F.try_variant_get(v, "$.missing_attrs", _MISSING).alias("missing_attrs"), F.try_variant_get(v, "$.missing_assocs", _MISSING).alias("missing_assocs"), F.try_variant_get(v, "$.multiplicity_mismatch", "array<string>").alias("multiplicity_mismatch"),
+        F.try_variant_get(v, "$.notes", "string").alias("notes"), sure.alias("confidence"), outcome.alias("outcome"),
+    )
+
+
+SEMANTIC = """Compare what each output form holds of this class with the model, which is the truth.
+Answer with one JSON object and nothing else:
+{"class_iri": "...", "consistent": true, "missing_attrs": {"form": ["attribute"]}, "missing_assocs": {"form": ["association"]}, "multiplicity_mismatch": ["form:attribute m1 vs m2"], "notes": "...", "confidence": 0.0}
+missing_attrs and missing_assocs list what the model has and the form lacks; consistent is true if all forms agree with the model; confidence is from 0 to 1."""
+
+
+def semantic_prompts(samples: DataFrame, model_members: DataFrame, form_members: DataFrame, forms: list[str] = FORMATS) -> DataFrame:
+    """(doc_id, class_name, class_iri, case_id, prompt) of sampled classes (doc_id, class_name, class_iri) of the model: the members that the model
+    has, (doc_id, class_name, kind, name), and those that each form has, (doc_id, form, class_name, kind, name, value). A form without any
+    member of a class says so."""
+    names = lambda x, kind: F.coalesce(F.nullif(F.array_join(F.array_sort(F.array_distinct(F.filter(x, lambda m: m["kind"] == kind)["t"])), ", "), F.lit("")), F.lit("none"))
+    own = model_members.groupBy("doc_id", "class_name").agg(F.collect_list(F.struct("kind", F.col("name").alias("t"))).alias("m"))
+    target = F.when(F.col("kind") == "association", F.concat_ws("->", "name", "value")).otherwise(F.col("name"))
+    per = form_members.groupBy("doc_id", "class_name", "form").agg(F.collect_list(F.struct("kind", target.alias("t"))).alias("m"))
+    line = F.concat(F.col("form"), F.lit(": attributes "), names("m", "attribute"), F.lit("; associations "), names("m", "association"))
+    per = per.select("doc_id", "class_name", F.struct("form", line.alias("line")).alias("l")).groupBy("doc_id", "class_name").agg(F.map_from_entries(F.collect_list("l")).alias("lines"))
+    x = samples.join(own, ["doc_id", "class_name"], "left").join(per, ["doc_id", "class_name"], "left")
+    said = [F.coalesce(F.try_element_at("lines", F.lit(f)), F.lit(f"{f}: nothing")) for f in forms]
+    model = F.concat(F.lit("Model: attributes "), F.coalesce(names("m", "attribute"), F.lit("none")), F.lit("; associations "), F.coalesce(names("m", "association"), F.lit("none")))
+    text = F.concat_ws("\n", F.concat(F.lit("Class: "), "class_name"), model, *said, F.lit(SEMANTIC))
+    return x.select("doc_id", "class_name", "class_iri", F.concat(F.lit("semantic:"), "class_iri").alias("case_id"), text.alias("prompt"))
+
+
+def semantic_review(prompts: DataFrame, cache: DataFrame, provider: review.Provider, tries: int = 1) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(findings, the responses new to the cache, counts by outcome) of ``semantic_prompts``. Cached classes aren't asked again; a call that fails
+    is counted as provider_exception and has no finding. Each class iri is asked once."""
+    hit, miss = review.split_by_cache(prompts.dropDuplicates(["case_id"]), cache)
+    got = written(review.ask(miss.select("case_id", "prompt"), provider, tries=tries))
+    iri = F.expr("substring(case_id, 10)").alias("class_iri")
+    answers = hit.select(iri, "response", F.lit("hit").alias("cache")).unionByName(got.where("response is not null").select(iri, "response", F.lit("miss").alias("cache")))
+    found = semantic_findings(answers)
+    counts = found.groupBy("outcome").agg(F.count("*").alias("n")).unionByName(got.where("response is null").groupBy(F.lit("provider_exception").alias("outcome")).agg(F.count("*").alias("n")))
+    return found, got.where("response is not null").select("case_id", "response"), counts
+
+
+def semantic_section(findings: DataFrame, listed: int = 200) -> str:
+    """The report's section of the semantic review: how many classes agree, and the first ``listed`` missing attributes, associations and
+    differing multiplicities. Only accepted findings count."""
+    ok = findings.where("outcome = 'ok'")
+    odd = (F.size(F.coalesce("missing_attrs", F.map_from_arrays(F.array(), F.array()).cast(_MISSING))) > 0) | (F.size(F.coalesce("missing_assocs", F.map_from_arrays(F.array(), F.array()).cast(_MISSING))) > 0) | (F.size(F.coalesce("multiplicity_mismatch", F.array().cast("array<string>"))) > 0)
+    total, differ = ok.agg(F.count("*"), F.count_if(odd)).first()
+    out = ["## Semantic review", "", f"{total - differ} of {total} reviewed classes are consistent ({100 * (total - differ) / total if total else 0:.1f} %)."]
+    for title, c in (("Missing attributes", "missing_attrs"), ("Missing associations", "missing_assocs")):
+        rows = ok.select("class_iri", "notes", F.explode(c).alias("form", "names")).select("class_iri", "form", F.explode("names").alias("name"), "notes").orderBy("class_iri", "form", "name").limit(listed).collect()
+        out += ["", f"### {title}", "", *([f"- {r.class_iri.split('#')[-1]} lacks {r.name} in {r.form}: {r.notes or ''}" for r in rows] or ["none"])]
+    rows = ok.select("class_iri", "notes", F.explode("multiplicity_mismatch").alias("what")).orderBy("class_iri", "what").limit(listed).collect()
+    out += ["", "### Differing multiplicities", "", *([f"- {r.class_iri.split('#')[-1]}: {r.what}: {r.notes or ''}" for r in rows] or ["none"])]
+    return "\n".join(out) + "\n"
 
 
 def shape_members(triples: DataFrame) -> DataFrame:

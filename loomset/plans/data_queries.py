@@ -72,12 +72,13 @@ def cache_latest(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.last_by_key(e, ["user_id", "event_type"], "ts", "event_id").select("user_id", "event_type", "event_id", "value")
 
 
-_ENTRIES = "(SELECT DISTINCT case_id, package, raw_text, uncertainty_reason, context_snippet FROM ocr_noise_samples)"
+_ENTRIES = "(SELECT DISTINCT case_id, source_table, package, raw_text, rule_attempt, uncertainty_reason, context_snippet FROM ocr_noise_samples)"
 _CACHE = "(SELECT case_id, max(created_at) AS created_at, last(cleaned.value ORDER BY created_at, cleaned.value) AS response FROM ocr_noise_samples WHERE cleaned.value IS NOT NULL GROUP BY 1)"
 
 
 def _entries(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "ocr_noise_samples").select("case_id", "package", "raw_text", "uncertainty_reason", "context_snippet").distinct()
+    x = table(spark, sf, "ocr_noise_samples").select("case_id", "source_table", "package", "raw_text", F.array_sort(F.map_entries("rule_attempt")).alias("r"), "uncertainty_reason", "context_snippet")
+    return x.distinct().withColumn("r", F.map_from_entries("r")).withColumnRenamed("r", "rule_attempt")
 
 
 def _cache(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,12 +98,14 @@ def batching(spark: SparkSession, sf: str) -> DataFrame:
     return review.batches(_entries(spark, sf), 14, ["package"]).select("package", "case_id", "batch")
 
 
-_ASK = "'Package: ' || coalesce(package, '') || chr(10) || 'Raw text: ' || coalesce(raw_text, '') || chr(10) || 'Reason: ' || coalesce(uncertainty_reason, '') || chr(10) || 'Context: ' || left(coalesce(context_snippet, ''), 200)"
+_ATTEMPT = "list_aggregate(list_transform(list_sort(map_entries(rule_attempt)), lambda e: e.key || '=' || coalesce(e.value, '')), 'string_agg', '; ')"
+_ASK = f"'Package: ' || coalesce(package, '') || chr(10) || 'Table: ' || coalesce(source_table::VARCHAR, '') || chr(10) || 'Raw text: ' || coalesce(raw_text, '') || chr(10) || 'Reason: ' || coalesce(uncertainty_reason, '') || chr(10) || 'Context: ' || left(coalesce(context_snippet, ''), 200) || chr(10) || 'First attempt: ' || coalesce({_ATTEMPT}, '')"
+_QUOTED = lambda s: "'" + s.replace("'", "''") + "'"
 
 
 @query(
     f"""WITH b AS (SELECT *, ((row_number() OVER (PARTITION BY package ORDER BY case_id) - 1) // 14)::INT AS batch, {_ASK} AS q FROM {_ENTRIES})
-    SELECT package, batch, count(*)::INT AS cases, string_agg(case_id, '|' ORDER BY case_id) AS batch_key, string_agg('case ' || case_id || chr(10) || q, chr(10) || chr(10) ORDER BY case_id) AS prompt FROM b GROUP BY 1, 2"""
+    SELECT package, batch, count(*)::INT AS cases, string_agg(case_id, '|' ORDER BY case_id) AS batch_key, string_agg('case_id: ' || case_id || chr(10) || q, chr(10) || chr(10) ORDER BY case_id) || chr(10) || chr(10) || {_QUOTED(review.MANY)} AS prompt FROM b GROUP BY 1, 2"""
 )
 def batch_prompts(spark: SparkSession, sf: str) -> DataFrame:
     return review.batch_prompts(review.batches(_entries(spark, sf), 14, ["package"]), ["package", "batch"])

@@ -12,6 +12,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import frames
 from ..functions import datatypes as D
 from ..functions import names as N
 from ..operators import graph, resolve, triples
@@ -66,6 +67,9 @@ def _quoted(c: Column) -> Column:
     return F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
 
 
+frames.on_clear(merged.cache_clear, tidy.cache_clear)  # what they hold is read from tables that clear deletes
+
+
 def _object(pairs: Column) -> Column:
     """A JSON object of an array of texts ``"key":value``."""
     return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
@@ -77,7 +81,7 @@ def _pair(key: Column, value: Column) -> Column:
 
 @_adapter("owl")
 def owl(m: Model) -> DataFrame:
-    """One file for each package with a named class, Core first, and one with all; packages are merged, classes are not deduplicated. Each file
+    """One file for each package with a named class (in the order of ``package_order``), and one with all; packages are merged, classes are not deduplicated. Each file
     lists the packages it imports."""
     own = merged(m)
     full = own.classes.where(~N.blank(F.col("name"))).select("doc_id", "pkg_ord").distinct()
@@ -123,7 +127,7 @@ def jsonld_context(m: Model) -> DataFrame:
 def schema_fields(m: Model) -> DataFrame:
     """(…class key, slug, value, required) of the fields of each class: attributes with their JSON type, associations with a capital target as
     references; of one slug the last counts, in the place of the first."""
-    a = m.attribute.where(~N.is_separator(F.col("name"))).select(*CLASS_KEY, F.lit(0).alias("phase"), F.col("attr_ord").alias("ord"), N.attribute_slug(F.col("name")).alias("slug"), F.to_json(F.struct(D.json_type(F.col("data_type")).alias("type"), F.when(F.col("description") != "", F.col("description")).alias("description"))).alias("value"), F.coalesce("required", F.lit(False)).alias("required"))
+    a = m.attribute.where(~N.is_separator(F.col("name"))).select(*CLASS_KEY, F.lit(0).alias("phase"), F.col("attr_ord").alias("ord"), N.attribute_slug(F.col("name")).alias("slug"), F.to_json(F.struct(*D.json_kind(F.col("data_type")), F.when(F.col("description") != "", F.col("description")).alias("description"))).alias("value"), F.coalesce("required", F.lit(False)).alias("required"))
     target = F.col("target.class_name")
     s = m.association.where(~N.is_separator(F.col("name")) & F.coalesce(target.rlike(r"^\p{Lu}"), F.lit(False))).select(*CLASS_KEY, F.lit(1).alias("phase"), F.col("assoc_ord").alias("ord"), N.attribute_slug(F.col("name")).alias("slug"), F.to_json(F.struct(F.concat(F.lit("#/properties/"), target).alias("$ref"))).alias("value"), F.lit(False).alias("required"))
     place = F.struct("phase", "ord")
@@ -179,6 +183,14 @@ def python_types(m: Model, required_first: bool = True) -> DataFrame:
     return files.select(*_file("python-types", F.concat("package", F.lit("_types.py")), F.col("content")))
 
 
+def package_order(m: Model) -> DataFrame:
+    """(doc_id, package, rank): the packages that are emitted, Core first, the others in the order of the model."""
+    own = merged(m)
+    full = own.classes.where(~N.blank(F.col("name"))).select("doc_id", "pkg_ord").distinct()
+    p = own.package.join(full, ["doc_id", "pkg_ord"], "left_semi").select("doc_id", "pkg_ord", F.col("name").alias("package"), (F.col("name") != "Core").cast("int").alias("later"))
+    return frames.ranked(p, ["doc_id"], ["later", "pkg_ord"], "rank").select("doc_id", "package", F.col("rank").cast("int").alias("rank"))
+
+
 def module_order(m: Model) -> DataFrame:
     """(doc_id, id, rank): packages in the order of their dependencies, each after those it names; by name where they depend on each other."""
     t = tidy(m)

@@ -13,7 +13,7 @@ from dataclasses import dataclass, fields, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..frames import written
+from ..frames import ranked, written
 from ..operators.flatten import Flattened
 
 CLASS_KEY = ["doc_id", "pkg_ord", "cls_ord"]
@@ -32,9 +32,14 @@ class Model:
         return replace(self, **tables)
 
     def corpus(self) -> Model:
-        """All documents as one, number 0: packages are numbered by document and place."""
+        """All documents as one, number 0: packages are numbered by document and place. Ids that leave no room for the place, such as hashes, are
+        numbered in their order first."""
+        own = self
+        if self.package.where(F.abs("doc_id") >= 1 << 42).limit(1).count():
+            number = ranked(self.package.select("doc_id").distinct(), [], ["doc_id"], "_n")
+            own = Model(**{f.name: getattr(self, f.name).join(number, "doc_id").withColumn("doc_id", F.col("_n").cast("bigint")).drop("_n") for f in fields(self)})
         one = lambda t: t.withColumn("pkg_ord", F.col("doc_id") * 1048576 + F.col("pkg_ord")).withColumn("doc_id", F.lit(0).cast("bigint"))
-        return Model(**{f.name: one(getattr(self, f.name)) for f in fields(self)})
+        return Model(**{f.name: one(getattr(own, f.name)) for f in fields(self)})
 
     def named(self) -> DataFrame:
         """Every class with the name of its package."""

@@ -392,6 +392,21 @@ def owl_members(spark: SparkSession, sf: str) -> DataFrame:
     return consistency.triples_members(triples.owl(model(spark, sf)), triples.NS)
 
 
+_SAID = """CASE class_id % 5 WHEN 0 THEN 'no json' WHEN 1 THEN '{"consistent": true, "confidence": 0.9}' WHEN 2 THEN '{"missing_attrs": {}, "missing_assocs": {}, "confidence": 0.25, "notes": "unsure"}'
+    WHEN 3 THEN '{"consistent": true, "missing_attrs": {}, "missing_assocs": {}, "confidence": 0.75}' ELSE '{"class_iri": "' || iri || '", "consistent": false, "missing_attrs": {"owl": ["' || name || '", "b"]}, "missing_assocs": {"shacl": ["c"]}, "confidence": 0.5, "notes": "lacks"}' END"""
+
+
+@query(
+    f"""WITH a AS (SELECT DISTINCT class_id, iri, {_SAID} AS response FROM class_def WHERE iri IS NOT NULL AND name IS NOT NULL), j AS (SELECT *, TRY_CAST(response AS JSON) AS v FROM a), x AS (SELECT *, CASE WHEN v IS NULL THEN 'json_invalid' WHEN NOT json_exists(v, '$.missing_attrs') OR NOT json_exists(v, '$.missing_assocs') THEN 'invalid_format' WHEN (v ->> '$.confidence')::DOUBLE < 0.5 THEN 'low_confidence' ELSE 'ok' END AS outcome FROM j)
+    SELECT iri AS class_iri, outcome, (v ->> '$.consistent')::BOOLEAN AS consistent, coalesce((v ->> '$.confidence')::DOUBLE, 0.0) AS confidence, v ->> '$.notes' AS notes, v ->> '$.missing_attrs.owl[0]' AS lacks, (json_array_length(v, '$.missing_assocs.shacl'))::INT AS lacking_assocs FROM x"""
+)
+def semantic_findings(spark: SparkSession, sf: str) -> DataFrame:
+    """What answers about classes say: outcome, and what the forms lack."""
+    x = table(spark, sf, "class_def").where("iri is not null and name is not null").select("class_id", "iri", F.expr(_SAID).alias("response")).distinct()
+    f = consistency.semantic_findings(x.select(F.col("iri").alias("class_iri"), "response"))
+    return f.select("class_iri", "outcome", "consistent", "confidence", "notes", F.get(F.try_element_at("missing_attrs", F.lit("owl")), F.lit(0)).alias("lacks"), F.nullif(F.size(F.try_element_at("missing_assocs", F.lit("shacl"))), F.lit(-1)).alias("lacking_assocs"))
+
+
 @query("SELECT package, class_id, name FROM (SELECT *, row_number() OVER (PARTITION BY package ORDER BY md5('42:' || name), name) AS r FROM (SELECT DISTINCT package, class_id, name FROM class_def WHERE name IS NOT NULL AND trim(name) <> '')) WHERE r <= 25")
 def stratified_sample(spark: SparkSession, sf: str) -> DataFrame:
     """25 classes of each package, by hash."""

@@ -38,10 +38,11 @@ def _struct(**fields: Column) -> Column:
 
 
 class Packages:
-    """The tables and files of all packages with an id."""
+    """The tables and files of all packages with an id. ``producer`` and ``compatibility`` (what the packages work with, by name) stand in their
+    manifests."""
 
-    def __init__(self, m: Model, check: bool = True):
-        self.m = m
+    def __init__(self, m: Model, check: bool = True, producer: str = "loomset", compatibility: dict[str, str] | None = None):
+        self.m, self.producer, self.compatibility = m, producer, compatibility or {}
         p = m.package.where(~N.blank(F.col("package_id"))).withColumn("ns", F.concat(F.rtrim(F.col("iri"), F.lit("/")), F.lit("/")))
         if check and (bad := resolve.dangling_refs(m).join(p.select(*KEY, "package_id"), KEY).limit(20).collect()):
             raise ValueError("unresolved references: " + "; ".join(f"{r.package_id}: {r.kind} {r.package}::{r.class_name}" for r in bad))
@@ -169,6 +170,7 @@ class Packages:
     def checks(self) -> DataFrame:
         """(doc_id, pkg_ord, case_id, name, check ARRAY) of the conformance cases of each package."""
         p = self.package.select(*KEY)
+        # The conformance cases every package has.
         fixed = [("CTS-TP-001", "Package Metadata", ["manifest.yaml exists", "manifest.yaml schema valid"]), ("CTS-TP-004", "Artifact Generation", ["OWL file exists and parses", "SHACL file exists and parses", "JSON-LD context exists and parses", "JSON Schema exists and validates example"]), ("CTS-TP-005", "Runtime Loading", ["Package loads without error", "All classes have IRI", "All relations resolve target"])]
         parts = [p.select(*KEY, F.lit(i).alias("case_id"), F.lit(n).alias("name"), F.array(*map(F.lit, c)).alias("check")) for i, n, c in fixed]
         none = F.array().cast("array<string>")
@@ -186,7 +188,7 @@ class Packages:
         out = []
         add = lambda df, path, content: out.append(df.select(*KEY, path.alias("path"), content.alias("content")))
         d = self.dependencies().drop("package_id").join(self.package, KEY)
-        man = F.concat(F.lit('{"package":'), _struct(id=F.col("package_id"), name=F.col("name"), version=F.col("version"), source_ir=F.col("iri"), status=F.lit("draft"), generated_at=F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'"), generator=F.lit("loomset"), dependencies=F.col("dependencies")), F.lit("}"))
+        man = F.concat(F.lit('{"package":'), _struct(id=F.col("package_id"), name=F.col("name"), version=F.col("version"), producer=F.lit(self.producer), compatibility=F.create_map(*[F.lit(x) for kv in self.compatibility.items() for x in kv]) if self.compatibility else F.lit(None).cast("map<string,string>"), maturity=F.lit("reference"), source_ir=F.col("iri"), status=F.lit("draft"), generated_at=F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'"), generator=F.lit("loomset"), dependencies=F.col("dependencies")), F.lit("}"))
         add(d, F.lit("manifest.yaml"), man)
         add(d, F.lit("README.md"), F.concat(F.lit("# "), "name", F.lit("\n\nPackage `"), "package_id", F.lit("`, version "), "version", F.lit(".\n")))
         e, a, r, n = self.entities(), self.attributes(), self.relations(), self.enumerations()

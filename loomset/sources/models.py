@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.names import strip
 from ..plans.model import Model, nested
 
 REF = "STRUCT<package: STRING, class_name: STRING, iri: STRING, is_external: BOOLEAN>"
@@ -62,18 +63,45 @@ def from_code(spark: SparkSession, packages: list[PackageSource], doc_id: int =
     return nested(spark.createDataFrame([{"ir_id": doc_id, "packages": [p.row() for p in packages]}], f"ir_id BIGINT, packages {PACKAGES}"))
 
 
+def _read(spark: SparkSession, path: str, mode: str) -> DataFrame:
+    return spark.read.schema(f"schema_version STRING, packages {PACKAGES}, _unread STRING").option("multiLine", True).option("columnNameOfCorruptRecord", "_unread").json(path, mode=mode)
+
+
 def ir_documents(spark: SparkSession, path: str, strict: bool = True) -> Model:
-    """The model of IR documents in JSON, one a file; the id is a hash of the path. A file that isn't of the schema raises an error, or is left
-    out if not ``strict``."""
-    mode = "FAILFAST" if strict else "DROPMALFORMED"
-    x = spark.read.schema(f"schema_version STRING, packages {PACKAGES}").option("multiLine", True).json(path, mode=mode)
-    return nested(x.select(F.xxhash64(F.input_file_name()).alias("ir_id"), "packages"))
+    """The model of IR documents in JSON, one a file; the id is a hash of the path. A file that isn't of the schema raises an error; if not
+    ``strict``, it has no packages and ``unread_documents`` lists it."""
+    x = _read(spark, path, "FAILFAST" if strict else "PERMISSIVE")
+    return nested(x.select(F.xxhash64(F.input_file_name()).alias("ir_id"), F.when(F.col("_unread").isNull(), F.col("packages")).alias("packages")))
+
+
+def unread_documents(spark: SparkSession, path: str) -> DataFrame:
+    """(path, text) of the files under ``path`` that are not of the schema."""
+    return _read(spark, path, "PERMISSIVE").where("_unread is not null").select(F.input_file_name().alias("path"), F.col("_unread").alias("text"))
 
 
 def known_classes(spark: SparkSession, path: str) -> DataFrame:
-    """(name) of a list with one name a line, blank lines and those that begin with ``#`` left out, each name once. A missing file is an error."""
-    x = spark.read.text(path).select(F.trim("value").alias("name"))
-    return x.where("name <> '' and not startswith(name, '#')").distinct()
+    """(name) of a list with one name a line, in the order of the list, blank lines and those that begin with ``#`` left out, each name once. A missing
+    file is an error."""
+    x = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("at", "line"))
+    x = x.select("file", "at", strip(F.col("line")).alias("name")).where("name <> '' and not startswith(name, '#')")
+    return x.groupBy("name").agg(F.min(F.struct("file", "at")).alias("at")).orderBy("at").select("name")
+
+
+def ir_json(m: Model) -> DataFrame:
+    """(doc_id, content): the model as IR documents in JSON, as ``ir_documents`` reads them: packages and their lists in order."""
+    by_class = lambda t, at, *cols: t.groupBy("doc_id", "pkg_ord", "cls_ord").agg(F.transform(F.array_sort(F.collect_list(F.struct(at, F.struct(*cols).alias("v")))), lambda x: x["v"]).alias("v"))
+    key = ["doc_id", "pkg_ord", "cls_ord"]
+    parts = (("parents", by_class(m.parent, "par_ord", "package", "class_name", "iri", "is_external")), ("attributes", by_class(m.attribute, "attr_ord", "name", "data_type", "multiplicity", "description", "required", "inherited_from")), ("associations", by_class(m.association, "assoc_ord", "name", "target", "multiplicity", "inverse_name", "inherited_from")))
+    c = m.classes
+    for name, t in parts:
+        c = c.join(t.withColumnRenamed("v", name), key, "left").withColumn(name, F.coalesce(name, F.array()))
+    of = lambda t, at, body, name: t.groupBy("doc_id", "pkg_ord").agg(F.transform(F.array_sort(F.collect_list(F.struct(at, F.struct(*body).alias("v")))), lambda x: x["v"]).alias(name))
+    classes = of(c, "cls_ord", ["name", "description", "stereotype", "parents", "attributes", "associations", "source_table"], "classes")
+    enums = of(m.enumeration, "enum_ord", ["name", "values"], "enumerations")
+    p = m.package.join(classes, ["doc_id", "pkg_ord"], "left").join(enums, ["doc_id", "pkg_ord"], "left")
+    p = p.withColumn("classes", F.coalesce("classes", F.array())).withColumn("enumerations", F.coalesce("enumerations", F.array()))
+    p = p.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pkg_ord", F.struct("iri", "name", "package_id", "version", "classes", "enumerations").alias("v")))), lambda x: x["v"]).alias("packages"))
+    return p.select("doc_id", F.to_json(F.struct(F.lit("1.0").alias("schema_version"), "packages")).alias("content"))
 
 
 def union_of_known(a: DataFrame, b: DataFrame) -> DataFrame:

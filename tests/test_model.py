@@ -21,7 +21,7 @@ from loomset.operators.orphans import Orphans
 from loomset.plans import emit
 from loomset.plans.package import Packages
 from loomset.plans.pipeline import build
-from loomset.sources import markdown
+from loomset.sources import markdown, providers
 from loomset.sources.models import PackageSource, assoc, attr, cls, cref, env_settings, from_code, ir_documents, known_classes, multiplicity, provider_name, union_of_known
 from loomset.operators.graph import transitive_closure
 from loomset.sources.providers import Chat, Fixed, Local, Messages
@@ -222,7 +222,7 @@ def test_review(spark, tmp_path):
     hit, miss = review.split_by_cache(e, cache)
     assert [r.response for r in hit.collect()] == ["new"] and miss.count() == 2
     b = review.batch_prompts(review.batches(e.fillna("P", ["package"]), 2, ["package"]), ["package", "batch"]).orderBy("batch").collect()
-    assert [r.batch_key for r in b] == ["c1|c2", "c3"] and len(b[1].prompt) < 300
+    assert [r.batch_key for r in b] == ["c1|c2", "c3"] and "y" * 200 in b[1].prompt and "y" * 201 not in b[1].prompt
     fixtures = spark.createDataFrame([("semantic_Foo", '{"corrected": {"class_name": "Foot"}, "confidence": 1}'), ("Rep", "[]"), ("default", '{"corrected": {"class_name": "Nope"}}')], "stem string, body string")
     said = review.fixture_responses(e, fixtures)
     d = review.decided(said.join(e, "case_id"), spark.createDataFrame([("Foot",)], "name string"))
@@ -328,8 +328,33 @@ def test_consistency(spark):
     assert [r.class_name for r in consistency.passed_names(p).collect()] == ["X"]
     f = spark.createDataFrame([(0, '{"properties": {"X": {}}}')], "doc_id bigint, content string")
     assert consistency.text_classes(f, "json-schema").count() == 1 and consistency.text_classes(f, "json-schema", strict=True).count() == 0
-    a = spark.createDataFrame([("u", '{"class_iri": "u", "consistent": true, "confidence": 0.9}'), ("v", "x"), ("w", "{}"), ("y", '{"class_iri": "y", "consistent": true, "confidence": 0.1}')], "class_iri string, response string")
-    assert {r.class_iri: r.outcome for r in consistency.semantic_findings(a).collect()} == {"u": "ok", "v": "json_invalid", "w": "invalid_format", "y": "low_confidence"}
+    ok = '{"missing_attrs": {"owl": ["a", "b"]}, "missing_assocs": {}, "confidence": 0.9, "class_iri": "x#u", "notes": "n"}'
+    said = [("u", ok), ("v", "x"), ("w", "{}"), ("y", '{"missing_attrs": {}, "missing_assocs": {}, "confidence": 0.1}'), ("z", '{"class_iri": "z", "consistent": true, "confidence": 0.9}'), ("q", None), ("s", '{"missing_attrs": {}, "missing_assocs": {}, "confidence": 0.5}')]
+    found = consistency.semantic_findings(spark.createDataFrame(said, "class_iri string, response string"))
+    assert {r.class_iri: r.outcome for r in found.collect()} == {"x#u": "ok", "v": "json_invalid", "w": "invalid_format", "y": "low_confidence", "z": "invalid_format", "q": "json_invalid", "s": "ok"}
+    first = found.where("class_iri = 'x#u'").first()
+    assert first.missing_attrs == {"owl": ["a", "b"]} and first.missing_assocs == {} and first.notes == "n"
+    text = consistency.semantic_section(found)
+    assert "1 of 2 reviewed" in text and "- u lacks b in owl: n" in text
+
+
+def test_semantic_review(spark):
+    s = spark.createDataFrame([(0, "X", "n#X"), (0, "Y", "n#Y"), (0, "Z", "n#Z")], "doc_id bigint, class_name string, class_iri string")
+    m = spark.createDataFrame([(0, "X", "attribute", "a"), (0, "X", "attribute", "b"), (0, "X", "association", "to")], "doc_id bigint, class_name string, kind string, name string")
+    f = spark.createDataFrame([(0, "owl", "X", "attribute", "a", "string"), (0, "owl", "X", "association", "to", "Y"), (0, "shacl", "X", "attribute", "b", None)], "doc_id bigint, form string, class_name string, kind string, name string, value string")
+    p = consistency.semantic_prompts(s, m, f, ["owl", "shacl", "python-types"])
+    x = {r.class_name: r.prompt for r in p.collect()}
+    assert "Model: attributes a, b; associations to\nowl: attributes a; associations to->Y\nshacl: attributes b; associations none\npython-types: nothing" in x["X"] and "Model: attributes none" in x["Y"]
+
+    def answer(prompt):
+        if "Class: Y" in prompt:
+            raise OSError
+        return json.dumps({"missing_attrs": {"owl": ["b"]}, "missing_assocs": {}, "confidence": 1.0})
+
+    none = spark.createDataFrame([("semantic:n#Z", "no json", None)], "case_id string, response string, created_at timestamp")
+    found, new, counts = consistency.semantic_review(p, none, answer)
+    assert {r.class_iri: r.outcome for r in found.collect()} == {"n#X": "ok", "n#Z": "json_invalid"}
+    assert [r.case_id for r in new.collect()] == ["semantic:n#X"] and {r.outcome: r.n for r in counts.collect()} == {"ok": 1, "json_invalid": 1, "provider_exception": 1}
 
 
 def test_stream_of_changes(spark, tmp_path):
@@ -351,6 +376,35 @@ def test_stream_of_changes(spark, tmp_path):
     assert {x.ref_id for x in again.orphans().collect()} == {0, 3} and len(again.steps) == 3  # a step that is done changes nothing
 
 
+def test_reviewers_of_settings_and_prompts(spark):
+    seen = []
+
+    def send(url, body, headers):
+        seen.append((url, body, headers))
+        return {"choices": [{"message": {"content": "a"}}], "content": [{"text": "b"}], "response": "c"}
+
+    assert providers.from_settings({}) is None and providers.from_settings({"CI": "true", "ANTHROPIC_API_KEY": "k"}) is None
+    asked = review.Prompt("question", "as whom")
+    for env, said in (({"DEEPSEEK_API_KEY": "k"}, "a"), ({"ANTHROPIC_API_KEY": "k", "REVIEW_MODEL": "m"}, "b"), ({"USE_OLLAMA": "1", "REVIEW_URL": "http://x"}, "c")):
+        assert providers.from_settings(env, send)(asked) == said
+    assert seen[0][1]["messages"][0] == {"role": "system", "content": "as whom"} and seen[0][1]["messages"][1]["content"] == "question"
+    assert seen[1][1]["system"] == "as whom" and seen[1][1]["model"] == "m" and seen[1][2]["anthropic-version"] and seen[2][0] == "http://x" and seen[2][1]["system"] == "as whom"
+    e = spark.createDataFrame([("c1", "P", 3, "Beto", {"a": "1"}, "why", "y" * 300)], "case_id string, package string, source_table int, raw_text string, rule_attempt map<string,string>, uncertainty_reason string, context_snippet string")
+    text = review.prompts(e, review.known_lists(["B", "A"], ["cim"])).first().prompt
+    assert "Known classes: A, B" in text and "Known namespaces: cim" in text and "Table: 3" in text and "First attempt: a=1" in text and text.count("y" * 200) == 1 and "y" * 201 not in text and text.endswith(review.ONE)
+    b = review.batch_prompts(e.selectExpr("*", "0 as batch"), ["batch"]).first()
+    assert b.batch_key == "c1" and b.prompt.startswith("case_id: c1\n") and '[{"case_id": "...", "corrected"' in b.prompt
+    fails = []
+
+    def flaky(prompt):
+        fails.append(prompt.system)
+        if len(fails) < 3:
+            raise OSError
+        return "yes"
+
+    assert review.retried(flaky, 3, lambda s: None)(review.Prompt("x")) == "yes" and fails == [review.SYSTEM] * 3
+
+
 def test_build_with_review(tmp_path, spark):
     def answer(prompt):
         return json.dumps({"corrected": {"class_name": "Beta" if "Beto" in prompt else "Nope"}})
@@ -363,6 +417,12 @@ def test_build_with_review(tmp_path, spark):
     assert set(json.loads((tmp_path / "out" / "Core_schema.json").read_text())["properties"]) == {"Alpha", "Beta"}
     info = markdown.source_info(markdown.documents(spark, str(tmp_path / "d.md"))).first()
     assert info.document_path.endswith("d.md") and len(info.document_sha256) == 64
+    log = str(tmp_path / "log")
+    asked = []
+    for _ in range(2):
+        b = build(spark, str(tmp_path / "d.md"), str(tmp_path / "again"), ["shacl"], answer, known, log)
+        asked.append(spark.read.parquet(log).count())
+    assert asked == [2, 2] and {r.name for r in b.model.classes.collect()} == {"Alpha", "Beta"}  # the second run asks nothing
     assert "hint: h" in str(PipelineError(Severity.WARN, "s", "m", suggestion="h"))
     configure_logging("WARNING")
 
