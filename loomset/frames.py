@@ -42,7 +42,7 @@ def written(df: DataFrame, *parts: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/loomset-{uuid.uuid4().hex}"
     df.write.partitionBy(*parts).parquet(path)
     _written.append(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)  # an empty table with parts has no file to tell its schema
 
 
 def ranked(df: DataFrame, within: list[str], order: list[str], name: str) -> DataFrame:
