@@ -57,21 +57,27 @@ def tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
 
 @cache
 def sql(also: str = "") -> str:
-    """The embedded SQL, with the columns ``also`` handed on. Only texts that hold such characters are mapped, and those that become several are
-    replaced one by one only in texts that hold one of them."""
+    """The embedded SQL, with the columns ``also`` handed on. Characters are mapped only in texts that hold one of their block, and
+    those that become several are replaced one by one only in texts that hold one of them."""
     quote = lambda x: "'" + x.replace("'", "''") + "'"
     one, to, several = tables()
     long = "text"
     for a, b in several:
         long = f"replace({long}, {quote(a)}, {quote(b)})"
     class_ = lambda chars: quote("[" + "".join(f"\\x{{{ord(c):x}}}" for c in chars) + "]")
-    some, any_ = class_([a for a, _ in several]), class_(one)
+    step = f"SELECT id{also}, text AS form, regexp_full_match(text, '[\\x00-\\x7f]*', 's') AS plain FROM batch"
+    step = f"SELECT * REPLACE (CASE WHEN NOT plain AND regexp_matches(form, {class_([a for a, _ in several])}) THEN {long.replace('(text,', '(form,')} ELSE form END AS form) FROM ({step})"
+    # translate reads its whole table for every text: the table is cut by blocks of characters, of which a text holds few
+    parts: dict[int, list[str]] = {}
+    for c in one:
+        parts.setdefault(ord(c) >> 8, []).append(c)
+    to += "\0" * (len(one) - len(to))
+    for own in parts.values():
+        own.sort(key=lambda c: to[one.index(c)] == "\0")  # those without a body last
+        new = "".join(to[one.index(c)] for c in own).rstrip("\0")
+        step = f"SELECT * REPLACE (CASE WHEN NOT plain AND regexp_matches(form, {class_(own)}) THEN translate(form, {quote(''.join(own))}, {quote(new)}) ELSE form END AS form) FROM ({step})"
     # runs of joining marks stay in canonical order: nfc_normalize comes last
-    mapped = f"translate(CASE WHEN regexp_matches(text, {some}) THEN {long} ELSE text END, {quote(one)}, {quote(to)})"
-    return f"""
-        SELECT id{also}, CASE WHEN regexp_full_match(text, '[\\x00-\\x7f]*', 's') THEN text
-                        WHEN regexp_matches(text, {any_}) OR regexp_matches(text, {some}) THEN nfc_normalize({mapped}) ELSE nfc_normalize(text) END AS form
-        FROM batch"""
+    return f"SELECT id{also}, CASE WHEN plain THEN form ELSE nfc_normalize(form) END AS form FROM ({step})"
 
 
 def forms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

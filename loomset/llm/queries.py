@@ -117,7 +117,7 @@ c AS (SELECT rec_id, {_BARE("package_name")} AS a, {_BARE("class_name")} AS b, C
 
 
 def _form(name: str, key: str, col: str) -> str:
-    return lookalikes.sql().replace("FROM batch", f"FROM (SELECT {key} AS id, {col} AS text FROM {name} WHERE {col} IS NOT NULL)").replace("AS form", "AS form, text")
+    return lookalikes.sql(", text").replace("FROM batch", f"FROM (SELECT {key} AS id, {col} AS text FROM {name} WHERE {col} IS NOT NULL)")
 
 
 def _same_reading(name: str, key: str, col: str) -> str:

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from loomset.llm import canon
+from loomset.llm import canon, lookalikes
 from loomset.llm.canon import Trie, assigned, found, mapped, readings, slips
 from loomset.llm.copies import Collapsed, canonical_key
 from loomset.llm.lookalikes import alike, forms
@@ -134,6 +134,12 @@ def test_lookalikes(spark):
     assert forms(df.limit(0), "row", "words").count() == 0
 
 
+def test_nothing_is_mapped_twice():
+    one, to, several = lookalikes.tables()
+    made = set(to) | {c for _, b in several for c in b}
+    assert not made & set(one) and not made & {a for a, _ in several} and len(one) > 1000
+
+
 @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.text(max_size=20), max_size=10))
 def test_forms_are_stable(spark, texts):
