@@ -100,12 +100,13 @@ def forms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def alike(rows: DataFrame) -> DataFrame:
-    """(row_a, row_b), row_a < row_b, of (id, text, form) whose forms are equal and texts are not. Texts are compared once each, by form;
-    rows come in only to be listed. The rows are written once, as they are used several times."""
-    rows = written(rows.where("id is not null"))
-    several = rows.groupBy("form").agg(F.min("text").alias("lo"), F.max("text").alias("hi")).where("lo <> hi").select("form")
-    own = rows.join(several, "form").distinct()
-    texts = own.select("form", "text").distinct()
-    pairs = texts.select("form", F.col("text").alias("text_a")).join(texts.select("form", F.col("text").alias("text_b")), "form").where("text_a <> text_b").drop("form")
-    a, b = own.select(F.col("id").alias("row_a"), F.col("text").alias("text_a")), own.select(F.col("id").alias("row_b"), F.col("text").alias("text_b"))
-    return pairs.join(a, "text_a").join(b, "text_b").where("row_a < row_b").select("row_a", "row_b").distinct()
+    """(row_a, row_b), row_a < row_b, of (id, text, form) whose forms are equal and texts are not. Forms meet by 128 bits of their hash, so that no text
+    is shuffled; texts of a form are compared once each, and rows come in only to be listed."""
+    k = written(rows.where("id is not null").select(F.unhex(F.md5("form")).alias("f"), F.xxhash64("text").alias("x"), "id"))
+    several = k.groupBy("f").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).where("lo <> hi").select("f")
+    own = k.join(several, "f").distinct()
+    texts = own.select("f", "x").distinct()
+    pairs = texts.withColumnRenamed("x", "xa").join(texts.withColumnRenamed("x", "xb"), "f").where("xa < xb")
+    a, b = own.select("f", F.col("x").alias("xa"), F.col("id").alias("ia")), own.select("f", F.col("x").alias("xb"), F.col("id").alias("ib"))
+    both = pairs.join(a, ["f", "xa"]).join(b, ["f", "xb"]).where("ia <> ib")
+    return both.select(F.least("ia", "ib").alias("row_a"), F.greatest("ia", "ib").alias("row_b")).distinct()
