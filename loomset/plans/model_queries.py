@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from ..functions import datatypes as D
 from ..operators import consistency, graph, resolve, triples
 from . import emit
 from .model import Model, nested
-from .names_queries import _NORM, NOISE, STRIP, _map
+from .names_queries import _FORMAT, _JSON, _NORM, _RANGE, NOISE, STRIP
 from .registry import Registry
 
 query = Registry()
@@ -267,7 +269,7 @@ def triple_match(spark: SparkSession, sf: str) -> DataFrame:
     return x.select("doc_id", local_name(F.col("s")).alias("class_name")).distinct()
 
 
-@query()
+@query("SELECT 0::BIGINT AS doc_id, '' AS graph, '' AS s, '' AS p, '' AS o, '' AS o_kind, '' AS o_lang, '' AS o_datatype WHERE false")
 def triples_read_back(spark: SparkSession, sf: str) -> DataFrame:
     """The triples written as lines and read again: what is lost or changed, nothing if all is well."""
     t = triples.owl(model(spark, sf)).where("graph is not null")
@@ -298,7 +300,30 @@ def merged_corpus(spark: SparkSession, sf: str) -> DataFrame:
     return x.select("package", "name", "pkg_ord", F.coalesce("n_attr", F.lit(0)).alias("n_attr"))
 
 
-@query()
+# The model with packages merged and classes deduplicated, in SQL: md has the classes of merged packages, td those of each name's best; the tables
+# of members follow with their new keys.
+TIDY_SQL = (
+    MODEL_SQL
+    + f""", nm AS (SELECT doc_id, package, min(pkg_ord) AS ord FROM pk WHERE package IS NOT NULL GROUP BY ALL),
+    fz AS (SELECT a.doc_id, a.package AS a, b.package AS b FROM nm a JOIN nm b ON a.doc_id = b.doc_id AND {_FUZZY}), f2 AS (SELECT doc_id, a, b FROM fz UNION SELECT doc_id, b, a FROM fz),
+    rr AS (SELECT doc_id, package AS x, package AS y FROM nm UNION SELECT rr.doc_id, rr.x, f2.b FROM rr JOIN f2 ON f2.doc_id = rr.doc_id AND f2.a = rr.y), gr AS (SELECT doc_id, x AS package, min(y) AS c FROM rr GROUP BY ALL),
+    cg AS (SELECT doc_id, c, min(ord) AS canon, arg_max(package, length(package) * 1000000000 - ord) AS cname FROM gr JOIN nm USING (doc_id, package) GROUP BY ALL), ca AS (SELECT doc_id, package, canon, cname FROM gr JOIN cg USING (doc_id, c)),
+    mk AS (SELECT *, row_number() OVER (PARTITION BY doc_id, canon, name ORDER BY pkg_ord <> canon, pkg_ord, cls_ord) AS r FROM cl JOIN ca USING (doc_id, package)),
+    md AS (SELECT *, (row_number() OVER (PARTITION BY doc_id, canon ORDER BY pkg_ord, cls_ord) - 1)::INT AS place FROM mk WHERE pkg_ord = canon OR r = 1),
+    mq AS (SELECT *, coalesce({_COUNT("attributes")}, 0) AS n_attr, coalesce({_COUNT("associations")}, 0) AS n_assoc, coalesce({_COUNT("parents")}, 0) AS n_parent, coalesce({STRIP("n.description")}, '') <> '' AS d FROM md),
+    mr AS (SELECT *, row_number() OVER (PARTITION BY doc_id, name ORDER BY n_attr DESC, n_assoc DESC, n_parent DESC, d DESC, canon, place) AS best FROM mq), td AS (SELECT * FROM mr WHERE best = 1 OR name IS NULL),
+    ky AS (SELECT doc_id, pkg_ord, cls_ord, canon, place, cname FROM td), cl_t AS (SELECT doc_id, canon AS pkg_ord, place AS cls_ord, cname AS package, n, name FROM td),
+    pa_t AS (SELECT doc_id, canon AS pkg_ord, place AS cls_ord, cname AS own, holder, ord, class_name FROM pa JOIN ky USING (doc_id, pkg_ord, cls_ord)), atr_t AS (SELECT doc_id, canon AS pkg_ord, place AS cls_ord, cname AS own, holder, ord, n, name FROM atr JOIN ky USING (doc_id, pkg_ord, cls_ord)),
+    sc_t AS (SELECT doc_id, canon AS pkg_ord, place AS cls_ord, cname AS own, holder, ord, n, name, class_name FROM sc JOIN ky USING (doc_id, pkg_ord, cls_ord))"""
+)
+
+
+def _of_tidy(sql: str) -> str:
+    """A query on the model as delivered, put to the tidy one."""
+    return TIDY_SQL + re.sub(r"\b(FROM|JOIN) (cl|pa|atr|sc)\b", r"\1 \2_t", sql.removeprefix(MODEL_SQL))
+
+
+@query(TIDY_SQL + " SELECT doc_id, cname AS package, name, place AS cls_ord FROM td")
 def tidy_classes(spark: SparkSession, sf: str) -> DataFrame:
     """The classes left when packages are merged and classes deduplicated."""
     return _tidy(spark, sf).named().select("doc_id", "package", "name", "cls_ord")
@@ -308,13 +333,16 @@ _NAMED_XSD = f"(SELECT *, {STRIP('n.data_type')} AS s, {STRIP('name')} AS t FROM
 _UPPER = "regexp_matches(class_name, '^\\p{Lu}')"
 
 
-@query(
+_CONTEXT = (
     MODEL_SQL
     + f""", x AS (SELECT doc_id, pkg_ord, cls_ord, own AS package, 0 AS top, 0 AS phase, ord, name AS term, 'cim:' || holder || '.' || name AS id, {_NORM} AS kind FROM {_NAMED_XSD} WHERE t <> '' AND NOT regexp_matches(name, '{NOISE}') AND regexp_matches(name, '[\\x00-\\x7f]')
     UNION ALL SELECT doc_id, pkg_ord, cls_ord, own, 0, 1, ord, name, 'cim:' || holder || '.' || name, '@id' FROM sc WHERE holder IS NOT NULL AND name IS NOT NULL AND {_UPPER}
     UNION ALL SELECT doc_id, pkg_ord, cls_ord, package, 1, 2, 0, name, 'cim:' || name, '@id' FROM cl WHERE name <> '' AND NOT regexp_matches(name, '{NOISE}')),
     r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, pkg_ord, term ORDER BY top DESC, cls_ord DESC, phase DESC, ord DESC) AS r FROM x) SELECT doc_id, pkg_ord, package, term, id, kind FROM r WHERE r = 1"""
 )
+
+
+@query(_CONTEXT)
 def context_terms(spark: SparkSession, sf: str) -> DataFrame:
     """Terms of each package's context as delivered: classes above members, later members above earlier ones."""
     return emit.context_terms(model(spark, sf)).select("doc_id", "pkg_ord", "package", "term", "id", "kind")
@@ -324,43 +352,74 @@ _SLUG = f"CASE WHEN coalesce(t, '') = '' OR regexp_matches(t, '{NOISE}') THEN 'o
 _RULE = "NOT coalesce(name <> '' AND (t = '' OR regexp_matches(t, '^[-:|]*-[-:|]*$')), false)"
 
 
-@query(
+_FIELDS = (
     MODEL_SQL
-    + f""", a AS (SELECT doc_id, pkg_ord, cls_ord, 0 AS phase, ord, {_SLUG} AS slug, {_NORM} AS xsd, coalesce(n.required, false) AS required, NULL::VARCHAR AS ref FROM (SELECT *, {STRIP('n.data_type')} AS s, {STRIP('name')} AS t FROM atr) WHERE {_RULE}
-    UNION ALL SELECT doc_id, pkg_ord, cls_ord, 1, ord, {_SLUG}, NULL::VARCHAR, false, '#/properties/' || class_name FROM (SELECT *, {STRIP('name')} AS t FROM sc) WHERE {_RULE} AND {_UPPER}),
+    + f""", a AS (SELECT doc_id, pkg_ord, cls_ord, 0 AS phase, ord, {_SLUG} AS slug, {_NORM} AS xsd, coalesce(n.required, false) AS required, NULL::VARCHAR AS ref, nullif(n.description, '') AS about FROM (SELECT *, {STRIP('n.data_type')} AS s, {STRIP('name')} AS t FROM atr) WHERE {_RULE}
+    UNION ALL SELECT doc_id, pkg_ord, cls_ord, 1, ord, {_SLUG}, NULL::VARCHAR, false, '#/properties/' || class_name, NULL FROM (SELECT *, {STRIP('name')} AS t FROM sc) WHERE {_RULE} AND {_UPPER}),
     r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, pkg_ord, cls_ord, slug ORDER BY phase DESC, ord DESC) AS r, bool_or(required) OVER (PARTITION BY doc_id, pkg_ord, cls_ord, slug) AS needed FROM a)
-    SELECT doc_id, pkg_ord, cls_ord, slug, CASE WHEN ref IS NULL THEN coalesce({_map(D.JSON_TYPE)}[xsd], 'string') END AS type, ref, needed AS required FROM r WHERE r = 1"""
+    SELECT doc_id, pkg_ord, cls_ord, slug, CASE WHEN ref IS NULL THEN {_JSON('xsd')} END AS type, {_FORMAT('xsd')} AS format, CASE WHEN xsd = 'xsd:base64Binary' THEN 'base64' END AS encoding, about AS description, ref, needed AS required FROM r WHERE r = 1"""
 )
+
+
+@query(_FIELDS)
 def schema_fields(spark: SparkSession, sf: str) -> DataFrame:
     """Fields of each class's schema as delivered."""
     x = emit.schema_fields(model(spark, sf))
-    return x.select("doc_id", "pkg_ord", "cls_ord", "slug", F.get_json_object("value", "$.type").alias("type"), F.get_json_object("value", "$['$ref']").alias("ref"), "required")
+    return _field_parts(x)
+
+
+def _field_parts(x: DataFrame) -> DataFrame:
+    part = lambda k: F.get_json_object("value", f"$['{k}']")
+    return x.select("doc_id", "pkg_ord", "cls_ord", "slug", part("type").alias("type"), part("format").alias("format"), part("contentEncoding").alias("encoding"), part("description").alias("description"), part("$ref").alias("ref"), "required")
 
 
-@query()
+@query(f"SELECT doc_id, package, term, id, kind FROM ({_of_tidy(_CONTEXT)})")
 def jsonld_terms(spark: SparkSession, sf: str) -> DataFrame:
     return emit.context_terms(_tidy(spark, sf)).select("doc_id", "package", "term", "id", "kind")
 
 
-@query()
+@query(_of_tidy(_FIELDS))
 def json_schema_fields(spark: SparkSession, sf: str) -> DataFrame:
-    return emit.schema_fields(_tidy(spark, sf)).select("doc_id", "pkg_ord", "cls_ord", "slug", "value", "required")
+    return _field_parts(emit.schema_fields(_tidy(spark, sf)))
 
 
-@query()
+_FIT = f"(regexp_matches({STRIP('name')}, '^[A-Za-z_][A-Za-z0-9_]*$') AND NOT regexp_matches(name, '{NOISE}'))"
+_BLANK = f"coalesce({STRIP('name')}, '') = ''"
+
+
+@query(
+    _of_tidy(_CONTEXT).rsplit(" SELECT doc_id, pkg_ord", 1)[0]
+    + f""", og AS (SELECT doc_id, cname FROM md WHERE NOT {_BLANK} GROUP BY ALL), oc AS (SELECT DISTINCT doc_id, cname, name FROM md JOIN og USING (doc_id, cname) WHERE name IS NOT NULL)
+    SELECT doc_id, 'owl' AS form, 'cim17_' || cname || '.nt' AS path, count(*) AS things FROM oc GROUP BY ALL UNION ALL SELECT doc_id, 'owl', 'cim17_full.nt', count(DISTINCT name) FROM oc GROUP BY ALL
+    UNION ALL SELECT doc_id, 'shacl', 'cim17_shapes.nt', count(DISTINCT {STRIP("name")}) FROM cl WHERE {_SAFE("name")} GROUP BY ALL
+    UNION ALL SELECT doc_id, 'jsonld-context', cname || '_context.jsonld', 4 + count(term) FROM cg LEFT JOIN (SELECT doc_id, pkg_ord AS canon, term FROM r WHERE r = 1) USING (doc_id, canon) GROUP BY doc_id, canon, cname
+    UNION ALL SELECT doc_id, 'json-schema', cname || '_schema.json', count(name) FROM cg LEFT JOIN (SELECT doc_id, canon, name FROM td) USING (doc_id, canon) GROUP BY doc_id, canon, cname
+    UNION ALL SELECT doc_id, 'python-types', cname || '_types.py', count(name) FROM cg LEFT JOIN (SELECT doc_id, canon, name FROM td WHERE {_FIT}) USING (doc_id, canon) GROUP BY doc_id, canon, cname"""
+)
 def emitted_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Every file of every form, with its size and hash."""
+    """Every file of every form, with the number of classes, terms or properties in it."""
     x = emit.emitted(model(spark, sf))
-    return x.select("doc_id", "form", "path", F.octet_length("content").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    json = lambda k: F.size(F.map_keys(F.try_variant_get(F.try_parse_json("content"), f"$['{k}']", "map<string,variant>")))
+    lines = lambda p: F.size(F.filter(F.split("content", "\n"), lambda l: l.rlike(p)))
+    kinds = {"owl": lines("22-rdf-syntax-ns#type> <[^>]*owl#Class> "), "shacl": lines("22-rdf-syntax-ns#type> <[^>]*shacl#NodeShape> "), "jsonld-context": json("@context"), "json-schema": json("properties"), "python-types": lines("^class ")}
+    things = F.coalesce(*[F.when(F.col("form") == k, c) for k, c in kinds.items()])
+    return x.select("doc_id", "form", "path", things.cast("bigint").alias("things"))
 
 
-@query()
+@query("SELECT 0::BIGINT AS doc_id, '' AS form, '' AS path, '' AS issue WHERE false")
 def verify_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Emitted files that can't be read back."""
+    """Emitted files that can't be read back: there are none."""
     return emit.verified(emit.emitted(model(spark, sf)))
 
 
-@query()
+@query(
+    TIDY_SQL
+    + """, ix AS (SELECT doc_id, name, arg_max(cname, canon * 100000 + place) AS of FROM td WHERE name IS NOT NULL GROUP BY ALL), rf AS (SELECT doc_id, own, class_name FROM pa_t WHERE holder IS NOT NULL UNION SELECT doc_id, own, class_name FROM sc_t WHERE holder IS NOT NULL),
+    e AS (SELECT DISTINCT rf.doc_id, ix.of AS a, rf.own AS b FROM rf JOIN ix ON ix.doc_id = rf.doc_id AND ix.name = rf.class_name WHERE rf.class_name <> '' AND rf.own <> ix.of),
+    ch AS (SELECT * FROM e UNION SELECT ch.doc_id, ch.a, e.b FROM ch JOIN e ON e.doc_id = ch.doc_id AND e.a = ch.b), lp AS (SELECT DISTINCT doc_id FROM ch WHERE a = b), nd AS (SELECT doc_id, cname AS id, min(canon) AS ord FROM cg GROUP BY ALL),
+    lv AS (SELECT doc_id, id, 0 AS level FROM nd WHERE doc_id NOT IN (FROM lp) UNION SELECT lv.doc_id, e.b, lv.level + 1 FROM lv JOIN e ON e.doc_id = lv.doc_id AND e.a = lv.id), l AS (SELECT doc_id, id, max(level) AS level FROM lv GROUP BY ALL)
+    SELECT doc_id, id, row_number() OVER (PARTITION BY doc_id ORDER BY level NULLS FIRST, CASE WHEN level IS NOT NULL THEN ord END, id)::INT AS rank FROM nd LEFT JOIN l USING (doc_id, id)"""
+)
 def module_order(spark: SparkSession, sf: str) -> DataFrame:
     return emit.module_order(model(spark, sf))
 
@@ -375,18 +434,41 @@ def _probes(spark: SparkSession, sf: str) -> DataFrame:
     return consistency.probed(consistency.stratified_sample(sample, "package", "class_name"), present)
 
 
-@query()
+@query(
+    TIDY_SQL
+    + """, og AS (SELECT doc_id, cname FROM md WHERE NOT """ + _BLANK + """ GROUP BY ALL), cb AS (SELECT row_number() OVER (PARTITION BY doc_id ORDER BY cname <> 'Core', canon) AS rank, doc_id, cname FROM og JOIN cg USING (doc_id, cname))
+    SELECT doc_id, cname AS package, (rank - 1)::INT AS rank FROM cb"""
+)
+def package_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Packages in the order they are emitted in: Core first."""
+    return emit.package_order(model(spark, sf))
+
+
+_PROBED = f""", sm AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY package ORDER BY md5('42:' || name), name) AS k FROM (SELECT DISTINCT doc_id, package, name FROM cl WHERE package IS NOT NULL AND NOT {_BLANK}))  WHERE k <= 25),
+    pr AS (SELECT sm.*, EXISTS (FROM cl WHERE cl.doc_id = sm.doc_id AND cl.name = sm.name) AS owl, {_SAFE("sm.name")} AS shacl, EXISTS (FROM td WHERE td.doc_id = sm.doc_id AND td.name = sm.name) AS json_schema,
+    EXISTS (FROM td WHERE td.doc_id = sm.doc_id AND td.name = sm.name AND NOT regexp_matches(td.name, '{NOISE}')) OR EXISTS (FROM atr_t a WHERE a.doc_id = sm.doc_id AND a.name = sm.name) OR EXISTS (FROM sc_t a WHERE a.doc_id = sm.doc_id AND a.name = sm.name) AS jsonld_context,
+    EXISTS (FROM td WHERE td.doc_id = sm.doc_id AND td.name = sm.name AND {_FIT.replace("name", "td.name")}) AS python_types FROM sm)"""
+_ALL = "owl AND shacl AND json_schema AND jsonld_context AND python_types"
+
+
+@query(TIDY_SQL + _PROBED + f" SELECT package, count(*) AS samples, count_if({_ALL}) AS passed, " + ", ".join(f"count_if({c}) AS {c}" for c in _ALL.split(" AND ")) + f", count_if({_ALL}) / count(*) AS pass_rate FROM pr GROUP BY 1")
 def consistency_matrix(spark: SparkSession, sf: str) -> DataFrame:
     """Sampled classes of each package that each form holds."""
     return consistency.matrix(_probes(spark, sf))
 
 
-@query()
+@query(TIDY_SQL + _PROBED + f" SELECT name AS class_name FROM pr GROUP BY 1 HAVING bool_and({_ALL})")
 def consistent_names(spark: SparkSession, sf: str) -> DataFrame:
     return consistency.passed_names(_probes(spark, sf))
 
 
-@query()
+@query(
+    MODEL_SQL
+    + f""", x AS (SELECT doc_id, own, holder || '.' || left({STRIP('name')}, 64) AS s, 'DatatypeProperty' AS kind, list_last(string_split(list_last(string_split(replace({_RANGE(_NORM)}, 'xsd:', 'x#'), '#')), '/')) AS value FROM {_NAMED_XSD} WHERE {_IDENT(STRIP('name'))} AND NOT regexp_matches(t, '{NOISE}')
+    UNION ALL SELECT doc_id, own, holder || '.' || left({STRIP('name')}, 64), 'ObjectProperty', CASE WHEN {_IDENT('class_name')} THEN class_name END FROM sc WHERE holder IS NOT NULL AND {_IDENT(STRIP('name'))}),
+    g AS (SELECT doc_id, own, s, max(kind) AS kind, max(value) AS value FROM x GROUP BY ALL)
+    SELECT DISTINCT doc_id, split_part(s, '.', 1) AS class_name, CASE kind WHEN 'DatatypeProperty' THEN 'attribute' ELSE 'association' END AS kind, s[instr(s, '.') + 1:] AS name, value FROM g"""
+)
 def owl_members(spark: SparkSession, sf: str) -> DataFrame:
     """Attributes and associations read back from OWL triples."""
     return consistency.triples_members(triples.owl(model(spark, sf)), triples.NS)

@@ -23,13 +23,14 @@ def STRIP(c: str) -> str:  # noqa: N802
 
 
 NOISE = "|".join(N.NOISE)
-_XSD = "map {" + ", ".join(f"'{k}': '{v}'" for k, v in D.BARE.items()) + "}"
-_PRE = "map {" + ", ".join(f"'{k}': '{v}'" for k, v in D.PREFIXED.items()) + "}"
-_NORM = f"CASE WHEN coalesce(s, '') = '' THEN 'xsd:string' WHEN lower(s) LIKE 'xsd:%' THEN 'xsd:' || coalesce({_PRE}[lower(s)[5:]], lower(s)[5:]) ELSE coalesce('xsd:' || {_XSD}[lower(s)], s) END"
-
-
-def _map(d: dict[str, str]) -> str:
-    return "map {" + ", ".join(f"'{k}': '{v}'" for k, v in d.items()) + "}"
+# The rules of data types, stated in SQL by themselves: the same name in lower case but for some, and what has no name of its own.
+_OWN = "CASE WHEN {0} IN ('string', 'integer', 'long', 'float', 'double', 'decimal', 'boolean', 'date', 'time', 'duration') THEN {0} WHEN {0} = 'int' THEN 'integer' WHEN {0} = 'bool' THEN 'boolean' WHEN {0} = 'datetime' THEN 'dateTime' WHEN {0} = 'datetimestamp' THEN 'dateTimeStamp' WHEN {0} IN ('uri', 'anyuri') THEN 'anyURI' WHEN {0} = 'binary' THEN 'base64Binary' END".format
+_NORM = f"CASE WHEN coalesce(s, '') = '' THEN 'xsd:string' WHEN lower(s) LIKE 'xsd:%' THEN 'xsd:' || coalesce({_OWN('lower(s)[5:]')}, lower(s)[5:]) WHEN lower(s) = 'datetimeinterval' THEN 'xsd:dateTime' ELSE coalesce('xsd:' || {_OWN('lower(s)')}, s) END"
+_RANGE = "CASE WHEN coalesce(s, '') = '' THEN 'xsd:string' WHEN regexp_matches(s, '^https?://') THEN s WHEN lower(s) IN ('string', 'float', 'double', 'integer', 'boolean', 'date', 'decimal') THEN 'xsd:' || lower(s) WHEN lower(s) = 'str' THEN 'xsd:string' WHEN lower(s) IN ('int', 'long') THEN 'xsd:integer' WHEN lower(s) = 'bool' THEN 'xsd:boolean' WHEN lower(s) = 'datetime' THEN 'xsd:dateTime' WHEN lower(s) LIKE 'xsd:%' THEN {0} ELSE 'xsd:string' END".format
+_JSON = "CASE WHEN {0} IN ('xsd:integer', 'xsd:int', 'xsd:long') THEN 'integer' WHEN {0} IN ('xsd:float', 'xsd:double', 'xsd:decimal') THEN 'number' WHEN {0} = 'xsd:boolean' THEN 'boolean' ELSE 'string' END".format
+_FORMAT = "CASE {0} WHEN 'xsd:date' THEN 'date' WHEN 'xsd:time' THEN 'time' WHEN 'xsd:dateTime' THEN 'date-time' WHEN 'xsd:duration' THEN 'duration' WHEN 'xsd:anyURI' THEN 'uri' END".format
+_PY = "CASE WHEN {0} IN ('xsd:integer', 'xsd:int', 'xsd:long') THEN 'int' WHEN {0} IN ('xsd:float', 'xsd:double', 'xsd:decimal') THEN 'float' WHEN {0} = 'xsd:boolean' THEN 'bool' ELSE 'str' END".format
+_MODEL = "CASE WHEN {0} IN ('xsd:integer', 'xsd:int') THEN 'integer' WHEN {0} IN ('xsd:float', 'xsd:double', 'xsd:decimal') THEN 'decimal' WHEN {0} = 'xsd:boolean' THEN 'boolean' WHEN {0} = 'xsd:date' THEN 'date' WHEN {0} = 'xsd:dateTime' THEN 'datetime' ELSE 'string' END".format
 
 
 @query(f"SELECT tok_id, regexp_replace(regexp_replace(content, '{WS}+', ' ', 'g'), '^ | $', '', 'g') AS inline FROM md_token")
@@ -84,13 +85,12 @@ def attribute_identifiers(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""WITH t AS (SELECT DISTINCT data_type, {STRIP("data_type")} AS s FROM data_property), x AS (SELECT *, {_NORM} AS xsd FROM t)
-    SELECT data_type, xsd, CASE WHEN coalesce(s, '') = '' THEN 'xsd:string' WHEN regexp_matches(s, '^https?://') THEN s ELSE coalesce('xsd:' || {_map(D.RANGE)}[lower(s)], CASE WHEN lower(s) LIKE 'xsd:%' THEN xsd END, 'xsd:string') END AS range,
-    coalesce({_map(D.JSON_TYPE)}[xsd], 'string') AS json_type, coalesce({_map(D.PYTHON_TYPE)}[xsd], 'str') AS python_type, coalesce({_map(D.MODEL_TYPE)}[data_type], 'string') AS model_type FROM x"""
+    SELECT data_type, xsd, {_RANGE("xsd")} AS range, {_JSON("xsd")} AS json_type, {_FORMAT("xsd")} AS json_format, CASE WHEN xsd = 'xsd:base64Binary' THEN 'base64' END AS json_encoding, {_PY("xsd")} AS python_type, {_MODEL("data_type")} AS model_type FROM x"""
 )
 def datatype_names(spark: SparkSession, sf: str) -> DataFrame:
     c = F.col("data_type")
     x = table(spark, sf, "data_property").select("data_type").distinct()
-    return x.select("data_type", D.normalize_xsd(c).alias("xsd"), D.xsd_range(c).alias("range"), D.json_type(c).alias("json_type"), D.python_type(c).alias("python_type"), D.model_type(c).alias("model_type"))
+    return x.select("data_type", D.normalize_xsd(c).alias("xsd"), D.xsd_range(c).alias("range"), *[k.alias(n) for k, n in zip(D.json_kind(c), ("json_type", "json_format", "json_encoding"))], D.python_type(c).alias("python_type"), D.model_type(c).alias("model_type"))
 
 
 @query(
