@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..frames import ranked
 from ..functions import names as N
 from ..plans.model import CLASS_KEY, Model, position
 from .graph import connected_components
@@ -16,6 +17,10 @@ LEAST_LENGTH, MOST_LONGER, LEAST_LONGER, MOST_EDITS = 5, 3, 1, 6
 # Known misreadings, and the classes known beforehand.
 CORRECTIONS = {"Meastrement": "Measurement", "Rep0rtingGroup": "ReportingGroup", "AuxiliarEuiment": "AuxiliaryEquipment", "DiaramLaout": "DiagramLayout"}
 SEED_CLASSES = ["IdentifiedObject", "PowerSystemResource", "Measurement", "ReportingGroup", "DiagramLayout", "AuxiliaryEquipment"]
+NAMESPACES = {
+    "cim": "http://iec.ch/TC57/2024/CIM-schema-cim17#", "eu": "http://iec.ch/TC57/NonStandard/UML#", "rdf": "http://www.w3.org/1999/02/22-rdf-syntax-ns#", "rdfs": "http://www.w3.org/2000/01/rdf-schema#",
+    "xsd": "http://www.w3.org/2001/XMLSchema#", "owl": "http://www.w3.org/2002/07/owl#", "sh": "http://www.w3.org/ns/shacl#", "skos": "http://www.w3.org/2004/02/skos/core#",
+}
 CANONICAL_PREFIXES = ["cim", "eu", "rdf", "rdfs", "xsd", "owl", "sh", "skos"]
 
 
@@ -46,6 +51,29 @@ def similar(left: DataFrame, right: DataFrame, most: int, within: list[str] | No
     return pairs.withColumn("distance", F.levenshtein("a", "b", most)).where("distance between 0 and k").drop("k")
 
 
+def namespace_iri(prefix: Column, aliases: dict[str, str] | None = None, strict: bool = True) -> Column:
+    """The namespace of a prefix, colons at its end left out; ``aliases`` stand for canonical prefixes. An unknown one is an error, or null if not
+    ``strict``; a null prefix has none."""
+    if bad := [c for c in (aliases or {}).values() if c not in NAMESPACES]:
+        raise ValueError(f"no canonical prefix: {bad[0]!r}")
+    table = NAMESPACES | {a: NAMESPACES[c] for a, c in (aliases or {}).items()}
+    found = F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), F.regexp_replace(prefix, ":+$", ""))
+    return F.coalesce(found, F.when(prefix.isNotNull(), F.raise_error(F.concat(F.lit("unknown namespace: "), prefix)).cast("string"))) if strict else found
+
+
+def class_registry(rows: DataFrame, *order: str) -> DataFrame:
+    """(name, package, place) of rows (name, package, …order): of a name the last package counts, and it stands where it came first. Rows without a name
+    are none."""
+    g = rows.where("name is not null").groupBy("name").agg(F.max_by(F.struct("package"), F.struct(*order)).alias("p"), F.min(F.struct(*order)).alias("first"))
+    return ranked(g, [], ["first", "name"], "place").select("name", "p.package", "place")
+
+
+def target_counts(targets: DataFrame) -> DataFrame:
+    """How many associations each outcome of ``resolved_targets`` has, one row: those without any count 0."""
+    kinds = ("noise_dropped", "kept_exact", "fuzzy_resolved", "ambiguous_kept", "unresolved_kept")
+    return targets.agg(*[F.count_if(F.col("outcome") == k).alias(k) for k in kinds])
+
+
 def nearest_prefix(found: DataFrame, most: int = 2, canonical: list[str] = CANONICAL_PREFIXES) -> DataFrame:
     """(prefix, nearest) of each distinct ``prefix`` that isn't canonical but at most ``most`` edits from one; ties go to the first."""
     choices = F.array(*[F.struct(F.levenshtein("prefix", F.lit(c)).alias("d"), F.lit(k).alias("k"), F.lit(c).alias("c")) for k, c in enumerate(canonical)])

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,3 +56,50 @@ def document_violations(rows: DataFrame, text: str, required: list[str], types:
     none = F.array().cast("array<string>")
     found = F.when(F.col("_o").isNull(), F.array(F.lit("not an object"))).otherwise(F.concat(missing if required else none, unknown, wrong if types else none))
     return x.withColumn("violation", F.explode(found)).drop("_o")
+
+
+def schema_violations(rows: DataFrame, text: str, schema: dict) -> DataFrame:
+    """(…, violation) of JSON texts against a JSON Schema: ``type`` (one or several), ``const``, ``enum``, ``required``, ``properties``,
+    ``additionalProperties: false``, ``items``, ``anyOf`` and ``$ref`` to ``#/$defs/…``, at any depth that the schema has. A violation is the keyword and
+    the place (``[]`` for items); each item that breaks a rule gives a row. A text that is no JSON breaks ``json``; null texts none. A schema that
+    refers to itself is an error."""
+    v = F.try_parse_json(F.col(text))
+    found = F.when(v.isNull(), F.array(F.lit("json $"))).otherwise(_broken(v, schema, "$", schema.get("$defs", {}), ()))
+    return rows.where(F.col(text).isNotNull()).withColumn("violation", F.explode(found))
+
+
+_TYPES = {"string": ["STRING"], "integer": ["BIGINT"], "number": ["BIGINT", "DECIMAL", "DOUBLE"], "boolean": ["BOOLEAN"], "array": ["ARRAY"], "object": ["OBJECT"], "null": ["VOID"]}
+
+
+def _broken(v: Column, schema: dict, at: str, defs: dict, seen: tuple[str, ...]) -> Column:
+    """The violations of a value, an array of texts."""
+    none = F.array().cast("array<string>")
+    if ref := schema.get("$ref"):
+        name = ref.removeprefix("#/$defs/")
+        if name in seen or name not in defs:
+            raise ValueError(f"{ref}: refers to itself" if name in seen else f"{ref}: not there")
+        return _broken(v, defs[name], at, defs, (*seen, name))
+    parts = []
+    kind = F.regexp_extract(F.schema_of_variant(v), r"^(\w+)", 1)
+    if kinds := schema.get("type"):
+        fit = [k for t in ([kinds] if isinstance(kinds, str) else kinds) for k in _TYPES[t]]
+        parts.append(F.when(kind.isin(fit), none).otherwise(F.array(F.lit(f"type {at}"))))
+    for word in ("const", "enum"):
+        if word in schema:
+            values = [F.to_json(F.parse_json(F.lit(json.dumps(x)))) for x in ([schema[word]] if word == "const" else schema[word])]
+            parts.append(F.when(F.to_json(v).isin(*values), none).otherwise(F.array(F.lit(f"{word} {at}"))))
+    fields = F.try_variant_get(v, "$", "map<string,variant>")
+    known = schema.get("properties", {})
+    for k in schema.get("required", ()):
+        parts.append(F.when(fields.isNotNull() & ~F.map_contains_key(fields, F.lit(k)), F.array(F.lit(f"required {at}.{k}"))).otherwise(none))
+    if schema.get("additionalProperties") is False:
+        parts.append(F.coalesce(F.transform(F.filter(F.map_keys(fields), lambda k: ~k.isin(list(known))), lambda k: F.concat(F.lit(f"additionalProperties {at}."), k)), none))
+    for k, inner in known.items():
+        there = F.coalesce(F.map_contains_key(fields, F.lit(k)), F.lit(False))
+        parts.append(F.when(there, _broken(F.try_element_at(fields, F.lit(k)), inner, f"{at}.{k}", defs, seen)).otherwise(none))
+    if "items" in schema:
+        parts.append(F.coalesce(F.flatten(F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: _broken(x, schema["items"], f"{at}[]", defs, seen))), none))
+    if "anyOf" in schema:
+        some = [F.size(_broken(v, s, at, defs, seen)) == 0 for s in schema["anyOf"]]
+        parts.append(F.when(reduce(Column.__or__, some), none).otherwise(F.array(F.lit(f"anyOf {at}"))))
+    return F.concat(*parts) if parts else none

@@ -51,6 +51,53 @@ def document_violations(spark: SparkSession, sf: str) -> DataFrame:
     return validate.document_violations(x, "payload", ["schema_version", "packages"], {"schema_version": "string", "packages": "array", "stats": "object"}).select("feed_id", "violation")
 
 
+_SCHEMA = {
+    "type": "object",
+    "required": ["packages"],
+    "additionalProperties": False,
+    "properties": {
+        "schema_version": {"const": "1.0"},
+        "stats": {"type": ["object", "null"]},
+        "packages": {"type": "array", "items": {"anyOf": [{"type": "null"}, {"$ref": "#/$defs/package"}]}},
+    },
+    "$defs": {"package": {"type": "object", "required": ["name", "iri"], "properties": {"name": {"type": "string"}, "version": {"type": "string"}, "classes": {"type": ["array", "null"]}}}},
+}
+
+
+@query(
+    """WITH v AS (SELECT feed_id, TRY_CAST(payload AS JSON) AS j FROM ir_feed WHERE payload IS NOT NULL), o AS (SELECT * FROM v WHERE json_type(j) = 'OBJECT'),
+    p AS (SELECT feed_id, unnest((j -> 'packages')::JSON[]) AS n FROM o WHERE json_type(j -> 'packages') = 'ARRAY'),
+    x AS (SELECT feed_id, 'json $' AS violation FROM v WHERE j IS NULL UNION ALL SELECT feed_id, 'type $' FROM v WHERE json_type(j) <> 'OBJECT' UNION ALL SELECT feed_id, 'required $.packages' FROM o WHERE NOT list_contains(json_keys(j), 'packages')
+    UNION ALL SELECT feed_id, 'additionalProperties $.' || k FROM (SELECT feed_id, unnest(json_keys(j)) AS k FROM o) WHERE k NOT IN ('schema_version', 'stats', 'packages') UNION ALL SELECT feed_id, 'const $.schema_version' FROM o WHERE (j -> 'schema_version')::VARCHAR <> '"1.0"'
+    UNION ALL SELECT feed_id, 'type $.stats' FROM o WHERE json_type(j -> 'stats') NOT IN ('OBJECT', 'NULL') UNION ALL SELECT feed_id, 'type $.packages' FROM o WHERE json_type(j -> 'packages') <> 'ARRAY'
+    UNION ALL SELECT feed_id, 'anyOf $.packages[]' FROM p WHERE json_type(n) <> 'NULL' AND NOT (json_type(n) = 'OBJECT' AND coalesce(json_type(n -> 'name'), '') = 'VARCHAR' AND json_exists(n, '$.iri') AND coalesce(json_type(n -> 'version'), 'VARCHAR') = 'VARCHAR' AND coalesce(json_type(n -> 'classes'), 'NULL') IN ('ARRAY', 'NULL')))
+    SELECT feed_id, violation, count(*) AS n FROM x GROUP BY ALL"""
+)
+def schema_violations(spark: SparkSession, sf: str) -> DataFrame:
+    """Extractions against a nested schema, with how often each rule is broken."""
+    x = validate.schema_violations(table(spark, sf, "ir_feed").select("feed_id", "payload"), "payload", _SCHEMA)
+    return x.groupBy("feed_id", "violation").agg(F.count("*").alias("n"))
+
+
+@query("SELECT name, package, row_number() OVER (ORDER BY first, name) - 1 AS place FROM (SELECT name, arg_max({'p': package}, {'l': loaded_at, 'c': class_id}).p AS package, min({'l': loaded_at, 'c': class_id}) AS first FROM class_def WHERE name IS NOT NULL GROUP BY 1)")
+def class_registry(spark: SparkSession, sf: str) -> DataFrame:
+    """Names of classes as a registry has them: the last package of each, in the order in which names came first."""
+    return resolve.class_registry(table(spark, sf, "class_def").select("name", "package", "loaded_at", "class_id"), "loaded_at", "class_id")
+
+
+_PREFIXED = "SELECT DISTINCT regexp_extract(data_type, '^([A-Za-z0-9]+):', 1) || ':' AS prefix FROM data_property WHERE regexp_matches(data_type, '^[A-Za-z0-9]+:')"
+
+
+@query(
+    f"""SELECT prefix, CASE rtrim(prefix, ':') WHEN 'cim' THEN 'http://iec.ch/TC57/2024/CIM-schema-cim17#' WHEN 'cin' THEN 'http://iec.ch/TC57/2024/CIM-schema-cim17#' WHEN 'eu' THEN 'http://iec.ch/TC57/NonStandard/UML#' WHEN 'rdf' THEN 'http://www.w3.org/1999/02/22-rdf-syntax-ns#' WHEN 'rdfs' THEN 'http://www.w3.org/2000/01/rdf-schema#'
+    WHEN 'xsd' THEN 'http://www.w3.org/2001/XMLSchema#' WHEN 'owl' THEN 'http://www.w3.org/2002/07/owl#' WHEN 'sh' THEN 'http://www.w3.org/ns/shacl#' WHEN 'skos' THEN 'http://www.w3.org/2004/02/skos/core#' END AS iri FROM ({_PREFIXED})"""
+)
+def namespace_iris(spark: SparkSession, sf: str) -> DataFrame:
+    """Prefixes in use with their namespaces; one alias is known."""
+    x = table(spark, sf, "data_property").where(F.col("data_type").rlike("^[A-Za-z0-9]+:")).select(F.concat(F.regexp_extract("data_type", "^([A-Za-z0-9]+):", 1), F.lit(":")).alias("prefix")).distinct()
+    return x.select("prefix", resolve.namespace_iri(F.col("prefix"), {"cin": "cim"}, strict=False).alias("iri"))
+
+
 _EVENTS = "SELECT CASE WHEN event_type IN ('click', 'view') THEN 'counter' WHEN value >= 0 THEN 'histogram' ELSE 'gauge' END AS kind, event_type AS name, 'user=' || user_id % 5 AS labels, abs(value) + 1 AS value, ts, event_id FROM events"
 
 

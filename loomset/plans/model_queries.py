@@ -60,7 +60,7 @@ def first_class(spark: SparkSession, sf: str) -> DataFrame:
 _WANTED = STRIP("class_name")
 
 
-@query(
+_TARGETS = (
     CORPUS_SQL
     + f""", k AS (SELECT DISTINCT doc_id, name FROM cl WHERE name IS NOT NULL), s AS (SELECT *, {_WANTED} AS w FROM sc),
     m AS (SELECT s.doc_id, s.w, count(*) AS fits, min(k.name) AS single FROM (SELECT DISTINCT doc_id, w FROM s WHERE w <> '') s JOIN k ON k.doc_id = s.doc_id AND suffix(k.name, s.w) AND k.name <> s.w GROUP BY ALL)
@@ -68,10 +68,19 @@ _WANTED = STRIP("class_name")
     CASE WHEN coalesce(s.w, '') = '' OR NOT regexp_matches(s.w, '[\\x00-\\x7f]') OR regexp_matches(s.w, '^[-:|]*-[-:|]*$|^\\d+\\.\\.|^\\p{{Nd}}+$|[：—（]') THEN NULL WHEN k.name IS NULL AND fits = 1 THEN single ELSE s.class_name END AS class_name
     FROM s LEFT JOIN k ON k.doc_id = s.doc_id AND k.name = s.w LEFT JOIN m ON m.doc_id = s.doc_id AND m.w = s.w"""
 )
+
+
+@query(_TARGETS)
 def resolved_targets(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.resolved_targets(corpus(spark, sf)).select("doc_id", "pkg_ord", "cls_ord", "assoc_ord", "outcome", "class_name")
 
 
+@query("SELECT " + ", ".join(f"count_if(outcome = '{k}') AS {k}" for k in ("noise_dropped", "kept_exact", "fuzzy_resolved", "ambiguous_kept", "unresolved_kept")) + f" FROM ({_TARGETS})")
+def target_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """How many targets are kept, repaired or dropped."""
+    return resolve.target_counts(resolve.resolved_targets(corpus(spark, sf)))
+
+
 @query("SELECT w AS short, count(*) AS fits, min(name) AS single FROM (SELECT DISTINCT name FROM class_def WHERE name IS NOT NULL) k JOIN (SELECT DISTINCT substr(class_name, 4) AS w FROM class_ref WHERE length(class_name) > 3 UNION SELECT class_name FROM class_ref WHERE class_name <> '') s ON suffix(k.name, s.w) AND k.name <> s.w GROUP BY 1")
 def suffix_repair(spark: SparkSession, sf: str) -> DataFrame:
     """The known names that end with each name referred to, as it stands and without its first three letters, which scans lose."""
@@ -489,6 +498,27 @@ def semantic_findings(spark: SparkSession, sf: str) -> DataFrame:
     return f.select("class_iri", "outcome", "consistent", "confidence", "notes", F.get(F.try_element_at("missing_attrs", F.lit("owl")), F.lit(0)).alias("lacks"), F.nullif(F.size(F.try_element_at("missing_assocs", F.lit("shacl"))), F.lit(-1)).alias("lacking_assocs"))
 
 
+@query(
+    MODEL_SQL
+    + f""", a AS (SELECT doc_id, holder AS class_name, 'attribute' AS kind, name, CASE WHEN n.data_type LIKE 'xsd:%' THEN n.data_type[5:] WHEN {_SAFE("n.data_type")} THEN n.data_type END AS value, CASE WHEN n.required THEN 1 END AS lo, n.multiplicity.max AS hi FROM atr WHERE {_SAFE('holder')} AND {_SAFE('name')}
+    UNION ALL SELECT doc_id, holder, 'association', name, class_name, n.multiplicity.min, n.multiplicity.max FROM sc WHERE {_SAFE('holder')} AND {_SAFE('name')} AND {_SAFE('class_name')}),
+    g AS (SELECT doc_id, class_name, name, max(kind) AS k, max(CASE WHEN kind = 'association' THEN value END) AS c, max(CASE WHEN kind = 'attribute' THEN value END) AS d, bool_or(kind = 'association') AS linked, max(lo::VARCHAR) AS lo, max(hi::VARCHAR) AS hi FROM a GROUP BY ALL)
+    SELECT doc_id, class_name, CASE WHEN linked THEN 'association' ELSE 'attribute' END AS kind, name, coalesce(c, d) AS value FROM g"""
+)
+def shape_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Attributes and associations read back from shapes."""
+    return consistency.shape_members(triples.shacl(model(spark, sf))).drop("multiplicity").distinct()
+
+
+_NAMED_FIELDS = TIDY_SQL + ", f AS (" + _of_tidy(_FIELDS).removeprefix(TIDY_SQL).lstrip(", \n").replace("a AS (SELECT", "WITH a AS (SELECT", 1) + ")"
+
+
+@query(_NAMED_FIELDS + " SELECT DISTINCT doc_id, t.name AS class_name, CASE WHEN f.ref IS NULL THEN 'attribute' ELSE 'association' END AS kind, f.slug AS name, coalesce(list_last(string_split(f.ref, '/')), f.type) AS value FROM f JOIN cl_t t USING (doc_id, pkg_ord, cls_ord) WHERE t.name IS NOT NULL")
+def schema_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Attributes and associations read back from JSON schemas."""
+    return consistency.schema_members(emit.json_schema(model(spark, sf)))
+
+
 @query("SELECT package, class_id, name FROM (SELECT *, row_number() OVER (PARTITION BY package ORDER BY md5('42:' || name), name) AS r FROM (SELECT DISTINCT package, class_id, name FROM class_def WHERE name IS NOT NULL AND trim(name) <> '')) WHERE r <= 25")
 def stratified_sample(spark: SparkSession, sf: str) -> DataFrame:
     """25 classes of each package, by hash."""

@@ -35,6 +35,9 @@ COLUMNS = {
 _RULE = re.compile(r"^\s{0,3}\|?\s*:?-+:?\s*(\|\s*:?-+:?\s*)*\|?\s*$")
 _FENCE = re.compile(r"^\s{0,3}(`{3,}|~{3,})")
 _HEADING = re.compile(r"^\s{0,3}(#{1,6})(?:\s+(.*?))?(?:\s+#+)?\s*$")
+_QUOTE = re.compile(r"^\s{0,3}> ?")
+_ITEM = re.compile(r"^(\s{0,3})([-*+]|\d{1,9}[.)])(?:( {1,4})(?=\S)|( +)|\t|$)")
+_BREAK = re.compile(r"^\s{0,3}([-*_])[ \t]*(?:\1[ \t]*){2,}$")
 _HTML = re.compile(r"^\s{0,3}</?(?:table|thead|tbody|tr|td|th|div|p|ul|ol|li|h[1-6]|hr|section|center)\b|^\s{0,3}<!--", re.I)
 
 
@@ -56,11 +59,51 @@ def _cells(line: str) -> list[str]:
     return [" ".join(c.replace("\\|", "|").split()) for c in re.split(r"(?<!\\)\|", s)]
 
 
+#: Quotes and items within each other; what is nested deeper stays text.
+MOST_NESTED = 100
+
+
+def _inside(lines: list[str], k: int) -> tuple[list[str], int]:
+    """The lines of the block quote or list item that begins at ``lines[k]``, without what marks them as such, and where it ends. A paragraph in it goes
+    on in lines that lack the mark."""
+    own, loose = [], False
+    if _QUOTE.match(lines[k]):
+        while k < len(lines) and lines[k].strip() and (m := _QUOTE.match(lines[k]) or (not loose and own and own[-1].strip() and not _begins(lines[k]) and re.match("", lines[k]))):
+            own.append(lines[k][m.end() :])
+            k += 1
+        return own, k
+    m = _ITEM.match(lines[k])
+    own, width, k = [lines[k][m.end() :]], m.end(2) + (len(m[3]) if m[3] else 1), k + 1
+    while k < len(lines):
+        line = lines[k]
+        if not line.strip():
+            loose = True
+            own.append("")
+        elif len(line) - len(line.lstrip(" ")) >= width:
+            own.append(line[width:])
+            loose = False
+        elif not loose and own[-1].strip() and not _begins(line):
+            own.append(line)
+        else:
+            break
+        k += 1
+    return own, k
+
+
+def _begins(line: str) -> bool:
+    """Whether a line begins a block of its own, so that no paragraph goes on in it."""
+    return bool(_FENCE.match(line) or _HEADING.match(line) or _QUOTE.match(line) or _ITEM.match(line) or _BREAK.match(line) or _HTML.match(line))
+
+
 def tokens_of(text: str, keep_empty: bool = False) -> list[tuple[str, int, str]]:
-    """(type, level, content) of one document. A table's rows are lines of cells joined with ``|``; its first cells that are empty vanish, as in
-    the layout the rest was written for, unless ``keep_empty``."""
+    """(type, level, content) of one document; what stands in block quotes and list items comes as if it stood alone. A table's rows are lines of cells
+    joined with ``|``; its first cells that are empty vanish, as in the layout the rest was written for, unless ``keep_empty``."""
+    return _tokens(text.splitlines(), keep_empty, 0)
+
+
+def _tokens(lines: list[str], keep_empty: bool, deep: int) -> list[tuple[str, int, str]]:
     out: list[tuple[str, int, str]] = []
-    lines, k, para = text.splitlines(), 0, []
+    k, para = 0, []
 
     def close() -> None:
         if para:
@@ -98,6 +141,11 @@ def tokens_of(text: str, keep_empty: bool = False) -> list[tuple[str, int, str]]
                 text_rows.append("|".join(row[first:]))
             out.append(("table", 0, "\n".join(text_rows)))
             continue
+        elif deep < MOST_NESTED and (_QUOTE.match(line) or (m := _ITEM.match(line)) and not _BREAK.match(line) and not (para and (not line[m.end() :].strip() or m[2][-1] in ".)" and m[2][:-1] != "1"))):
+            close()
+            own, k = _inside(lines, k)
+            out += _tokens(own, keep_empty, deep + 1)
+            continue
         elif not line.strip():
             close()
         elif not para and re.match(r"^(?: {4}|\t)", line):
@@ -106,6 +154,8 @@ def tokens_of(text: str, keep_empty: bool = False) -> list[tuple[str, int, str]]
             content = " ".join(" ".join(para).split())
             para.clear()
             out.append(("heading", 1 if m[1][0] == "=" else 2, content))
+        elif _BREAK.match(line):
+            close()
         else:
             para.append(line)
         k += 1

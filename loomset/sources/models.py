@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..frames import written
 from ..functions.names import strip
 from ..plans.model import Model, nested
 
@@ -76,7 +77,8 @@ def ir_documents(spark: SparkSession, path: str, strict: bool = True) -> Model:
 
 def unread_documents(spark: SparkSession, path: str) -> DataFrame:
     """(path, text) of the files under ``path`` that are not of the schema."""
-    return _read(spark, path, "PERMISSIVE").where("_unread is not null").select(F.input_file_name().alias("path"), F.col("_unread").alias("text"))
+    x = written(_read(spark, path, "PERMISSIVE").select(F.input_file_name().alias("path"), F.size("packages").alias("n"), F.col("_unread").alias("text")))
+    return x.where("text is not null").select("path", "text")
 
 
 def known_classes(spark: SparkSession, path: str) -> DataFrame:

@@ -108,3 +108,22 @@ def test_files_are_read_whole(spark, tmp_path):
     (tmp_path / "a.md").write_text(SMALL, encoding="utf-8")
     d = md.documents(spark, str(tmp_path)).collect()
     assert len(d) == 1 and d[0].text == SMALL and len(d[0].sha256) == 64
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("- a\n- b\n  c\n\n  d\n", [("paragraph", 0, "a"), ("paragraph", 0, "b c"), ("paragraph", 0, "d")]),
+        ("> q\n> r\nlazy\n\nafter", [("paragraph", 0, "q r lazy"), ("paragraph", 0, "after")]),
+        ("1. one\n   - two\n2) three", [("paragraph", 0, "one"), ("paragraph", 0, "two"), ("paragraph", 0, "three")]),
+        ("text\n2. no item\n1. item", [("paragraph", 0, "text 2. no item"), ("paragraph", 0, "item")]),
+        ("- # H\n- | a | b |\n  |---|---|\n  | 1 | 2 |\n", [("heading", 1, "H"), ("table", 0, "a|b\n1|2")]),
+        ("> > - deep\n***\nx\n* * *\n", [("paragraph", 0, "deep"), ("paragraph", 0, "x")]),
+        ("title\n---\n- \n-x", [("heading", 2, "title"), ("paragraph", 0, "-x")]),
+        ("- ```\n  c\n  ```\n", [("code", 0, "c\n")]),
+        (">" * 300 + " x", None),
+    ],
+)
+def test_quotes_and_lists(text, want):
+    got = md.tokens_of(text)
+    assert got == want if want is not None else len(got) == 1

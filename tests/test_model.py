@@ -19,10 +19,11 @@ from loomset.functions import names as N
 from loomset.operators import consistency, metrics, resolve, review, triples, validate
 from loomset.operators.orphans import Orphans
 from loomset.plans import emit
+from loomset.plans.model import Model
 from loomset.plans.package import Packages
 from loomset.plans.pipeline import build
 from loomset.sources import markdown, providers
-from loomset.sources.models import PackageSource, assoc, attr, cls, cref, env_settings, from_code, ir_documents, known_classes, multiplicity, provider_name, union_of_known
+from loomset.sources.models import PackageSource, assoc, attr, cls, cref, env_settings, from_code, ir_documents, ir_json, known_classes, multiplicity, provider_name, union_of_known, unread_documents
 from loomset.operators.graph import transitive_closure
 from loomset.sources.providers import Chat, Fixed, Local, Messages
 from loomset.sources.reference_model import concept_map, map_concept, reference_model
@@ -195,7 +196,7 @@ def test_sources(spark, tmp_path):
         multiplicity("1")
     (tmp_path / "k.txt").write_text("# list\nA\n\n B \nA\n")
     k = known_classes(spark, str(tmp_path / "k.txt"))
-    assert {r.name for r in k.collect()} == {"A", "B"}
+    assert [r.name for r in k.collect()] == ["A", "B"]
     assert [r.name for r in union_of_known(k, spark.createDataFrame([("C",)], "name string")).collect()] == ["A", "B", "C"]
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         known_classes(spark, str(tmp_path / "none.txt"))
@@ -432,3 +433,82 @@ def test_command_line(tmp_path, spark):
     assert cli(["build", "-i", str(tmp_path / "d.md"), "-o", str(tmp_path / "out"), "-f", "json-schema"]) == 0
     assert json.loads((tmp_path / "out" / "Core_schema.json").read_text())["properties"]["Alpha"]["required"] == ["a"]
     assert cli(["verify", "-i", str(tmp_path / "d.md")]) == 0
+
+
+def test_schema_violations(spark):
+    schema = {
+        "type": "object", "required": ["a"], "additionalProperties": False,
+        "properties": {"a": {"type": ["string", "null"]}, "b": {"const": {"x": 1}}, "c": {"type": "array", "items": {"anyOf": [{"type": "integer"}, {"$ref": "#/$defs/d"}]}}, "e": {"enum": ["u", 2]}, "f": {"type": "array", "items": {"type": "object", "required": ["g"]}}},
+        "$defs": {"d": {"type": "object", "required": ["k"], "properties": {"k": {"type": "boolean"}}}},
+    }
+    texts = {
+        1: '{"a": "s", "b": {"x": 1}, "c": [1, {"k": true}], "e": "u", "f": [{"g": null}]}', 2: "{}", 3: '{"a": 1, "z": 0}', 4: '{"a": null, "b": {"x": 2}}', 5: '{"a": "", "c": [1, "x", {"k": 1}, {}]}', 6: '{"a": "", "e": 2}', 7: '{"a": "", "e": "2"}',
+        8: "[1]", 9: "no json", 10: None, 11: '{"a": "", "c": 5}', 12: '{"a": "", "f": [{}, {"g": 1}, 3]}', 13: "null", 14: "",
+    }
+    got = {}
+    for r in validate.schema_violations(spark.createDataFrame([(k, v, "x") for k, v in texts.items()], "id int, t string, violation string").drop("violation"), "t", schema).collect():
+        got.setdefault(r.id, []).append(r.violation)
+    assert {k: sorted(v) for k, v in got.items()} == {
+        2: ["required $.a"], 3: ["additionalProperties $.z", "type $.a"], 4: ["const $.b"], 5: ["anyOf $.c[]"] * 3, 7: ["enum $.e"], 8: ["type $"], 9: ["json $"], 11: ["type $.c"], 12: ["required $.f[].g", "type $.f[]"], 13: ["type $"], 14: ["json $"],
+    }
+    with pytest.raises(ValueError, match="itself"):
+        validate.schema_violations(spark.createDataFrame([("x",)], "t string"), "t", {"$ref": "#/$defs/l", "$defs": {"l": {"items": {"$ref": "#/$defs/l"}}}})
+
+
+def test_namespaces_registry_and_resets(spark):
+    x = spark.createDataFrame([("cim:",), ("cin",), ("zz",), (None,)], "p string")
+    assert [r.i for r in x.select(resolve.namespace_iri(F.col("p"), {"cin": "cim"}, strict=False).alias("i")).collect()] == [resolve.NAMESPACES["cim"]] * 2 + [None, None]
+    with pytest.raises(Exception, match="unknown namespace: zz"):
+        x.select(resolve.namespace_iri(F.col("p"))).collect()
+    with pytest.raises(ValueError, match="canonical"):
+        resolve.namespace_iri(F.col("p"), {"a": "b"})
+    r = spark.createDataFrame([("B", "P", 1), ("A", "P", 2), ("B", "Q", 3), (None, "P", 0), ("C", None, 4)], "name string, package string, at int")
+    assert [tuple(v) for v in resolve.class_registry(r, "at").orderBy("place").collect()] == [("B", "Q", 0), ("A", "P", 1), ("C", None, 2)]
+    e = spark.createDataFrame([("counter", "n", {"a": "b"}, 1.0, 1), ("counter", "n", {"a": "b"}, 2.0, 2)], "kind string, name string, labels map<string,string>, value double, ord int")
+    assert [metrics.snapshot(e, s).first()["sum"] for s in (None, F.lit(1))] == [3.0, 2.0] and metrics.snapshot(e, F.lit(2)).count() == 0
+
+
+def test_model_to_json_and_back(spark, tmp_path):
+    m = reference_model(spark)
+    text = ir_json(m).first().content
+    (tmp_path / "ir.json").write_text(text)
+    back = ir_documents(spark, str(tmp_path / "ir.json"))
+    for name in ("package", "classes", "parent", "attribute", "association", "enumeration"):
+        a, b = (getattr(x, name).drop("doc_id") for x in (m, back))
+        assert sorted(map(repr, a.collect())) == sorted(map(repr, b.select(*a.columns).collect())), name
+    assert m.classes.where("name = 'Asset' and description <> ''").count() == 1
+    (tmp_path / "bad.json").write_text('{"packages": 5')
+    assert [r.path.rsplit("/", 1)[1] for r in unread_documents(spark, str(tmp_path / "*.json")).collect()] == ["bad.json"]
+    assert ir_documents(spark, str(tmp_path / "*.json"), strict=False).package.count() == 3
+
+
+def test_corpus_of_hashed_ids(spark):
+    d = {"packages": [PackageSource("P", "#", [cls("A")]).row(), PackageSource("Q", "#", [cls("B")]).row()]}
+    from loomset.plans.model import nested
+    from loomset.sources.models import PACKAGES
+
+    m = nested(spark.createDataFrame([{"ir_id": i, **d} for i in (2**60, -(2**62), 5)], f"ir_id BIGINT, packages {PACKAGES}")).corpus()
+    assert [(r.pkg_ord >> 20, r.pkg_ord & 1) for r in m.package.orderBy("pkg_ord").collect()] == [(k, p) for k in range(3) for p in range(2)]
+    assert m.named().count() == 6
+
+
+def test_many_short_names_meet_few(spark):
+    """Pieces grow with the edits that lengths allow: of random names only a small part of all pairs is compared."""
+    import random
+
+    r = random.Random(4)
+    names = {"".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(9, 24))) for _ in range(400)}
+    names |= {n[:4] + n[5:] for n in list(names)[:40]} | {n + "xy" for n in list(names)[:40]}
+    df = spark.createDataFrame([(0, n) for n in names], "doc_id bigint, name string")
+    got = {(x.a, x.b) for x in resolve.fuzzy_pairs(Model(*[df.withColumn("pkg_ord", F.lit(0))] * 6)).collect()}
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    want = {(a, b) for a in names for b in names if a < b and 1 <= abs(len(a) - len(b)) <= 3 and distance(a, b) <= min(6, max(2, max(len(a), len(b)) // 3))}
+    assert got == want and len(want) >= 80
