@@ -112,7 +112,7 @@ class Mixture:
         if self.targets.where("source is not null").count() != len(goal):
             raise ValueError("a source has several targets")
         self.sharded = self.tokens.where("tokens > 0").withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(s.seed)), F.lit(self.shards)).cast("int"))
-        used = self.sharded.where(F.col("source").isin(list(goal))) if goal else self.sharded.limit(0)
+        used = self.sharded.join(F.broadcast(documents.sparkSession.createDataFrame([(x,) for x in goal], "source string")), "source", "left_semi")  # at most MAX_CELLS names
         cells: dict[str, dict[int, int]] = {}
         for r in used.groupBy("source", "shard").agg(F.sum("tokens").alias("n")).collect():  # bounded: sources * shards
             cells.setdefault(r.source, {})[r.shard] = r.n
