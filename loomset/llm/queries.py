@@ -116,6 +116,37 @@ c AS (SELECT rec_id, {_BARE("package_name")} AS a, {_BARE("class_name")} AS b, C
 """
 
 
+_WIDE = "'" + "".join(map(chr, range(0xFF01, 0xFF5F))).replace("'", "''") + "', '" + "".join(map(chr, range(0x21, 0x7F))).replace("'", "''") + "'"
+_PLAIN = lambda x: rf"lower(regexp_replace(translate({x}, {_WIDE}), '[^\p{{L}}\p{{N}}]', '', 'g'))"
+_WS = r"[\s\x{1c}-\x{1f}\x{85}\p{Z}]"
+
+
+def _readings(x: str) -> str:
+    """SQL of the ways a value may be read, as a list of bare forms with nulls."""
+    bare_ = x
+    for _ in range(4):  # commands within commands
+        bare_ = rf"regexp_replace({bare_}, '\\[A-Za-z]+\s*\{{([^{{}}]*)\}}', '\1', 'g')"
+    trim = lambda y: f"regexp_replace({y}, '^{_WS}+|{_WS}+$', '', 'g')"
+    inner = trim(rf"regexp_replace({trim(f"replace(replace({bare_}, '$', ' '), '\_', '_')")}, '[\s\[(]*(?:\d+\s*\.\.\s*(?:\d+|\*|n)|\*)[\s\])]*$', '')")
+    cuts = (r"'^(?:urn:[^#\s]*#|[A-Za-z][A-Za-z0-9]*\s*::|[A-Za-z][A-Za-z0-9]*:)((?s).+)$', '\1'", r"'(?i)^xsd(?:[\s:_\-.]+)((?s).+)$', '\1'", r"'^[A-Z][A-Za-z0-9]*\.([A-Z][A-Za-z0-9]*)$', '\1'")
+    return f"(SELECT list_transform([{x}, s, " + ", ".join(f"CASE WHEN regexp_replace(s, {c}) <> s THEN ltrim(regexp_replace(s, {c}), ':') END" for c in cuts) + f"], lambda y: nullif({_PLAIN('y')}, '')) FROM (SELECT {inner} AS s))"
+
+
+_SLIPS = "CASE WHEN {0} >= 15 THEN 3 WHEN {0} >= 6 THEN 2 WHEN {0} >= 4 THEN 1 ELSE 0 END".format
+_P3 = f"""
+WITH raw AS (SELECT 'data_type' AS source_field, 'data_type' AS list_name, attr_id::VARCHAR AS row_key, -1 AS pos, data_type AS value FROM data_property UNION ALL SELECT 'expected_correction', 'class_name', case_id, -1, expected_correction FROM ocr_noise_samples
+  UNION ALL SELECT 'suggestions', 'class_name', case_id, (i - 1)::INT, cleaned.suggestions[i] FROM ocr_noise_samples, unnest(range(1, len(cleaned.suggestions) + 1)) AS t(i)),
+v AS (SELECT DISTINCT list_name, value FROM raw WHERE value IS NOT NULL),
+n AS (SELECT DISTINCT list_name, canon_id, unnest(list_append(aliases, label)) AS text FROM canon_entry WHERE canon_id IS NOT NULL),
+e AS (SELECT DISTINCT list_name, canon_id, form FROM (SELECT list_name, canon_id, unnest({_readings("text")}) AS form FROM n WHERE text IS NOT NULL) WHERE form IS NOT NULL),
+f AS (SELECT list_name, value, k, r[k] AS form FROM (SELECT list_name, value, {_readings("value")} AS r FROM v), unnest(range(1, 6)) AS t(k) WHERE r[k] IS NOT NULL),
+c AS (SELECT list_name, value, canon_id, min({{'d': damerau_levenshtein(f.form, e.form), 'k': k}}) AS best FROM f JOIN e USING (list_name)
+  WHERE abs(length(f.form) - length(e.form)) <= 3 AND damerau_levenshtein(f.form, e.form) <= least({_SLIPS("length(f.form) + 1")}, {_SLIPS("greatest(length(f.form), length(e.form))")}) GROUP BY ALL),
+m AS (SELECT list_name, value, CASE WHEN count(*) = 1 THEN any_value(canon_id) ELSE 0 END AS canon_id FROM (SELECT *, best = min(best) OVER (PARTITION BY list_name, value) AS near FROM c) WHERE near GROUP BY 1, 2),
+a AS (SELECT v.*, coalesce(m.canon_id, 0)::BIGINT AS canon_id FROM v LEFT JOIN m USING (list_name, value))
+"""
+
+
 def _form(name: str, key: str, col: str) -> str:
     return lookalikes.sql(", text").replace("FROM batch", f"FROM (SELECT {key} AS id, {col} AS text FROM {name} WHERE {col} IS NOT NULL)")
 
@@ -145,6 +176,9 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": _P1 + ", g AS (SELECT rec_id, min(rec_id) OVER (PARTITION BY a, b, p) AS keep_id FROM c) SELECT DISTINCT keep_id, rec_id AS copy_id FROM g WHERE rec_id <> keep_id",
         "p1_kept": _P1 + "SELECT min(rec_id) AS keep_id, count(*) AS copies FROM c GROUP BY a, b, p",
+        "p3_found": _P3 + "SELECT DISTINCT source_field, row_key, pos, canon_id FROM raw JOIN a USING (list_name, value) WHERE NOT EXISTS (FROM canon_entry l WHERE l.list_name = raw.list_name AND l.label = raw.value)",
+        "p3_unmatched": _P3 + "SELECT list_name, value, count(*) AS n_rows FROM raw JOIN a USING (list_name, value) WHERE canon_id = 0 GROUP BY ALL",
+        "p3_candidates": _P3 + "SELECT v.list_name, v.value, CASE WHEN canon_id IS NOT NULL THEN (row_number() OVER (PARTITION BY v.list_name, v.value ORDER BY best, canon_id) - 1)::INT END AS place, best.d::INT AS slips, canon_id FROM v LEFT JOIN c USING (list_name, value)",
         "p6_found": " UNION ALL ".join(_same_reading(*x) for x in _TEXTS),
         "p6_forms": " UNION ALL ".join(f"SELECT '{x[0]}' AS source_table, id AS row_id, form FROM ({_form(*x)})" for x in _TEXTS),
         "p7_found": f"SELECT DISTINCT item_id, doc_id FROM ({_runs('eval_items', 'item_id', _N)}) JOIN ({_runs('documents', 'doc_id', _N)}) USING (run)",
