@@ -116,3 +116,43 @@ def parsed(text: DataFrame) -> DataFrame:
         "doc_id", "graph", F.when(ok, part(1)).alias("s"), F.when(ok, part(2)).alias("p"), F.when(ok, F.when(is_iri, part(3)).otherwise(F.replace(back, F.lit("\\\\"), F.lit("\\")))).alias("o"),
         F.when(ok, F.when(is_iri, "iri").otherwise("literal")).alias("o_kind"), F.when(part(5) != "", part(5)).alias("o_lang"), F.when(part(6) != "", part(6)).alias("o_datatype"),
     )
+
+
+# Prefixes of Turtle output.
+PREFIXES = {"cim": NS, "rdf": RDF, "rdfs": RDFS, "owl": OWL, "sh": SH, "xsd": XSD}
+PREFIX_LINES = "".join(f"@prefix {p}: <{n}> .\n" for p, n in PREFIXES.items())
+_NAME = r"[A-Za-z_][A-Za-z0-9_\-]*(?:\.[A-Za-z0-9_\-]+)*"
+_TERM = rf'(?:<[^<>"{{}}|^`\\]*>|(?:{"|".join(PREFIXES)}):{_NAME})'
+TURTLE_LINE = rf'^({_TERM}) ({_TERM}) (?:({_TERM})|"((?:[^"\\\n\r]|\\.)*)"(?:@([A-Za-z\-]+)|\^\^({_TERM}))?) \.\z'
+
+
+def _short(c: Column) -> Column:
+    """An IRI by its prefix, if what follows is a plain name."""
+    out = F.concat(F.lit("<"), c, F.lit(">"))
+    for p, n in PREFIXES.items():
+        rest = F.substring(c, len(n) + 1, 2**31 - 1)
+        out = F.when(c.startswith(n) & rest.rlike(rf"^{_NAME}\z"), F.concat(F.lit(f"{p}:"), rest)).otherwise(out)
+    return out
+
+
+def _long(c: Column) -> Column:
+    """The IRI of a term of Turtle."""
+    known = F.create_map(*[F.lit(x) for kv in PREFIXES.items() for x in kv])
+    return F.when(c.startswith("<"), F.substring(c, 2, F.length(c) - 2)).otherwise(F.concat(F.try_element_at(known, F.substring_index(c, ":", 1)), F.regexp_extract(c, "(?s)^[^:]*:(.*)$", 1)))
+
+
+def turtle_lines(triples: DataFrame) -> DataFrame:
+    """(doc_id, graph, line) in Turtle, one triple a line; ``PREFIX_LINES`` go before them."""
+    tail = F.when(F.col("o_lang").isNotNull(), F.concat(F.lit("@"), "o_lang")).when(F.col("o_datatype").isNotNull(), F.concat(F.lit("^^"), _short(F.col("o_datatype")))).otherwise("")
+    o = F.when(F.col("o_kind") == "iri", _short(F.col("o"))).otherwise(F.concat(_quoted(F.col("o")), tail))
+    return triples.select("doc_id", "graph", F.concat(_short(F.col("s")), F.lit(" "), _short(F.col("p")), F.lit(" "), o, F.lit(" .")).alias("line"))
+
+
+def turtle_parsed(text: DataFrame) -> DataFrame:
+    """Triples of (doc_id, graph, line) as ``turtle_lines`` writes them; lines of prefixes have none, and a line that is no triple has a null subject."""
+    part = lambda k: F.regexp_extract("line", TURTLE_LINE, k)
+    angle = lambda c: F.concat(F.lit("<"), _long(c), F.lit(">"))
+    kind = F.when(part(6) != "", F.concat(F.lit("^^"), angle(part(6)))).when(part(5) != "", F.concat(F.lit("@"), part(5))).otherwise("")
+    o = F.when(part(3) != "", angle(part(3))).otherwise(F.concat(F.lit('"'), part(4), F.lit('"'), kind))
+    line = F.when(F.col("line").rlike(TURTLE_LINE), F.concat(angle(part(1)), F.lit(" "), angle(part(2)), F.lit(" "), o, F.lit(" ."))).otherwise(F.col("line"))
+    return parsed(text.where(~F.col("line").startswith("@prefix ") & (F.col("line") != "")).withColumn("line", line))

@@ -7,12 +7,13 @@ holds it, and no driver loop goes over documents.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import frames
+from ..frames import written
 from ..functions import datatypes as D
 from ..functions import names as N
 from ..operators import graph, resolve, triples
@@ -20,6 +21,8 @@ from .model import CLASS_KEY, Model, materialised
 
 Adapter = Callable[[Model], DataFrame]
 ADAPTERS: dict[str, Adapter] = {}
+#: The forms that are emitted by default; Turtle says the same as OWL.
+FORMS = ["owl", "shacl", "jsonld-context", "json-schema", "python-types"]
 
 
 def register_adapter(form: str, adapter: Adapter) -> None:
@@ -50,6 +53,18 @@ def _joined(lines: DataFrame, *keys: str, order: list[str]) -> DataFrame:
     return lines.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "line"))), lambda x: x["line"]), "\n").alias("content"))
 
 
+#: Most lines of triples in one file; a larger graph is written as several, by the hash of the line.
+MOST_LINES = 1_000_000
+
+
+def _graphs(lines: DataFrame, *keys: str) -> DataFrame:
+    """(…keys, part, content): the lines of each graph, sorted. ``part`` ends the name of a file, and is empty but for graphs of many files."""
+    size = lines.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.ceil(F.count("*") / MOST_LINES).alias("_files"))
+    x = lines.join(size, reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]))
+    x = x.withColumn("part", F.when(F.col("_files") == 1, "").otherwise(F.format_string("-%05d", F.pmod(F.xxhash64("line"), "_files"))))
+    return _joined(x.select(*keys, "part", "line"), *keys, "part", order=[])
+
+
 @lru_cache(4)
 def merged(m: Model) -> Model:
     """The model with its packages merged, worked out once for all emitters."""
@@ -79,25 +94,39 @@ def _pair(key: Column, value: Column) -> Column:
     return F.concat(_quoted(key), F.lit(":"), value)
 
 
-@_adapter("owl")
-def owl(m: Model) -> DataFrame:
-    """One file for each package with a named class (in the order of ``package_order``), and one with all; packages are merged, classes are not deduplicated. Each file
-    lists the packages it imports."""
+def owl_graphs(m: Model) -> DataFrame:
+    """Triples of one graph for each package with a named class (in the order of ``package_order``); packages are merged, classes are not deduplicated. Each graph lists
+    the packages it imports."""
     own = merged(m)
     full = own.classes.where(~N.blank(F.col("name"))).select("doc_id", "pkg_ord").distinct()
     kept = own.with_(package=own.package.join(full, ["doc_id", "pkg_ord"], "left_semi"))
     refs = resolve.cross_package_refs(kept).select("doc_id", F.col("from_package").alias("graph"), "to_package").distinct()
     node = lambda c: F.concat(F.lit(triples.NS.rstrip("#") + "_"), c)
     imports = triples.expand(refs, F.col("graph"), triples.iri(node(F.col("graph")), triples.OWL + "imports", node(F.col("to_package"))))
-    every = triples.lines(triples.owl(kept).unionByName(imports))
-    every = every.unionByName(every.withColumn("graph", F.lit("full"))).distinct()
-    return _joined(every, "doc_id", "graph", order=[]).select(*_file("owl", F.concat(F.lit("cim17_"), "graph", F.lit(".nt")), F.col("content")))
+    return triples.owl(kept).unionByName(imports)
+
+
+@_adapter("owl")
+def owl(m: Model) -> DataFrame:
+    """The graphs of ``owl_graphs`` in N-Triples."""
+    every = triples.lines(owl_graphs(m))
+    every = written(every.unionByName(every.withColumn("graph", F.lit("full"))).distinct())
+    return _graphs(every, "doc_id", "graph").select(*_file("owl", F.concat(F.lit("cim17_"), "graph", "part", F.lit(".nt")), F.col("content")))
+
+
+@_adapter("turtle")
+def turtle(m: Model) -> DataFrame:
+    """The same graphs in Turtle, with prefixes and one triple a line."""
+    every = triples.turtle_lines(owl_graphs(m))
+    every = written(every.unionByName(every.withColumn("graph", F.lit("full"))).distinct())
+    content = F.concat(F.lit(triples.PREFIX_LINES), F.col("content"), F.lit("\n"))
+    return _graphs(every, "doc_id", "graph").select(*_file("turtle", F.concat(F.lit("cim17_"), "graph", "part", F.lit(".ttl")), content))
 
 
 @_adapter("shacl")
 def shacl(m: Model) -> DataFrame:
     """One file of all shapes; packages are neither merged nor classes deduplicated."""
-    return _joined(triples.lines(triples.shacl(m)).distinct(), "doc_id", order=[]).select(*_file("shacl", F.lit("cim17_shapes.nt"), F.col("content")))
+    return _graphs(written(triples.lines(triples.shacl(m)).distinct()), "doc_id").select(*_file("shacl", F.concat(F.lit("cim17_shapes"), "part", F.lit(".nt")), F.col("content")))
 
 
 def context_terms(m: Model) -> DataFrame:
@@ -200,8 +229,8 @@ def module_order(m: Model) -> DataFrame:
 
 
 def emitted(m: Model, forms: list[str] | None = None) -> DataFrame:
-    """The files of all forms."""
-    parts = [get_adapter(f)(m) for f in forms or ADAPTERS]
+    """The files of the given forms, by default of ``FORMS``."""
+    parts = [get_adapter(f)(m) for f in forms or FORMS]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -218,6 +247,7 @@ def verified(files: DataFrame) -> DataFrame:
         .when((F.col("form") == "jsonld-context") & lacks("@context"), "no @context")
         .when((F.col("form") == "json-schema") & lacks("properties"), "no properties")
         .when(F.col("form").isin("owl", "shacl") & ill, "no triples")
+        .when((F.col("form") == "turtle") & F.exists(F.split("content", "\n"), lambda x: (x != "") & ~x.startswith("@prefix ") & ~x.rlike(triples.TURTLE_LINE)), "no triples")
         .when((F.col("form") == "python-types") & ~F.col("content").contains("from dataclasses import dataclass"), "no module")
     )
     return files.select("doc_id", "form", "path", issue.alias("issue")).where("issue is not null")

@@ -286,6 +286,14 @@ def triples_read_back(spark: SparkSession, sf: str) -> DataFrame:
     return triples.parsed(triples.lines(t)).select(*cols).exceptAll(t.select(*cols))
 
 
+@query("SELECT 0::BIGINT AS doc_id, '' AS graph, '' AS s, '' AS p, '' AS o, '' AS o_kind, '' AS o_lang, '' AS o_datatype WHERE false")
+def turtle_read_back(spark: SparkSession, sf: str) -> DataFrame:
+    """The triples written as Turtle and read again: what is lost or changed, nothing if all is well."""
+    t = triples.owl(model(spark, sf)).unionByName(triples.shacl(model(spark, sf))).where("graph is not null")
+    cols = ["doc_id", "graph", "s", "p", "o", "o_kind", "o_lang", "o_datatype"]
+    return triples.turtle_parsed(triples.turtle_lines(t)).select(*cols).exceptAll(t.select(*cols))
+
+
 def _tidy(spark: SparkSession, sf: str) -> Model:
     return emit.tidy(model(spark, sf))
 

@@ -512,3 +512,25 @@ def test_many_short_names_meet_few(spark):
 
     want = {(a, b) for a in names for b in names if a < b and 1 <= abs(len(a) - len(b)) <= 3 and distance(a, b) <= min(6, max(2, max(len(a), len(b)) // 3))}
     assert got == want and len(want) >= 80
+
+
+def test_turtle(spark):
+    rows = [(0, "g", triples.NS + "A.b", triples.RDF + "type", triples.OWL + "Class", "iri", None, None), (0, "g", triples.NS + "A.", "http://x/p", "http://x/ü", "iri", None, None), (0, "g", triples.NS + "1", triples.RDFS + "label", 'q " \\ \n\t\r . é', "literal", "en", None), (0, "g", "urn:x", triples.SH + "minCount", "1", "literal", None, triples.XSD + "integer"), (0, "g", "urn:x", triples.SH + "name", "", "literal", None, None)]
+    t = spark.createDataFrame(rows, "doc_id bigint, graph string, s string, p string, o string, o_kind string, o_lang string, o_datatype string")
+    text = triples.turtle_lines(t)
+    lines = {r.line for r in text.collect()}
+    assert "cim:A.b rdf:type owl:Class ." in lines and f"<{triples.NS}A.> <http://x/p> <http://x/ü> ." in lines and 'urn:x> sh:minCount "1"^^xsd:integer .' in "".join(lines)
+    heads = spark.createDataFrame([(0, "g", x) for x in triples.PREFIX_LINES.splitlines() + [""]], text.schema)
+    assert sorted(map(tuple, triples.turtle_parsed(text.unionAll(heads)).collect()), key=repr) == sorted(rows, key=repr)
+    assert triples.turtle_parsed(heads.withColumn("line", F.lit("no triple ."))).where("s is null").count() == 7
+
+
+def test_large_graphs_are_several_files(spark, monkeypatch):
+    m = reference_model(spark)
+    one = {r.path: r.content for r in emit.emitted(m, ["owl", "shacl", "turtle"]).collect()}
+    assert {"cim17_full.nt", "cim17_GridCore.ttl", "cim17_shapes.nt"} <= set(one)
+    assert emit.verified(emit.emitted(m, ["owl", "shacl", "turtle"])).count() == 0
+    monkeypatch.setattr(emit, "MOST_LINES", 40)
+    many = {r.path: r.content for r in emit.emitted(m, ["owl"]).collect()}
+    parts = [v for k, v in many.items() if k.startswith("cim17_full-")]
+    assert len(parts) > 3 and sorted(x for p in parts for x in p.split("\n")) == one["cim17_full.nt"].split("\n")
