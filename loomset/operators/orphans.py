@@ -38,59 +38,62 @@ class Orphans:
     def __init__(self, path: str | None = None, compact: int = 24) -> None:
         self.path, self.compact = path, compact
         self.steps: list[int] | None = None
+        self.whole: int | None = None
 
     def _open(self, spark: SparkSession) -> list[int]:
-        """The steps that count, from the last on that holds the whole state."""
+        """The steps that count after the last one that the whole state was written at."""
         self.spark = spark
         self.path = self.path or folder(spark)
         if self.steps is None:
             fs, top = hadoop(spark, self.path)
             found = [s.getPath().getName() for s in fs.listStatus(top)] if fs.exists(top) else []
-            done = sorted(int(n[5:]) for n in found if n.startswith("step-") and self._marked(int(n[5:]), "done"))
-            whole = max((k for k in done if self._marked(k, "whole")), default=None)
-            self.steps = [k for k in done if whole is None or k >= whole]
+            done = {kind: sorted(int(n[6:]) for n in found if n.startswith(f"{kind}-") and self._marked(n)) for kind in ("steps", "whole")}
+            self.whole = max(done["whole"], default=None)
+            self.steps = [k for k in done["steps"] if self.whole is None or k > self.whole]
         return self.steps
 
-    def _dir(self, step: int, *parts: str) -> str:
-        return "/".join([self.path, f"step-{step}", *parts])
+    def _dir(self, step: str, *parts: str) -> str:
+        return "/".join([self.path, step, *parts])
 
-    def _marked(self, step: int, name: str) -> bool:
-        fs, at = hadoop(self.spark, self._dir(step, name))
+    def _marked(self, step: str) -> bool:
+        fs, at = hadoop(self.spark, self._dir(step, "done"))
         return fs.exists(at)
 
-    def _mark(self, step: int, name: str) -> None:
-        fs, at = hadoop(self.spark, self._dir(step, name))
+    def _mark(self, step: str) -> None:
+        fs, at = hadoop(self.spark, self._dir(step, "done"))
         fs.create(at, True).close()
 
     def _log(self, name: str, schema: str, buckets: list[int] | None = None, also: int | None = None) -> DataFrame:
-        steps = self.steps + ([also] if also is not None and also not in self.steps else [])
-        if not steps:
+        parts = [f"whole-{self.whole}"] * (self.whole is not None) + [f"steps-{k}" for k in [*self.steps, *([also] if also is not None else [])]]
+        if not parts:
             return self.spark.createDataFrame([], schema)
-        x = self.spark.read.schema(schema).parquet(*[self._dir(k, name) for k in steps])
+        x = self.spark.read.schema(schema).parquet(*[self._dir(p, name) for p in parts])
         return x if buckets is None else x.where(F.col("bucket").isin(buckets))
 
     @staticmethod
     def _bucket() -> Column:
         return F.pmod(F.xxhash64(*KEY), F.lit(BUCKETS)).cast("int").alias("bucket")
 
-    def _write(self, df: DataFrame, step: int, name: str) -> None:
+    def _write(self, df: DataFrame, step: str, name: str) -> None:
         df.sortWithinPartitions("bucket").write.mode("overwrite").parquet(self._dir(step, name))
 
     def advance(self, references: DataFrame, parents: DataFrame, number: int | None = None) -> Orphans:
         """Takes what arrived; ``number`` names the step, and one that is done already changes nothing."""
         done = self._open(references.sparkSession)
-        step = max(done, default=-1) + 1 if number is None else number
-        if step in done:
+        last = max([*done, -1 if self.whole is None else self.whole])
+        step = last + 1 if number is None else number
+        if step in done or (self.whole is not None and step <= self.whole):
             return self
+        at = f"steps-{step}"
         new = references.select(*REFERENCE).where("name is not null and ref_id is not null and ref_at is not null").dropDuplicates(["source_table", "ref_id"])
         new = written(new.select(*REFERENCE, self._bucket()))
         came = parents.select(*KEY, "created_at", "deleted_at").where("package is not null and name is not null")
-        self._write(self._index(came).select(*KEY, "created_at", "deleted_at", self._bucket()), step, "parents")
-        came = self.spark.read.schema(_PARENTS).parquet(self._dir(step, "parents"))
+        self._write(self._index(came).select(*KEY, "created_at", "deleted_at", self._bucket()), at, "parents")
+        came = self.spark.read.schema(_PARENTS).parquet(self._dir(at, "parents"))
         touched = [r.bucket for r in new.select("bucket").unionByName(came.select("bucket")).distinct().collect()]  # at most BUCKETS
         buckets = touched if len(touched) <= MOST_TOUCHED else None
         probe = new.select(*REFERENCE, F.lit("new").alias("was"))
-        if done:
+        if last >= 0:
             keys = came.select(*KEY, F.col("deleted_at").isNotNull().alias("gone"))
             known = self._latest(self._log("references", _REFERENCES, buckets).join(keys, KEY)).where("reason is not null or gone")
             known = known.join(new.select("source_table", "ref_id"), ["source_table", "ref_id"], "left_anti")
@@ -98,24 +101,20 @@ class Orphans:
         index = self._index(self._log("parents", _PARENTS, buckets, step)).withColumn("there", F.lit(True))
         reason = F.when(F.col("there").isNull(), "missing").when(F.col("created_at") > F.col("ref_at"), "late").when(F.col("deleted_at") <= F.col("ref_at"), "deleted")
         x = probe.join(index, KEY, "left").withColumn("reason", reason).where(F.coalesce("reason", F.lit("answered")) != F.col("was"))
-        self._write(x.select(*REFERENCE, "reason", F.lit(step).cast("bigint").alias("step"), self._bucket()), step, "references")
-        self._mark(step, "done")
+        self._write(x.select(*REFERENCE, "reason", F.lit(step).cast("bigint").alias("step"), self._bucket()), at, "references")
+        self._mark(at)
         self.steps = [*done, step]
         if len(self.steps) > self.compact:
-            self._compacted(step + 1 if number is None else step)
+            self._compacted(step)
         return self
 
     def _compacted(self, step: int) -> None:
-        """The whole state in one step: beside the last one, or in the place of it if steps are numbered from outside."""
-        refs, index = self.refs, self.index
-        at = self._dir(step, "") if step not in self.steps else None
-        if at is None:
-            refs, index = written(refs), written(index)
-        self._write(refs.select(*REFERENCE, "reason", F.lit(step).cast("bigint").alias("step"), self._bucket()), step, "references")
-        self._write(index.select(*KEY, "created_at", "deleted_at", self._bucket()), step, "parents")
-        self._mark(step, "whole")
-        self._mark(step, "done")
-        self.steps = [step]
+        """Writes the whole state as it is after ``step``; from then on the steps up to it are not read."""
+        at = f"whole-{step}"
+        self._write(self.refs.select(*REFERENCE, "reason", F.lit(step).cast("bigint").alias("step"), self._bucket()), at, "references")
+        self._write(self.index.select(*KEY, "created_at", "deleted_at", self._bucket()), at, "parents")
+        self._mark(at)
+        self.whole, self.steps = step, []
 
     @staticmethod
     def _index(parents: DataFrame) -> DataFrame:
