@@ -2,6 +2,7 @@
 
 import random
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -250,6 +251,18 @@ def test_mixture(spark):
     assert abs(half.shares().agg(F.sum("mixed_tokens")).first()[0] - 3200) < 600
 
 
+@pytest.mark.skipif(not Path("/root/testdata/sf0.01").exists(), reason="no test tables here")
+def test_shares_reached_on_the_tables(spark):
+    """Every source with documents gives its share, among those that have any, and is repeated no more often than it may be."""
+    from loomset.llm.queries import p8_shares
+
+    rows = p8_shares(spark, "/root/testdata/sf0.01").collect()
+    able = [r for r in rows if r.target_share and r.available_tokens]
+    whole = sum(r.target_share for r in able)
+    assert able and all(abs(r.actual_share - r.target_share / whole) < 0.005 and r.most_repeats <= r.max_repeats for r in able)
+    assert all(r.mixed_tokens == 0 for r in rows if r not in able) and abs(sum(r.actual_share for r in rows) - 1) < 1e-9
+
+
 def test_mixture_of_nothing(spark):
     d, t = spark.createDataFrame([], "doc_id bigint, source string, text string"), spark.createDataFrame([("a", 1.0, 1)], TARGET)
     assert mix.Mixture(d, t).chosen().count() == 0 and mix.Mixture(d, t).shares().count() == 1
