@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..frames import ranked
@@ -192,11 +192,11 @@ def merged_packages(m: Model, fuzzy: bool = True) -> Model:
     to = merged_names(m, fuzzy)
     c = m.classes.join(to, ["doc_id", "pkg_ord"])
     own = F.col("pkg_ord") == F.col("canonical_ord")
-    w = Window.partitionBy("doc_id", "canonical_ord", "name").orderBy((~own).cast("int"), "pkg_ord", "cls_ord")
-    kept = c.withColumn("rank", F.row_number().over(w)).where(own | (F.col("rank") == 1))
+    first = c.groupBy("doc_id", "canonical_ord", "name").agg(F.min(F.struct((~own).alias("later"), "pkg_ord", "cls_ord")).alias("f")).select("doc_id", "f.pkg_ord", "f.cls_ord", F.lit(True).alias("first"))
+    kept = c.join(first, CLASS_KEY, "left").where(own | F.col("first"))
     # classes of later packages follow those of the first: their ordinals are shifted by package
-    moved = kept.select(*CLASS_KEY, F.col("canonical_ord").alias("to_pkg"), F.dense_rank().over(Window.partitionBy("doc_id", "canonical_ord").orderBy("pkg_ord", "cls_ord")).alias("to_cls"))
-    part = lambda t: t.join(moved, CLASS_KEY).drop("pkg_ord", "cls_ord").withColumnsRenamed({"to_pkg": "pkg_ord", "to_cls": "cls_ord"}).withColumn("cls_ord", F.col("cls_ord") - 1).select(*t.columns)
+    moved = ranked(kept.select(*CLASS_KEY, F.col("canonical_ord").alias("to_pkg")), ["doc_id", "to_pkg"], ["pkg_ord", "cls_ord"], "to_cls").withColumn("to_cls", F.col("to_cls").cast("int"))
+    part = lambda t: t.join(moved, CLASS_KEY).drop("pkg_ord", "cls_ord").withColumnsRenamed({"to_pkg": "pkg_ord", "to_cls": "cls_ord"}).select(*t.columns)
     heads = m.package.join(to.where("pkg_ord = canonical_ord"), ["doc_id", "pkg_ord"]).withColumn("name", F.col("canonical")).select(*m.package.columns)
     enums = m.enumeration.join(to, ["doc_id", "pkg_ord"]).withColumn("pkg_ord", F.col("canonical_ord")).select(*m.enumeration.columns)
     return Model(heads, part(m.classes), part(m.parent), part(m.attribute), part(m.association), enums)

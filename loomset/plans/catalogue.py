@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import data_queries, document_queries, model_queries, names_queries, records
+from . import data_queries, document_queries, model_queries, more_queries, names_queries, records
 
-_REGISTRIES = (data_queries.query, names_queries.query, model_queries.query, document_queries.query)
+_REGISTRIES = (data_queries.query, names_queries.query, model_queries.query, document_queries.query, more_queries.query)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -106,8 +106,3 @@ def package_files(spark: SparkSession, sf: str) -> DataFrame:
     """All files of all packages, but for the manifest, which holds the time."""
     f = _packages(spark, sf).files().where(~F.col("path").endswith("manifest.yaml"))
     return f.select("doc_id", "package_id", "path", F.octet_length("content").alias("bytes"), F.sha2("content", 256).alias("sha256"))
-
-
-@query()
-def package_checks(spark: SparkSession, sf: str) -> DataFrame:
-    return _packages(spark, sf).checks()

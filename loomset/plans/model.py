@@ -75,19 +75,24 @@ def nested(df: DataFrame, id_col: str = "ir_id", packages: str = "packages") ->
     t = {k.removeprefix(packages).lstrip("."): v for k, v in flat.nodes.items()}
     optional = F.col("node.multiplicity")
     none = F.lit(None).cast("string")
-    return Model(
+    return _stored(Model(
         t[""].select(*at("", "pkg_ord"), *node("iri", "name", "package_id", "version")),
         t["classes"].select(*at("", "pkg_ord", "cls_ord"), *node("name", "description", "stereotype", "source_table")),
         t["classes.parents"].select(*at("", "pkg_ord", "cls_ord", "par_ord"), *node("package", "class_name", "iri", "is_external")),
         t["classes.attributes"].select(*at("", "pkg_ord", "cls_ord", "attr_ord"), *node("name", "data_type"), optional.alias("multiplicity"), *node("description", "required"), none.alias("inherited_from")),
         t["classes.associations"].select(*at("", "pkg_ord", "cls_ord", "assoc_ord"), *node("name", "target"), optional.alias("multiplicity"), *node("inverse_name"), none.alias("inherited_from")),
         t["enumerations"].select(*at("", "pkg_ord", "enum_ord"), *node("name", "values")),
-    )
+    ))
+
+
+def _stored(m: Model) -> Model:
+    object.__setattr__(m, "stored", True)
+    return m
 
 
 def materialised(m: Model) -> Model:
-    """The model with its tables written to the shared folder once, for several uses."""
-    return Model(**{f.name: written(getattr(m, f.name)) for f in fields(m)})
+    """The model with its tables written to the shared folder once, for several uses; one that is read from such tables as it is."""
+    return m if getattr(m, "stored", False) else _stored(Model(**{f.name: written(getattr(m, f.name)) for f in fields(m)}))
 
 
 def position(*ords: str) -> Column:
