@@ -101,8 +101,19 @@ def package_relations(spark: SparkSession, sf: str) -> DataFrame:
     return _packages(spark, sf).relations().select("doc_id", "id", "entity_id", "target_id", "multiplicity")
 
 
-@query()
+_SLUGGED = ", s AS (SELECT p.*, pk.n.version AS version, regexp_replace(regexp_replace(lower(regexp_replace(p.package_id, '[^A-Za-z0-9]+', '-', 'g')), '^-+', ''), '-+$', '') AS slug FROM p JOIN pk USING (doc_id, pkg_ord))"
+
+
+@query(
+    _PKG
+    + _SLUGGED
+    + """, f AS (SELECT doc_id, pkg_ord, package_id, slug, version, unnest(['manifest.yaml', 'README.md', 'semantic-model/entities.yaml', 'semantic-model/attributes.yaml', 'semantic-model/relations.yaml', 'ontology/' || slug || '.owl', 'jsonld/' || slug || '-context.jsonld', 'jsonschema/' || slug || '.schema.json', 'python/' || replace(slug, '-', '_') || '_types.py', 'mappings/mapping-template.yaml', 'tests/package-cts.yaml']) AS path FROM s
+    UNION ALL SELECT doc_id, pkg_ord, package_id, slug, version, 'semantic-model/enumerations.yaml' FROM s WHERE EXISTS (FROM pk WHERE pk.doc_id = s.doc_id AND pk.pkg_ord = s.pkg_ord AND len(list_filter(pk.n.enumerations, lambda e: e IS NOT NULL)) > 0)
+    UNION ALL SELECT doc_id, pkg_ord, package_id, slug, version, unnest(['constraints/' || slug || '.shacl', 'examples/' || slug || '-instance.jsonld']) FROM s WHERE EXISTS (FROM cl WHERE cl.doc_id = s.doc_id AND cl.pkg_ord = s.pkg_ord AND cl.name IS NOT NULL))
+    SELECT doc_id, package_id, slug || '-' || coalesce(version, '0.1.0') || '/' || path AS path, true AS readable FROM f"""
+)
 def package_files(spark: SparkSession, sf: str) -> DataFrame:
-    """All files of all packages, but for the manifest, which holds the time."""
-    f = _packages(spark, sf).files().where(~F.col("path").endswith("manifest.yaml"))
-    return f.select("doc_id", "package_id", "path", F.octet_length("content").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    """All files of all packages, and whether those in JSON can be read."""
+    f = _packages(spark, sf).files()
+    json = F.col("path").rlike(r"\.(yaml|jsonld|json)$")
+    return f.select("doc_id", "package_id", "path", (F.col("content").isNotNull() & (~json | F.try_parse_json("content").isNotNull())).alias("readable"))
