@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..frames import table
 from ..sources import markdown
 from .model_queries import MODEL_SQL, model
-from .names_queries import STRIP
+from .names_queries import STRIP, WS
+from .names_queries import query as names_query
 from .package import Packages
 from .registry import Registry
 
@@ -29,11 +30,24 @@ def section_assign(spark: SparkSession, sf: str) -> DataFrame:
     return x.where("section > 0").select("std_doc", "tok_ord", "type", "section")
 
 
-@query()
+_TITLE = rf"表{WS}*\p{{Nd}}+{WS}+[A-Z][A-Za-z0-9]*::[A-Z][A-Za-z0-9]+{WS}*的属性"
+_PARSED = names_query.sql["heading_parts"].replace("SELECT sec_id, " + STRIP("heading") + " AS s FROM section_row", "SELECT tok_id AS sec_id, " + STRIP("content") + " AS s FROM md_token WHERE type = 'heading' AND level = 2 AND content IS NOT NULL")
+
+
+@query(
+    f"""WITH hp AS ({_PARSED}), k AS (SELECT * FROM md_token WHERE content IS NOT NULL),
+    ev AS (SELECT std_doc, tok_ord, tok_id, 0 AS pos, content AS heading, true AS h2 FROM k WHERE type = 'heading' AND level = 2
+      UNION ALL SELECT std_doc, tok_ord, tok_id, i, l[i], false FROM (SELECT *, regexp_extract_all(content, '(?:^|[^A-Za-z])({_TITLE})', 1) AS l FROM k WHERE type = 'paragraph'), unnest(range(1, len(l) + 1)) AS t(i)),
+    o AS (SELECT ev.*, hp.path, hp.class_name AS own, hp.stereotype, count(*) FILTER (h2) OVER w AS g FROM ev LEFT JOIN hp ON ev.h2 AND hp.sec_id = ev.tok_id WINDOW w AS (PARTITION BY std_doc ORDER BY tok_ord, pos)),
+    s AS (SELECT *, first(path) OVER v AS p, first(stereotype) OVER v AS st, row_number() OVER (PARTITION BY std_doc ORDER BY tok_ord, pos) - 1 AS sec_ord FROM o WHERE g > 0 WINDOW v AS (PARTITION BY std_doc, g ORDER BY tok_ord, pos))
+    SELECT std_doc, sec_ord, p AS path, heading, CASE WHEN h2 THEN own ELSE regexp_extract(heading, '::([A-Z][A-Za-z0-9]+)', 1) END AS class_name, st AS stereotype, CASE WHEN NOT h2 THEN regexp_extract(heading, '([A-Z][A-Za-z0-9]*)::', 1) END AS package FROM s
+    UNION ALL SELECT std_doc, 0, '0', '', NULL, NULL, NULL FROM k GROUP BY std_doc HAVING count(*) FILTER (type = 'heading' AND level = 2) = 0"""
+)
 def md_sections(spark: SparkSession, sf: str) -> DataFrame:
     """Sections of all documents, those that titles of tables begin among them."""
-    found, _ = markdown.sections(_tokens(spark, sf))
-    return found
+    t = _tokens(spark, sf)
+    found, _ = markdown.sections(t)
+    return found.join(t.select("doc_id", "std_doc").distinct(), "doc_id").drop("doc_id")
 
 
 @query(
