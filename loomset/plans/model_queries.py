@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..frames import table
-from ..functions import datatypes as D
 from ..operators import consistency, graph, resolve, triples
 from . import emit
 from .model import Model, nested

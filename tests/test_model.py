@@ -17,7 +17,6 @@ from loomset.functions import headings as H
 from loomset.functions import multiplicity as M
 from loomset.functions import names as N
 from loomset.operators import consistency, metrics, resolve, review, triples, validate
-from loomset.operators.orphans import Orphans
 from loomset.plans import emit
 from loomset.plans.model import Model
 from loomset.plans.package import Packages
