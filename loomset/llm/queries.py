@@ -127,7 +127,8 @@ def _readings(x: str) -> str:
     for _ in range(4):  # commands within commands
         bare_ = rf"regexp_replace({bare_}, '\\[A-Za-z]+\s*\{{([^{{}}]*)\}}', '\1', 'g')"
     trim = lambda y: f"regexp_replace({y}, '^{_WS}+|{_WS}+$', '', 'g')"
-    inner = trim(rf"regexp_replace({trim(f"replace(replace({bare_}, '$', ' '), '\_', '_')")}, '[\s\[(]*(?:\d+\s*\.\.\s*(?:\d+|\*|n)|\*)[\s\])]*$', '')")
+    bare_ = trim(f"replace(replace({bare_}, '$', ' '), '{chr(92)}_', '_')")
+    inner = trim(rf"regexp_replace({bare_}, '[\s\[(]*(?:\d+\s*\.\.\s*(?:\d+|\*|n)|\*)[\s\])]*$', '')")
     cuts = (r"'^(?:urn:[^#\s]*#|[A-Za-z][A-Za-z0-9]*\s*::|[A-Za-z][A-Za-z0-9]*:)((?s).+)$', '\1'", r"'(?i)^xsd(?:[\s:_\-.]+)((?s).+)$', '\1'", r"'^[A-Z][A-Za-z0-9]*\.([A-Z][A-Za-z0-9]*)$', '\1'")
     return f"(SELECT list_transform([{x}, s, " + ", ".join(f"CASE WHEN regexp_replace(s, {c}) <> s THEN ltrim(regexp_replace(s, {c}), ':') END" for c in cuts) + f"], lambda y: nullif({_PLAIN('y')}, '')) FROM (SELECT {inner} AS s))"
 
