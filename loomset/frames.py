@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +48,15 @@ def written(df: DataFrame, *parts: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)  # an empty table with parts has no file to tell its schema
 
 
+T = TypeVar("T")
+
+
+def together(*work: Callable[[], T], most: int = 6) -> list[T]:
+    """The results of ``work``, whose Spark jobs run side by side, so that small ones don't wait for each other; ``most`` at a time."""
+    with ThreadPoolExecutor(max_workers=most) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(SparkSession.active())(w)) for w in work]]
+
+
 def ranked(df: DataFrame, within: list[str], order: list[str], name: str) -> DataFrame:
     """``df`` with the 0-based rank ``name`` of each row in its group of ``within``, by ``order``. No group meets in one task: rows are ranked within
     ranges of the order, and what the ranges before hold is added."""

@@ -7,7 +7,7 @@ holds it, and no driver loop goes over documents.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache, reduce
+from functools import lru_cache, partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,11 +60,19 @@ MOST_LINES = 1_000_000
 def _graphs(lines: DataFrame, *keys: str) -> DataFrame:
     """(…keys, part, content): the lines of each graph, sorted. ``part`` ends the name of a file, and is empty but for graphs of many files."""
     size = lines.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.ceil(F.count("*") / MOST_LINES).alias("_files"))
+    if not size.where("_files > 1").limit(1).count():
+        return _joined(lines.withColumn("part", F.lit("")), *keys, "part", order=[])
     x = lines.join(size, reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]))
     x = x.withColumn("part", F.when(F.col("_files") == 1, "").otherwise(F.format_string("-%05d", F.pmod(F.xxhash64("line"), "_files"))))
     return _joined(x.select(*keys, "part", "line"), *keys, "part", order=[])
 
 
+def _with_full(lines: DataFrame) -> DataFrame:
+    """The lines of each graph, which are distinct in it, and those of all together, as graph ``full``."""
+    own = written(lines)
+    return own.unionByName(own.select("doc_id", F.lit("full").alias("graph"), "line").distinct())
+
+
 @lru_cache(4)
 def merged(m: Model) -> Model:
     """The model with its packages merged, worked out once for all emitters."""
@@ -109,16 +117,14 @@ def owl_graphs(m: Model) -> DataFrame:
 @_adapter("owl")
 def owl(m: Model) -> DataFrame:
     """The graphs of ``owl_graphs`` in N-Triples."""
-    every = triples.lines(owl_graphs(m))
-    every = written(every.unionByName(every.withColumn("graph", F.lit("full"))).distinct())
+    every = _with_full(triples.lines(owl_graphs(m)))
     return _graphs(every, "doc_id", "graph").select(*_file("owl", F.concat(F.lit("cim17_"), "graph", "part", F.lit(".nt")), F.col("content")))
 
 
 @_adapter("turtle")
 def turtle(m: Model) -> DataFrame:
     """The same graphs in Turtle, with prefixes and one triple a line."""
-    every = triples.turtle_lines(owl_graphs(m))
-    every = written(every.unionByName(every.withColumn("graph", F.lit("full"))).distinct())
+    every = _with_full(triples.turtle_lines(owl_graphs(m)))
     content = F.concat(F.lit(triples.PREFIX_LINES), F.col("content"), F.lit("\n"))
     return _graphs(every, "doc_id", "graph").select(*_file("turtle", F.concat(F.lit("cim17_"), "graph", "part", F.lit(".ttl")), content))
 
@@ -126,7 +132,7 @@ def turtle(m: Model) -> DataFrame:
 @_adapter("shacl")
 def shacl(m: Model) -> DataFrame:
     """One file of all shapes; packages are neither merged nor classes deduplicated."""
-    return _graphs(written(triples.lines(triples.shacl(m)).distinct()), "doc_id").select(*_file("shacl", F.concat(F.lit("cim17_shapes"), "part", F.lit(".nt")), F.col("content")))
+    return _graphs(written(triples.lines(triples.shacl(m))), "doc_id").select(*_file("shacl", F.concat(F.lit("cim17_shapes"), "part", F.lit(".nt")), F.col("content")))
 
 
 def context_terms(m: Model) -> DataFrame:
@@ -230,7 +236,12 @@ def module_order(m: Model) -> DataFrame:
 
 def emitted(m: Model, forms: list[str] | None = None) -> DataFrame:
     """The files of the given forms, by default of ``FORMS``."""
-    parts = [get_adapter(f)(m) for f in forms or FORMS]
+    forms = list(forms or FORMS)
+    if {"jsonld-context", "json-schema", "python-types"} & set(forms):
+        tidy(m)  # what several forms share comes first
+    elif {"owl", "turtle"} & set(forms):
+        merged(m)
+    parts = frames.together(*[partial(get_adapter(f), m) for f in forms])
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

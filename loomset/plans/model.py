@@ -9,11 +9,12 @@ enumeration(doc_id, pkg_ord, enum_ord, name, values).
 from __future__ import annotations
 
 from dataclasses import dataclass, fields, replace
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..frames import ranked, written
+from ..frames import ranked, together, written
 from ..operators.flatten import Flattened
 
 CLASS_KEY = ["doc_id", "pkg_ord", "cls_ord"]
@@ -92,7 +93,7 @@ def _stored(m: Model) -> Model:
 
 def materialised(m: Model) -> Model:
     """The model with its tables written to the shared folder once, for several uses; one that is read from such tables as it is."""
-    return m if getattr(m, "stored", False) else _stored(Model(**{f.name: written(getattr(m, f.name)) for f in fields(m)}))
+    return m if getattr(m, "stored", False) else _stored(Model(*together(*[partial(written, getattr(m, f.name)) for f in fields(m)])))
 
 
 def position(*ords: str) -> Column:
