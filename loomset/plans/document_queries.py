@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..frames import table
+from ..operators import resolve
 from ..sources import markdown
 from .model_queries import MODEL_SQL, model
 from .names_queries import STRIP, WS
@@ -82,11 +83,18 @@ def ingested_classes(spark: SparkSession, sf: str) -> DataFrame:
     return m.classes.join(n, key, "left").select("name", "stereotype", F.coalesce("n_attributes", F.lit(0)).alias("n_attributes"))
 
 
-@query()
+_SEEDS = "(VALUES " + ", ".join(f"('{s}')" for s in resolve.SEED_CLASSES) + ") AS k(name)"
+_FIXED = ", ".join(f"'{s}'" for s in [*resolve.SEED_CLASSES, *resolve.CORRECTIONS])
+
+
+@query(
+    f"""WITH n AS (SELECT class_id, regexp_extract(name, '^([A-Za-z0-9_]+)', 1) AS w FROM (SELECT DISTINCT class_id, package, name, stereotype FROM class_def)), d AS (SELECT w, min(levenshtein(w, k.name)) AS d FROM (SELECT DISTINCT w FROM n), {_SEEDS} GROUP BY 1)
+    SELECT 'A.' || class_id || '::' || w AS case_id, 'Core' AS package, w AS raw_text, CASE WHEN d <= 2 THEN 'possible_typo' ELSE 'class_unknown' END AS uncertainty_reason, 'A.' || class_id || '（' || w || '）' AS context_snippet FROM n JOIN d USING (w) WHERE regexp_full_match(w, '[A-Za-z][A-Za-z0-9_]+') AND w NOT IN ({_FIXED})"""
+)
 def md_uncertain(spark: SparkSession, sf: str) -> DataFrame:
     """Entries to be reviewed, of documents whose sections are not numbered."""
     docs = _as_markdown(spark, sf).withColumn("text", F.regexp_replace("text", r"(?m)^## 1\.(\d+) Class: (\w+).*$", "## A.$1（$2）"))
-    return markdown.model(docs)[1]
+    return markdown.model(docs)[1].drop("doc_id")
 
 
 def _packages(spark: SparkSession, sf: str) -> Packages:
