@@ -87,11 +87,12 @@ class Rolling:
         return h * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def sentence_starts(codes: np.ndarray, reach: int) -> np.ndarray:
-    """Places where a sentence starts; between two of them lie at most ``reach`` characters."""
+def sentence_starts(codes: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places where a sentence starts, at most ``reach`` characters apart, and of each the first and last of the ``reach`` consecutive places (by where
+    they begin) that it has the least rank of."""
     n = len(codes)
     if n < reach:
-        return np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64),) * 3
     small = codes.astype(np.uint32)
     h = small * np.uint32(0x85EBCA6B)
     for k in range(1, _AROUND):  # the characters before and from the place on
@@ -115,17 +116,21 @@ def sentence_starts(codes: np.ndarray, reach: int) -> np.ndarray:
     if width < reach:
         least = np.minimum(least[: len(least) - (reach - width)], least[reach - width :])
     change = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-    return np.unique(np.uint64(0xFFFFFFFF) - (least[change] & np.uint64(0xFFFFFFFF))).astype(np.int64)
+    places = (np.uint64(0xFFFFFFFF) - (least[change] & np.uint64(0xFFFFFFFF))).astype(np.int64)
+    return places, change, np.append(change[1:], len(least)) - 1
 
 
-def span_hashes(texts: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Number of the text, place in it and hash of every span."""
+def span_hashes(texts: list[str], s: Settings) -> tuple[np.ndarray, ...]:
+    """Number of the text, place in it and hash of every span, and how far before it, at least and at most, the windows begin that are its own: those
+    of the text whose least place it is. Each window is that of one span, which every text with the window has."""
     codes, begin = codes_of(texts)
-    starts = sentence_starts(codes, s.reach)
+    starts, first, last = sentence_starts(codes, s.reach)
     doc = np.searchsorted(begin, starts, side="right") - 1
-    kept = starts + s.span <= begin[doc + 1]
+    least = np.maximum(starts + s.length - begin[doc + 1], starts - last + _AROUND - 1).clip(min=0)
+    most = np.minimum(np.minimum(starts - begin[doc], starts - first + _AROUND - 1), s.side)
+    kept = least <= most
     starts, doc = starts[kept], doc[kept]
-    return doc, starts - begin[doc], Rolling(codes).at(starts, s.span).view(np.int64)
+    return doc, starts - begin[doc], Rolling(codes).at(starts, s.span).view(np.int64), least[kept], most[kept]
 
 
 def blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -156,7 +161,7 @@ def spans(texts: DataFrame, s: Settings) -> DataFrame:
         for batch in batches:
             ids, own = np.asarray(batch.column(0)), batch.column(1).to_pylist()
             for lo, hi in blocks(own):
-                doc, _, h = span_hashes(own[lo:hi], s)
+                doc, _, h, _, _ = span_hashes(own[lo:hi], s)
                 h, t = _distinct(h, ids[lo:hi][doc])
                 first = np.flatnonzero(np.append(True, h[1:] != h[:-1])[: len(h)])
                 place = np.arange(len(h)) - np.repeat(first, np.diff(np.append(first, len(h))))
@@ -177,21 +182,20 @@ PLACES = "h bigint, t bigint, first bigint, `left` string, `right` string, lo in
 
 
 def places(texts: DataFrame, s: Settings) -> DataFrame:
-    """Of every marked span of (t, first, hs, text): the characters on either side, the windows that the text has room for (they begin ``lo`` to
-    ``hi`` characters before the span), and where it stands. Places of one text that look alike are one row."""
+    """Of every marked span of (t, first, hs, text): the characters on either side, the windows that are its own (they begin ``lo`` to ``hi`` characters
+    before the span), and where it stands. Places of one text that look alike are one row."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ts, firsts, marks, own = (c.to_pylist() for c in batch.columns)
             for lo, hi in blocks(own):
-                doc, at, h = span_hashes(own[lo:hi], s)
+                doc, at, h, least, most = span_hashes(own[lo:hi], s)
                 wanted = np.unique(np.concatenate([np.array(m, np.int64) for m in marks[lo:hi]]))
                 kept = np.isin(h, wanted)
                 rows: dict[tuple, list[int]] = {}
-                for d, p, x in zip((doc[kept] + lo).tolist(), at[kept].tolist(), h[kept].tolist()):
+                for d, p, x, a, b in zip((doc[kept] + lo).tolist(), *(v[kept].tolist() for v in (at, h, least, most))):
                     text, end = own[d], p + s.span
-                    room = (max(0, p + s.length - len(text)), min(s.side, p))
-                    rows.setdefault((x, ts[d], firsts[d], text[max(0, p - s.side) : p], text[end : end + s.side], *room), []).append(p)
+                    rows.setdefault((x, ts[d], firsts[d], text[max(0, p - b) : p], text[end : end + s.side - a], a, b), []).append(p)
                 cols = list(zip(*rows)) or [[]] * 7
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32())
                 arrays = [pa.array(c, k) for c, k in zip(cols, kinds)] + [pa.array(list(rows.values()), pa.list_(pa.int64()))]

@@ -176,6 +176,40 @@ def test_shared_spans(spark, hot):
     assert all(len(kept[d]) <= share[d].n_chars for d in kept) and len(shared_truth(left, 400)) < len(want)
 
 
+@pytest.mark.parametrize(("seed", "hot"), [(1, 3), (7, 10**6), (8, 3), (10, 10**6)])
+def test_spans_of_patched_texts(spark, seed, hot):
+    """Texts put together of few pieces, so that windows begin and end everywhere: pairs, classes, shares and what is kept, all exact."""
+    r, n = random.Random(seed), 40
+    alphabet = ("ab. \n", "abcdefgh. \n", "aé日😀. ")[seed % 3]
+    base = ["".join(r.choices(alphabet, k=r.randint(30, 160))) for _ in range(6)]
+    docs = {}
+    for _ in range(60):
+        text = ""
+        for _ in range(r.randint(1, 4)):
+            b = r.choice(base)
+            i = r.randrange(len(b))
+            text += b[i : r.randint(i, len(b))] if r.random() < 0.7 else "".join(r.choices(alphabet, k=r.randint(0, 60)))
+        docs[r.randint(0, 10**6)] = text
+    docs |= {10**7 + k: docs[d] for k, d in enumerate(list(docs)[:3])}
+    groups, copies = {}, {}
+    for d, t in docs.items():
+        copies.setdefault(t, set()).add(d)
+        for k in range(len(t) - n + 1):
+            groups.setdefault(t[k : k + n], set()).add(d)
+    whole = [g for g in groups.values()] + [g for t, g in copies.items() if len(t) >= n]
+    shared, kept = {}, {}
+    for d, t in docs.items():
+        at = {k for k in range(len(t) - n + 1) if len(groups[t[k : k + n]]) > 1}
+        later = sorted({x for k in at if min(groups[t[k : k + n]]) < d for x in range(k, k + n)})
+        shared[d] = len({x for k in at for x in range(k, k + n)})
+        kept[d] = "" if len(t) >= n and min(copies[t]) < d else spans.without(t, [(x, x + 1) for x in later])
+    op = spans.SharedSpans(spark.createDataFrame(list(docs.items()), "doc_id bigint, text string"), spans.Settings(length=n, reach=12, hot=hot))
+    assert {tuple(x) for x in op.pairs().collect()} == {(a, b) for g in whole for a in g for b in g if a < b}
+    assert {tuple(x) for x in op.classes().collect()} == {(min(g), len(g), d) for g in whole if len(g) > 1 for d in g}
+    assert {x.doc_id: x.shared_chars for x in op.share().collect()} == shared
+    assert {x.doc_id: x.text for x in op.kept().collect()} == kept
+
+
 def test_a_passage_in_many_texts_is_linear_work(spark):
     """Neither pairs nor texts are multiplied: what is found grows like the number of texts, hot or not."""
     r = random.Random(3)
