@@ -48,6 +48,12 @@ def written(df: DataFrame, *parts: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)  # an empty table with parts has no file to tell its schema
 
 
+def unbroadcast(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that sorts both sides and broadcasts neither. For rows that are exploded: Spark takes them for as large as what they
+    come from, and would collect many times its limit of a broadcast in the driver."""
+    return df.hint("merge")
+
+
 T = TypeVar("T")
 
 

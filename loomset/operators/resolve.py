@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..frames import ranked
+from ..frames import ranked, unbroadcast
 from ..functions import names as N
 from ..plans.model import CLASS_KEY, Model, position
 from .graph import connected_components
@@ -106,6 +106,7 @@ def ending_with(wanted: DataFrame, known: DataFrame, within: list[str] | None =
     within = within or []
     tails = F.transform(F.sequence(F.lit(2), F.length("name")), lambda k: F.when(F.length("name") >= k, F.substring("name", k, F.length("name"))))
     ends = known.where("name is not null").distinct().select(*within, "name", F.explode(tails).alias("wanted")).where("wanted is not null and wanted <> name")
+    ends = unbroadcast(ends)  # many rows a name
     return wanted.where("wanted <> ''").distinct().join(ends, [*within, "wanted"]).groupBy(*within, "wanted").agg(F.count("*").alias("fits"), F.min("name").alias("only"))
 
 
