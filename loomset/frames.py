@@ -49,8 +49,8 @@ def written(df: DataFrame, *parts: str) -> DataFrame:
 
 
 def unbroadcast(df: DataFrame) -> DataFrame:
-    """``df`` as a side of a join that sorts both sides and broadcasts neither. For rows that are exploded: Spark takes them for as large as what they
-    come from, and would collect many times its limit of a broadcast in the driver."""
+    """``df`` as a side of a join that sorts both sides and broadcasts neither. For rows that Spark takes for far fewer than they are, such as exploded
+    ones: it would collect many times its limit of a broadcast in the driver."""
     return df.hint("merge")
 
 

@@ -47,7 +47,7 @@ def similar(left: DataFrame, right: DataFrame, most: int, within: list[str] | No
     reach = F.floor((k + apart) / 2).cast("int")
     shifted = F.transform(F.sequence(-reach, reach), lambda s: F.when(start(lb, i, k) + s >= 0, F.substring(F.col("a"), start(lb, i, k) + s + 1, size)))
     cuts = cuts.select(*within, "a", "lb", "k", "i", F.explode(F.array_distinct(shifted)).alias("piece")).where("piece is not null")
-    pairs = cuts.join(pieces, [*within, "lb", "k", "i", "piece"]).select(*within, "a", "b", "k").distinct()
+    pairs = unbroadcast(cuts).join(unbroadcast(pieces), [*within, "lb", "k", "i", "piece"]).select(*within, "a", "b", "k").distinct()
     return pairs.withColumn("distance", F.levenshtein("a", "b", most)).where("distance between 0 and k").drop("k")
 
 

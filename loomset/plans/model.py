@@ -14,7 +14,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..frames import ranked, together, written
+from ..frames import ranked, together, unbroadcast, written
 from ..operators.flatten import Flattened
 
 CLASS_KEY = ["doc_id", "pkg_ord", "cls_ord"]
@@ -87,6 +87,9 @@ def nested(df: DataFrame, id_col: str = "ir_id", packages: str = "packages") ->
 
 
 def _stored(m: Model) -> Model:
+    """``m``, whose tables are read from Parquet files. Those are many times smaller than what they hold, as keys and texts repeat, and Spark takes a
+    table for as large as its files: none is broadcast."""
+    m = Model(*[unbroadcast(getattr(m, f.name)) for f in fields(m)])
     object.__setattr__(m, "stored", True)
     return m
 

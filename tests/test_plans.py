@@ -1,6 +1,15 @@
 """Plans that stay within the driver's memory over large tables."""
 
+from pathlib import Path
+
+import pytest
+
+from loomset.frames import table
 from loomset.operators import resolve
+from loomset.plans.model import materialised, nested
+
+SF = "/root/testdata/sf0.001"
+tables = pytest.mark.skipif(not Path(SF).exists(), reason="no test tables here")
 
 
 def plan(df):
@@ -14,3 +23,19 @@ def test_ends_of_names_are_not_broadcast(spark):
     x = resolve.ending_with(name.selectExpr("substring(name, 3) AS wanted"), name)
     assert "BroadcastHashJoin" not in plan(x)
     assert {(r.wanted, r.fits, r.only) for r in x.collect()} == {(f"me{i}", 1, f"Name{i}") for i in range(50)}
+
+
+def test_pieces_of_names_are_not_broadcast(spark):
+    """Each name has dozens of pieces, which the merge of packages joins."""
+    name = spark.range(20).selectExpr("concat('Package', id) AS a")
+    x = resolve.similar(name, name.withColumnRenamed("a", "b"), 1)
+    assert "BroadcastHashJoin" not in plan(x)
+    assert x.where("a = b").count() == 20
+
+
+@tables
+def test_tables_of_the_model_are_not_broadcast(spark):
+    """Their files are many times smaller than they are."""
+    m = nested(table(spark, SF, "ontology_ir"))
+    assert "BroadcastHashJoin" not in plan(m.named())
+    assert "BroadcastHashJoin" not in plan(materialised(m.corpus()).named())
