@@ -212,7 +212,7 @@ def cross_package_refs(m: Model) -> DataFrame:
     holder = named.select(*CLASS_KEY, "package", F.col("name").alias("holder"))
     parents = m.parent.select(*CLASS_KEY, F.lit(0).alias("phase"), F.col("par_ord").alias("ord"), F.col("class_name").alias("name"), F.lit(None).cast("string").alias("via"))
     targets = m.association.select(*CLASS_KEY, F.lit(1).alias("phase"), F.col("assoc_ord").alias("ord"), F.col("target.class_name").alias("name"), F.col("name").alias("via"))
-    refs = parents.unionByName(targets).where("name is not null and name <> ''").join(holder, CLASS_KEY).join(index, ["doc_id", "name"]).where("package <> to_package")
+    refs = unbroadcast(parents.unionByName(targets).where("name is not null and name <> ''")).join(holder, CLASS_KEY).join(index, ["doc_id", "name"]).where("package <> to_package")
     via = F.when(F.col("phase") == 0, F.concat(F.lit("parent:"), F.col("holder"))).otherwise(F.col("via"))
     last = F.max_by(via, position("pkg_ord", "cls_ord", "phase", "ord"))
     return refs.groupBy("doc_id", F.col("package").alias("from_package"), "to_package", F.col("name").alias("via_class")).agg(last.alias("via_property"))

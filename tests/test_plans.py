@@ -1,5 +1,6 @@
 """Plans that stay within the driver's memory over large tables."""
 
+import re
 from pathlib import Path
 
 import pytest
@@ -39,3 +40,10 @@ def test_tables_of_the_model_are_not_broadcast(spark):
     m = nested(table(spark, SF, "ontology_ir"))
     assert "BroadcastHashJoin" not in plan(m.named())
     assert "BroadcastHashJoin" not in plan(materialised(m.corpus()).named())
+
+
+@tables
+def test_references_are_not_broadcast(spark):
+    """A union of two tables; what they name is decided by its real size."""
+    x = resolve.cross_package_refs(nested(table(spark, SF, "ontology_ir")))
+    assert not re.search(r"BroadcastHashJoin \[doc_id#\d+L, pkg_ord", plan(x))
