@@ -57,7 +57,7 @@ def unbroadcast(df: DataFrame) -> DataFrame:
 T = TypeVar("T")
 
 
-def together(*work: Callable[[], T], most: int = 6) -> list[T]:
+def together(*work: Callable[[], T], most: int = 2) -> list[T]:
     """The results of ``work``, whose Spark jobs run side by side, so that small ones don't wait for each other; ``most`` at a time."""
     with ThreadPoolExecutor(max_workers=most) as pool:
         return [f.result() for f in [pool.submit(inheritable_thread_target(SparkSession.active())(w)) for w in work]]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..frames import ranked, unbroadcast
+from ..frames import ranked, unbroadcast, written
 from ..functions import names as N
 from ..plans.model import CLASS_KEY, Model, position
 from .graph import connected_components
@@ -148,8 +148,14 @@ def richest(m: Model) -> DataFrame:
     return best.select("doc_id", "name", "k.*", "copies")
 
 
+def _once(df: DataFrame) -> DataFrame:
+    """``df`` written for the tables of the model that are all joined with it: else the plan of each holds all its steps, and the driver all plans."""
+    return unbroadcast(written(df))
+
+
 def _only(m: Model, keep: DataFrame) -> Model:
-    part = lambda t: t.join(keep.select(*CLASS_KEY), CLASS_KEY, "left_semi")
+    keep = _once(keep.select(*CLASS_KEY))
+    part = lambda t: t.join(keep, CLASS_KEY, "left_semi")
     return m.with_(classes=part(m.classes), parent=part(m.parent), attribute=part(m.attribute), association=part(m.association))
 
 
@@ -190,13 +196,13 @@ def merged_names(m: Model, fuzzy: bool = True) -> DataFrame:
 def merged_packages(m: Model, fuzzy: bool = True) -> Model:
     """The model with packages merged as ``merged_names`` says. The first package's data stand for all; its classes are all kept, of the others'
     those of new names, the first of each."""
-    to = merged_names(m, fuzzy)
+    to = _once(merged_names(m, fuzzy))
     c = m.classes.join(to, ["doc_id", "pkg_ord"])
     own = F.col("pkg_ord") == F.col("canonical_ord")
     first = c.groupBy("doc_id", "canonical_ord", "name").agg(F.min(F.struct((~own).alias("later"), "pkg_ord", "cls_ord")).alias("f")).select("doc_id", "f.pkg_ord", "f.cls_ord", F.lit(True).alias("first"))
     kept = c.join(first, CLASS_KEY, "left").where(own | F.col("first"))
     # classes of later packages follow those of the first: their ordinals are shifted by package
-    moved = ranked(kept.select(*CLASS_KEY, F.col("canonical_ord").alias("to_pkg")), ["doc_id", "to_pkg"], ["pkg_ord", "cls_ord"], "to_cls").withColumn("to_cls", F.col("to_cls").cast("int"))
+    moved = _once(ranked(kept.select(*CLASS_KEY, F.col("canonical_ord").alias("to_pkg")), ["doc_id", "to_pkg"], ["pkg_ord", "cls_ord"], "to_cls").withColumn("to_cls", F.col("to_cls").cast("int")))
     part = lambda t: t.join(moved, CLASS_KEY).drop("pkg_ord", "cls_ord").withColumnsRenamed({"to_pkg": "pkg_ord", "to_cls": "cls_ord"}).select(*t.columns)
     heads = m.package.join(to.where("pkg_ord = canonical_ord"), ["doc_id", "pkg_ord"]).withColumn("name", F.col("canonical")).select(*m.package.columns)
     enums = m.enumeration.join(to, ["doc_id", "pkg_ord"]).withColumn("pkg_ord", F.col("canonical_ord")).select(*m.enumeration.columns)

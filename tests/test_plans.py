@@ -47,3 +47,13 @@ def test_references_are_not_broadcast(spark):
     """A union of two tables; what they name is decided by its real size."""
     x = resolve.cross_package_refs(nested(table(spark, SF, "ontology_ir")))
     assert not re.search(r"BroadcastHashJoin \[doc_id#\d+L, pkg_ord", plan(x))
+
+
+@tables
+def test_steps_of_the_merge_are_not_planned_again_for_each_table(spark):
+    """Four tables are joined with the classes that stay, whose steps were in the plan of each, six of which were worked out at a time."""
+    m = nested(table(spark, SF, "ontology_ir"))
+    for own in (resolve.merged_packages(m), resolve.without_copies(m)):
+        for t in (own.classes, own.parent, own.attribute, own.association):
+            assert (p := plan(t).split("Initial Plan")[0]).count("Join ") == 1
+            assert "Window" not in p and "Aggregate" not in p and "BroadcastHashJoin" not in p
