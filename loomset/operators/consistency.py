@@ -58,8 +58,7 @@ def matrix(probes: DataFrame, forms: list[str] = FORMATS) -> DataFrame:
 
 def passed_names(probes: DataFrame) -> DataFrame:
     """Class names without an inconsistent sample; samples of one name share their fate."""
-    bad = probes.where(F.size("missing") > 0).select("class_name").distinct()
-    return probes.select("class_name").distinct().join(bad, "class_name", "left_anti")
+    return probes.groupBy("class_name").agg(F.count_if(F.size("missing") > 0).alias("bad")).where("bad = 0").select("class_name")
 
 
 def compared_outputs(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import frames
 from ..frames import table
 from ..operators import consistency, graph, resolve, triples
 from . import emit
@@ -442,10 +444,10 @@ def module_order(spark: SparkSession, sf: str) -> DataFrame:
 
 def _probes(spark: SparkSession, sf: str) -> DataFrame:
     m = model(spark, sf)
-    files = emit.emitted(m, ["json-schema", "jsonld-context", "python-types"])
-    present = consistency.triples_classes(triples.owl(m), "owl").unionByName(consistency.triples_classes(triples.shacl(m), "shacl"))
-    for form in ("json-schema", "jsonld-context", "python-types"):
-        present = present.unionByName(consistency.text_classes(files.where(F.col("form") == form), form))
+    emit.tidy(m)  # what several forms share comes first
+    forms = {"owl": lambda: consistency.triples_classes(triples.owl(m), "owl"), "shacl": lambda: consistency.triples_classes(triples.shacl(m), "shacl")}
+    forms |= {f: partial(lambda f: consistency.text_classes(emit.get_adapter(f)(m), f), f) for f in ("json-schema", "jsonld-context", "python-types")}
+    present = reduce(DataFrame.unionByName, frames.together(*[partial(lambda x: frames.written(x()), x) for x in forms.values()]))  # each form has a plan of its own
     sample = m.named().where("package is not null").select("doc_id", "package", F.col("name").alias("class_name")).distinct()
     return consistency.probed(consistency.stratified_sample(sample, "package", "class_name"), present)
 

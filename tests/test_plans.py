@@ -7,6 +7,7 @@ import pytest
 
 from loomset.frames import table
 from loomset.operators import resolve
+from loomset.plans import model_queries
 from loomset.plans.model import materialised, nested
 
 SF = "/root/testdata/sf0.001"
@@ -57,3 +58,9 @@ def test_steps_of_the_merge_are_not_planned_again_for_each_table(spark):
         for t in (own.classes, own.parent, own.attribute, own.association):
             assert (p := plan(t).split("Initial Plan")[0]).count("Join ") == 1
             assert "Window" not in p and "Aggregate" not in p and "BroadcastHashJoin" not in p
+
+
+@tables
+def test_forms_are_probed_by_plans_of_their_own(spark):
+    """What all forms hold would else be one plan of all their steps."""
+    assert plan(model_queries.consistent_names(spark, SF)).split("Initial Plan")[0].count("Join ") == 2
