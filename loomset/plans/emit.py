@@ -235,13 +235,15 @@ def module_order(m: Model) -> DataFrame:
 
 
 def emitted(m: Model, forms: list[str] | None = None) -> DataFrame:
-    """The files of the given forms, by default of ``FORMS``."""
+    """The files of the given forms, by default of ``FORMS``. Each form is written by itself: one plan of all would take its memory in the driver at
+    once."""
     forms = list(forms or FORMS)
     if {"jsonld-context", "json-schema", "python-types"} & set(forms):
         tidy(m)  # what several forms share comes first
     elif {"owl", "turtle"} & set(forms):
         merged(m)
-    parts = frames.together(*[partial(get_adapter(f), m) for f in forms])
+    each = lambda f: written(get_adapter(f)(m).drop("form")).select("doc_id", F.lit(f).alias("form"), "path", "content")
+    parts = frames.together(*[partial(each, f) for f in forms])
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -7,7 +7,7 @@ import pytest
 
 from loomset.frames import table
 from loomset.operators import resolve
-from loomset.plans import model_queries
+from loomset.plans import emit, model_queries
 from loomset.plans.model import materialised, nested
 
 SF = "/root/testdata/sf0.001"
@@ -64,3 +64,9 @@ def test_steps_of_the_merge_are_not_planned_again_for_each_table(spark):
 def test_forms_are_probed_by_plans_of_their_own(spark):
     """What all forms hold would else be one plan of all their steps."""
     assert plan(model_queries.consistent_names(spark, SF)).split("Initial Plan")[0].count("Join ") == 2
+
+
+@tables
+def test_forms_are_written_by_plans_of_their_own(spark):
+    """What is done with files of all forms would else be one plan of all their steps."""
+    assert "Join" not in plan(emit.emitted(nested(table(spark, SF, "ontology_ir"))))
